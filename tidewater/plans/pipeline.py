@@ -1,0 +1,224 @@
+"""Model graph: staging -> intermediate -> marts -> reports and checks.
+
+``Pipeline`` exposes every model as a lazily built DataFrame; a model is
+built once per pipeline and shared by the models that read it, so one
+action over several models lets Catalyst reuse common exchanges.
+``write_models`` materialises models in dependency order as Parquet tables
+(facts partitioned by month) and reads each back, which cuts lineage the way
+a table materialisation does.
+"""
+
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.functions.dates import date_spine, spine_from_bounds
+from tidewater.operators.quality import run_checks
+from tidewater.operators.scd2 import scd2_initial, scd2_merge
+from tidewater.params import RunParams
+from tidewater.plans import checks as ck
+from tidewater.plans import derivations as dv
+from tidewater.plans import intermediate as im
+from tidewater.plans import marts as mt
+from tidewater.plans import reports as rp
+from tidewater.plans import staging as st
+from tidewater.sources import RawSources
+
+
+class Pipeline:
+    def __init__(self, spark: SparkSession, raw: RawSources, params: RunParams | None = None):
+        self.spark = spark
+        self.raw = raw
+        self.params = params or RunParams()
+
+    # -- staging -----------------------------------------------------------
+    @cached_property
+    def stg_customers(self) -> DataFrame:
+        return st.stg_customers(self.raw.customers, self.params.load_stamp)
+
+    @cached_property
+    def stg_orders(self) -> DataFrame:
+        return st.stg_orders(self.raw.orders, self.params.load_stamp)
+
+    @cached_property
+    def stg_order_items(self) -> DataFrame:
+        return st.stg_order_items(self.raw.order_items, self.params.load_stamp)
+
+    @cached_property
+    def stg_products(self) -> DataFrame:
+        return st.stg_products(self.raw.products, self.params.load_stamp)
+
+    @cached_property
+    def stg_payments(self) -> DataFrame:
+        return st.stg_payments(self.raw.payments, self.params.load_stamp)
+
+    @cached_property
+    def stg_events(self) -> DataFrame:
+        return st.stg_events(self.raw.events, self.params.load_stamp)
+
+    # -- intermediate ------------------------------------------------------
+    @cached_property
+    def int_orders_enriched(self) -> DataFrame:
+        return im.orders_enriched(
+            self.stg_orders, self.stg_order_items, self.stg_payments
+        )
+
+    @cached_property
+    def int_customers_rfm_scored(self) -> DataFrame:
+        return im.rfm_scored(
+            self.stg_customers, self.stg_orders, self.stg_order_items, self.params
+        )
+
+    @cached_property
+    def int_orders_attributed(self) -> DataFrame:
+        return im.orders_attributed(self.stg_orders, self.stg_events, self.params)
+
+    @cached_property
+    def int_cohorts_monthly(self) -> DataFrame:
+        return im.cohorts_monthly(self.stg_customers, self.stg_orders, self.params)
+
+    # -- marts -------------------------------------------------------------
+    @cached_property
+    def date_spine(self) -> DataFrame:
+        p = self.params
+        if p.spine_start is not None and p.spine_end is not None:
+            return date_spine(self.spark, p.spine_start, p.spine_end)
+        # Whole calendar years holding any order or event (bounded by the calendar).
+        days = self.stg_orders.select(F.to_date("order_at").alias("d")).unionByName(
+            self.stg_events.select(F.to_date("event_at").alias("d"))
+        )
+        bounds = days.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).select(
+            F.trunc("lo", "year").alias("s"), F.add_months(F.trunc("hi", "year"), 12).alias("e")
+        )
+        return spine_from_bounds(bounds)
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return mt.dim_date(self.date_spine)
+
+    @cached_property
+    def dim_customers(self) -> DataFrame:
+        return mt.dim_customers(self.int_customers_rfm_scored, self.int_orders_enriched)
+
+    @cached_property
+    def dim_products(self) -> DataFrame:
+        return mt.dim_products(self.stg_products)
+
+    @cached_property
+    def dim_channels(self) -> DataFrame:
+        return mt.dim_channels(self.stg_events)
+
+    @cached_property
+    def fct_orders(self) -> DataFrame:
+        return mt.fct_orders(
+            self.stg_order_items, self.int_orders_enriched, self.int_orders_attributed,
+            self.dim_date, self.dim_customers, self.dim_products, self.dim_channels,
+        )
+
+    @cached_property
+    def fct_customer_events(self) -> DataFrame:
+        return mt.fct_customer_events(
+            self.stg_events, self.dim_customers, self.dim_date, self.dim_channels
+        )
+
+    # -- reports -----------------------------------------------------------
+    def report(self, name: str) -> DataFrame:
+        p = self.params
+        table = {
+            "kpi_summary": lambda: rp.kpi_summary(self.fct_orders),
+            "repeat_customers": lambda: rp.repeat_customers(self.dim_customers),
+            "avg_clv": lambda: rp.avg_clv(self.dim_customers),
+            "revenue_daily": lambda: rp.revenue_daily(self.fct_orders, self.dim_date),
+            "revenue_rolling7": lambda: rp.revenue_rolling7(self.fct_orders, self.dim_date),
+            "aov_monthly": lambda: rp.aov_monthly(self.fct_orders, self.dim_date),
+            "customer_growth": lambda: rp.customer_growth(self.dim_customers),
+            "segment_distribution": lambda: rp.segment_distribution(self.dim_customers),
+            "segment_heatmap": lambda: rp.segment_heatmap(self.dim_customers),
+            "revenue_share": lambda: rp.revenue_share(self.dim_customers),
+            "segment_details": lambda: rp.segment_details(self.dim_customers),
+            "channel_revenue": lambda: rp.channel_revenue(self.fct_orders, self.dim_channels),
+            "first_order_channel": lambda: rp.first_order_channel(self.dim_customers, self.int_orders_attributed),
+            "retention_by_channel": lambda: rp.retention_by_channel(
+                self.dim_customers, self.int_orders_attributed, p.min_channel_customers
+            ),
+            "cohort_retention": lambda: rp.cohort_retention(self.int_cohorts_monthly, p.retention_days),
+            "attribution_coverage": lambda: rp.attribution_coverage(self.int_orders_attributed),
+        }
+        return table[name]()
+
+    # -- checks ------------------------------------------------------------
+    def model(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
+    def singular_checks(self) -> dict[str, callable]:
+        return {
+            "assert_attribution_coverage": lambda: ck.coverage_failures(self.int_orders_attributed),
+            "assert_no_orders_before_signup": lambda: ck.orders_before_signup(self.stg_orders, self.stg_customers),
+            "assert_rfm_scores_valid": lambda: ck.invalid_rfm_scores(self.int_customers_rfm_scored),
+        }
+
+    def check_results(self, kinds: tuple[str, ...] | None = None) -> DataFrame:
+        checks = [c for c in ck.DECLARED + ck.SINGULAR if kinds is None or c.kind in kinds]
+        return run_checks(checks, self.model, self.singular_checks())
+
+    # -- derivations -------------------------------------------------------
+    def derivation(self, name: str) -> DataFrame:
+        r = self.raw
+        table = {
+            "line_pricing": lambda: dv.line_pricing(r.order_items, r.orders, r.products),
+            "payments_derived": lambda: dv.payments_derived(r.orders, r.order_items),
+            "session_ids": lambda: dv.session_ids(r.events),
+            "first_orders": lambda: dv.first_orders(r.orders),
+            "audit_row_counts": lambda: dv.audit_row_counts(r.as_dict()),
+        }
+        return table[name]()
+
+    # -- SCD2 history ------------------------------------------------------
+    def segment_history(self, previous_as_of) -> DataFrame:
+        """Customer segment history over two runs: the run at ``previous_as_of``
+        seeds the history, the current run is merged into it."""
+        import dataclasses
+
+        tracked = ["recency_score", "frequency_score", "monetary_score", "rfm_segment"]
+        prev = Pipeline(self.spark, self.raw, dataclasses.replace(self.params, as_of=previous_as_of))
+
+        def snap(p: "Pipeline") -> DataFrame:
+            return p.int_customers_rfm_scored.select("customer_id", *tracked)
+
+        history = scd2_initial(snap(prev), key="customer_id", effective_from=F.lit(previous_as_of).cast("timestamp_ntz"),
+                               history_key="customer_history_key")
+        return scd2_merge(history, snap(self), key="customer_id", tracked=tracked, change_at=self.params.as_of,
+                          history_key="customer_history_key")
+
+    # -- materialisation ---------------------------------------------------
+    MODEL_ORDER = (
+        "int_orders_enriched", "int_customers_rfm_scored", "int_orders_attributed", "int_cohorts_monthly",
+        "dim_date", "dim_customers", "dim_products", "dim_channels", "fct_orders", "fct_customer_events",
+    )
+    PARTITION_BY = {"fct_orders": "order_month", "fct_customer_events": "event_month"}
+
+    def write_models(self, out_dir: str, names: tuple[str, ...] | None = None) -> dict[str, str]:
+        """Write models as Parquet tables in dependency order; downstream
+        models then read the written tables (lineage is cut at each table).
+        Facts are partitioned by month for partition pruning on date filters."""
+        paths: dict[str, str] = {}
+        for name in names or self.MODEL_ORDER:
+            df = self.model(name)
+            path = f"{out_dir.rstrip('/')}/{name}"
+            writer_df = df
+            part = self.PARTITION_BY.get(name)
+            if part:
+                ts = "order_at" if name == "fct_orders" else "event_at"
+                writer_df = df.withColumn(part, F.date_format(ts, "yyyy-MM"))
+                writer_df.write.mode("overwrite").partitionBy(part).parquet(path)
+            else:
+                writer_df.write.mode("overwrite").parquet(path)
+            back = self.spark.read.parquet(path)
+            if part:
+                back = back.drop(part)
+            self.__dict__[name] = back  # downstream models now read the table
+            paths[name] = path
+        return paths

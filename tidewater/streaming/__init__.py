@@ -1,0 +1,7 @@
+"""Streaming.
+
+The source project has no streaming work: every table is bounded and
+rebuilt whole, and ``session_id`` is a supplied column, not computed
+sessionisation.  Nothing is built here; an incremental build would reuse the
+batch model functions inside ``foreachBatch``.
+"""
