@@ -166,3 +166,35 @@ def rfm_scored(stg_customers: DataFrame, stg_orders: DataFrame, stg_order_items:
         scored.select(*base.columns, r.alias("recency_score"), f.alias("frequency_score"), m.alias("monetary_score"))
         .withColumn("rfm_segment", rfm_segment(F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")))
     )
+
+
+def rfm_order_metrics(stg_orders: DataFrame, params: RunParams) -> DataFrame:
+    """Per customer in the trailing window: last order time and order count."""
+    recent = stg_orders.where(F.col("order_at") >= ntz(params.rfm_cutoff))
+    return recent.groupBy("customer_id").agg(
+        F.max("order_at").alias("last_order_at"), F.count(F.lit(1)).alias("order_count_12m")
+    )
+
+
+def rfm_revenue(stg_orders: DataFrame, stg_order_items: DataFrame, params: RunParams) -> DataFrame:
+    """Per customer in the trailing window: exact spend (items summed per order first)."""
+    recent = stg_orders.where(F.col("order_at") >= ntz(params.rfm_cutoff)).select("order_id", "customer_id")
+    per_order = stg_order_items.groupBy("order_id").agg(F.sum(F.col("total_price").cast(MONEY)).alias("_sub"))
+    return (
+        recent.join(per_order, "order_id", "inner")
+        .groupBy("customer_id")
+        .agg(F.sum("_sub").cast("double").alias("total_spend_12m"))
+    )
+
+
+def rfm_single_score(base: DataFrame, which: str, params: RunParams) -> DataFrame:
+    """One RFM score alone: customer_id + recency/frequency/monetary score."""
+    cid = F.col("customer_id").asc()
+    if which == "recency":
+        order, group, fixed = [F.col("days_since_last_order").desc_nulls_last(), cid], F.col("order_count_12m") > 0, F.col("order_count_12m") == 0
+    elif which == "frequency":
+        order, group, fixed = [F.col("order_count_12m").asc_nulls_last(), cid], F.col("order_count_12m") > 0, F.col("order_count_12m") == 0
+    else:
+        order, group, fixed = [F.col("total_spend_12m").asc_nulls_last(), cid], F.col("total_spend_12m") > 0, F.col("total_spend_12m") == 0
+    scored = exact_ntile(base, 5, order, group=group.cast("int"), out="_s", partitions=params.rank_partitions)
+    return scored.select("customer_id", F.when(fixed, F.lit(1)).otherwise(F.col("_s")).alias(f"{which}_score"))
