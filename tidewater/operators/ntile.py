@@ -34,18 +34,23 @@ def exact_ntile(
     out: str,
     group: Column | None = None,
     partitions: int | None = None,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """Add column ``out`` = ntile(tiles) over (partition by group order by order_by).
 
     ``order_by`` must be a total order (end it with a unique key).  ``group``
     must have few distinct values (a flag); it may be None for one group.
+    ``carry`` limits the output to those columns plus ``out``.  Pass a narrow
+    frame (key, sort columns, group) so the sort moves only those columns,
+    and join the tile back by key.
     """
     if tiles < 1:
         raise ValueError("tiles must be >= 1")
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    cols = df.columns
+    cols = carry or df.columns
     keyed = df.withColumn("_ng", group if group is not None else F.lit(0))
+
     sort_keys = [F.col("_ng").asc_nulls_first()] + list(order_by)
     ranged = (
         keyed.repartitionByRange(n_parts, *sort_keys)

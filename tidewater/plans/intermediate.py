@@ -142,29 +142,43 @@ def rfm_segment(r: F.Column, f: F.Column, m: F.Column) -> F.Column:
     )
 
 
-def rfm_scored(stg_customers: DataFrame, stg_orders: DataFrame, stg_order_items: DataFrame, params: RunParams) -> DataFrame:
-    """RFM quintiles with exact, distributed ntile.  Ties are broken by
-    customer_id so the scores are reproducible."""
-    base = rfm_base(stg_customers, stg_orders, stg_order_items, params)
-    parts = params.rank_partitions
-    cid = F.col("customer_id").asc()
-    buyer = (F.col("order_count_12m") > 0).cast("int")
-    spender = (F.col("total_spend_12m") > 0).cast("int")
-    scored = exact_ntile(
-        base, 5, [F.col("days_since_last_order").desc_nulls_last(), cid], group=buyer, out="_r", partitions=parts
-    )
+RFM_ORDER = {
+    # score -> (sort column, descending, group flag, fixed-to-1 condition)
+    "recency": ("days_since_last_order", True, "order_count_12m"),
+    "frequency": ("order_count_12m", False, "order_count_12m"),
+    "monetary": ("total_spend_12m", False, "total_spend_12m"),
+}
+
+
+def rfm_single_score(base: DataFrame, which: str, params: RunParams) -> DataFrame:
+    """One RFM score: (customer_id, <which>_score).
+
+    ntile(5) within the partition of the flag ``<col> > 0``, ordered by the
+    score's column then customer_id; rows with ``<col> = 0`` score 1.  Only
+    (customer_id, sort column, flag) go through the distributed sort.
+    """
+    col, desc, flag_col = RFM_ORDER[which]
+    order = F.col(col).desc_nulls_last() if desc else F.col(col).asc_nulls_last()
+    narrow = base.select("customer_id", col, flag_col) if flag_col != col else base.select("customer_id", col)
     scored = exact_ntile(
-        scored, 5, [F.col("order_count_12m").asc_nulls_last(), cid], group=buyer, out="_f", partitions=parts
+        narrow, 5, [order, F.col("customer_id").asc()], group=(F.col(flag_col) > 0).cast("int"),
+        out="_s", partitions=params.rank_partitions, carry=["customer_id", flag_col],
     )
-    scored = exact_ntile(
-        scored, 5, [F.col("total_spend_12m").asc_nulls_last(), cid], group=spender, out="_m", partitions=parts
+    return scored.select(
+        "customer_id", F.when(F.col(flag_col) == 0, F.lit(1)).otherwise(F.col("_s")).alias(f"{which}_score")
     )
-    r = F.when(F.col("order_count_12m") == 0, F.lit(1)).otherwise(F.col("_r"))
-    f = F.when(F.col("order_count_12m") == 0, F.lit(1)).otherwise(F.col("_f"))
-    m = F.when(F.col("total_spend_12m") == 0, F.lit(1)).otherwise(F.col("_m"))
-    return (
-        scored.select(*base.columns, r.alias("recency_score"), f.alias("frequency_score"), m.alias("monetary_score"))
-        .withColumn("rfm_segment", rfm_segment(F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")))
+
+
+def rfm_scored(stg_customers: DataFrame, stg_orders: DataFrame, stg_order_items: DataFrame, params: RunParams) -> DataFrame:
+    """RFM quintiles with exact, distributed ntile.  Ties are broken by
+    customer_id so the scores are reproducible.  Each score is ranked on a
+    narrow projection and joined back on customer_id."""
+    base = rfm_base(stg_customers, stg_orders, stg_order_items, params)
+    scored = base
+    for which in ("recency", "frequency", "monetary"):
+        scored = scored.join(rfm_single_score(base, which, params), "customer_id", "inner")
+    return scored.select(*base.columns, "recency_score", "frequency_score", "monetary_score").withColumn(
+        "rfm_segment", rfm_segment(F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score"))
     )
 
 
@@ -185,16 +199,3 @@ def rfm_revenue(stg_orders: DataFrame, stg_order_items: DataFrame, params: RunPa
         .groupBy("customer_id")
         .agg(F.sum("_sub").cast("double").alias("total_spend_12m"))
     )
-
-
-def rfm_single_score(base: DataFrame, which: str, params: RunParams) -> DataFrame:
-    """One RFM score alone: customer_id + recency/frequency/monetary score."""
-    cid = F.col("customer_id").asc()
-    if which == "recency":
-        order, group, fixed = [F.col("days_since_last_order").desc_nulls_last(), cid], F.col("order_count_12m") > 0, F.col("order_count_12m") == 0
-    elif which == "frequency":
-        order, group, fixed = [F.col("order_count_12m").asc_nulls_last(), cid], F.col("order_count_12m") > 0, F.col("order_count_12m") == 0
-    else:
-        order, group, fixed = [F.col("total_spend_12m").asc_nulls_last(), cid], F.col("total_spend_12m") > 0, F.col("total_spend_12m") == 0
-    scored = exact_ntile(base, 5, order, group=group.cast("int"), out="_s", partitions=params.rank_partitions)
-    return scored.select("customer_id", F.when(fixed, F.lit(1)).otherwise(F.col("_s")).alias(f"{which}_score"))

@@ -160,10 +160,49 @@ class Pipeline:
             "assert_rfm_scores_valid": lambda: ck.invalid_rfm_scores(self.int_customers_rfm_scored),
         }
 
-    def check_results(self, kinds: tuple[str, ...] | None = None) -> DataFrame:
+    def check_results(self, kinds: tuple[str, ...] | None = None, materialize: bool = True) -> DataFrame:
+        """Run the declared and singular checks (optionally of some kinds).
+
+        Like a build-then-test run, the models the checks read are first
+        written once as tables (``materialize``), so the checks scan stored
+        columns instead of re-deriving each model per check.
+        """
         checks = [c for c in ck.DECLARED + ck.SINGULAR if kinds is None or c.kind in kinds]
+        if materialize:
+            needed = {c.model for c in checks} | {c.to_model for c in checks if c.to_model}
+            needed |= {"int_orders_attributed", "int_customers_rfm_scored"} if "singular" in {c.kind for c in checks} else set()
+            self.materialize(tuple(n for n in self.MODEL_ORDER if n in self._closure(needed)))
         return run_checks(checks, self.model, self.singular_checks())
 
+    # upstream models of each materialisable model
+    DEPENDS = {
+        "dim_customers": ("int_customers_rfm_scored", "int_orders_enriched"),
+        "fct_orders": ("int_orders_enriched", "int_orders_attributed", "dim_date", "dim_customers", "dim_products",
+                       "dim_channels"),
+        "fct_customer_events": ("dim_customers", "dim_date", "dim_channels"),
+    }
+
+    def _closure(self, names: set[str]) -> set[str]:
+        out, todo = set(), list(names)
+        while todo:
+            n = todo.pop()
+            if n not in out:
+                out.add(n)
+                todo.extend(self.DEPENDS.get(n, ()))
+        return out
+
+    def materialize(self, names: tuple[str, ...], root: str | None = None) -> dict[str, str]:
+        """Write ``names`` (in dependency order) under ``root``, by default a
+        fresh folder inside the session's checkpoint folder (shared storage
+        on a cluster), and read them back for everything downstream."""
+        if root is None:
+            import uuid
+
+            from tidewater.session import ensure_checkpoint_dir
+
+            root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/tables-{uuid.uuid4().hex[:12]}"
+        return self.write_models(root, names)
+
     # -- derivations -------------------------------------------------------
     def derivation(self, name: str) -> DataFrame:
         r = self.raw
