@@ -14,8 +14,10 @@ task.  This operator computes the same tiles with a distributed sort:
 4. position i (0-based) of n rows maps to a tile: with q = n div k and
    r = n mod k, the first r tiles hold q + 1 rows and the rest q rows.
 
-The range exchange is read twice (counts and rows); Spark reuses it, so the
-range bounds are shared and the positions agree.
+The numbered frame is read twice (counts and rows).  Its ids depend on the
+physical partitioning, so it is written once to the shared checkpoint folder
+and both reads use the stored ids: the positions agree even if an executor
+is lost or the range exchange were planned twice.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.session import write_checkpoint_table
+
 _POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | position
 
 
@@ -52,10 +56,13 @@ def exact_ntile(
     keyed = df.withColumn("_ng", group if group is not None else F.lit(0))
 
     sort_keys = [F.col("_ng").asc_nulls_first()] + list(order_by)
-    ranged = (
+    numbered = (
         keyed.repartitionByRange(n_parts, *sort_keys)
         .sortWithinPartitions(*sort_keys)
         .withColumn("_rid", F.monotonically_increasing_id())
+    )
+    ranged = (
+        write_checkpoint_table(numbered, "ntile")
         .withColumn("_pid", F.shiftright("_rid", _POS_BITS))
         .withColumn("_pos", F.col("_rid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
     )

@@ -85,3 +85,34 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def write_checkpoint_table(df, name: str):
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
+
+    Used where a frame carries values that must not be recomputed
+    differently (e.g. ``monotonically_increasing_id``) and is read more than
+    once.  The table lives in ``spark.checkpoint.dir`` (shared storage on a
+    cluster), so a lost executor does not lose it.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
+def scale_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the expected largest shuffle.
+
+    Shuffle partitions: enough for ~256 MB each and at least 2 waves of the
+    cluster's cores (AQE coalesces small ones); scan splits stay at 128 MB.
+    """
+    parts = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }
