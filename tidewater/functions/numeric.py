@@ -1,8 +1,11 @@
 """Exact money arithmetic and rounding.
 
-Money arrives as double.  Sums and rounding go through decimals so the
-result does not depend on the order in which partitions are added up, and
-rounding is half away from zero like the source's ``round(x::numeric, n)``.
+Money arrives as double holding whole cents.  Sums are taken over integer
+cents (64-bit, exact, and much cheaper to aggregate and shuffle than
+decimal(38,2)), so the result does not depend on the order in which
+partitions are added up; ``cents_sum / 100.0`` is the correctly rounded
+double of the exact sum.  Rounding is half away from zero through decimals,
+like the source's ``round(x::numeric, n)``.
 """
 
 from __future__ import annotations
@@ -30,16 +33,25 @@ def round_half_even_float(x: Column, digits: int) -> Column:
     return F.rint(x * F.lit(scale)) / F.lit(scale)
 
 
-def money_sum(x: Column) -> Column:
-    """Exact sum of cent amounts, returned as double."""
-    return F.sum(x.cast(MONEY)).cast("double")
+def cents(x: Column) -> Column:
+    """A money double as whole cents (the nearest integer of x * 100)."""
+    return F.floor(x * F.lit(100.0) + F.lit(0.5)).cast("long")
+
+
+def from_cents(c: Column) -> Column:
+    return c / F.lit(100.0)
 
 
-def money_sum_decimal(x: Column) -> Column:
-    """Exact sum of cent amounts, kept as decimal(38,2)."""
-    return F.sum(x.cast(MONEY)).cast(MONEY)
+def cents_sum(x: Column) -> Column:
+    """Exact sum of a money column, as a long count of cents."""
+    return F.sum(cents(x))
+
+
+def money_sum(x: Column) -> Column:
+    """Exact sum of a money column, as double."""
+    return from_cents(cents_sum(x))
 
 
 def money_avg(x: Column) -> Column:
-    """Average of cent amounts: exact sum / count of non-null values, as double."""
-    return F.sum(x.cast(MONEY)).cast("double") / F.count(x).cast("double")
+    """Average of a money column: exact sum / count of non-null values, as double."""
+    return money_sum(x) / F.count(x).cast("double")

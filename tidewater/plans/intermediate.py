@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.dates import month_start, ntz, whole_days
-from tidewater.functions.numeric import MONEY, money_sum
+from tidewater.functions.numeric import cents, from_cents, money_sum
 from tidewater.operators.asof import asof_last_before
 from tidewater.operators.ntile import exact_ntile
 from tidewater.params import RunParams
+from tidewater.session import write_checkpoint_table
 
 # Event types that count as a marketing touch.
 ATTRIBUTABLE_EVENT_TYPES = ["ad_click", "email_click", "organic_visit", "referral_click"]
@@ -107,7 +108,7 @@ def rfm_base(stg_customers: DataFrame, stg_orders: DataFrame, stg_order_items: D
     window's orders on order_id, then summed per customer.
     """
     recent = stg_orders.where(F.col("order_at") >= ntz(params.rfm_cutoff)).select("order_id", "customer_id", "order_at")
-    per_order = stg_order_items.groupBy("order_id").agg(F.sum(F.col("total_price").cast(MONEY)).alias("_sub"))
+    per_order = stg_order_items.groupBy("order_id").agg(F.sum(cents(F.col("total_price"))).alias("_sub"))
     metrics = (
         recent.join(per_order, "order_id", "left")
         .groupBy("customer_id")
@@ -125,7 +126,7 @@ def rfm_base(stg_customers: DataFrame, stg_orders: DataFrame, stg_order_items: D
         "last_order_at",
         whole_days(ntz(params.as_of), F.col("last_order_at")).alias("days_since_last_order"),
         F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("order_count_12m"),
-        F.coalesce(F.col("_spend").cast("double"), F.lit(0.0)).alias("total_spend_12m"),
+        F.coalesce(from_cents(F.col("_spend")), F.lit(0.0)).alias("total_spend_12m"),
     )
 
 
@@ -172,8 +173,10 @@ def rfm_single_score(base: DataFrame, which: str, params: RunParams) -> DataFram
 def rfm_scored(stg_customers: DataFrame, stg_orders: DataFrame, stg_order_items: DataFrame, params: RunParams) -> DataFrame:
     """RFM quintiles with exact, distributed ntile.  Ties are broken by
     customer_id so the scores are reproducible.  Each score is ranked on a
-    narrow projection and joined back on customer_id."""
-    base = rfm_base(stg_customers, stg_orders, stg_order_items, params)
+    narrow projection and joined back on customer_id.  The customer-grain
+    base is read four times, so it is written once to the checkpoint folder
+    (a customer-grain table, small next to the order facts)."""
+    base = write_checkpoint_table(rfm_base(stg_customers, stg_orders, stg_order_items, params), "rfm_base")
     scored = base
     for which in ("recency", "frequency", "monetary"):
         scored = scored.join(rfm_single_score(base, which, params), "customer_id", "inner")
@@ -193,9 +196,9 @@ def rfm_order_metrics(stg_orders: DataFrame, params: RunParams) -> DataFrame:
 def rfm_revenue(stg_orders: DataFrame, stg_order_items: DataFrame, params: RunParams) -> DataFrame:
     """Per customer in the trailing window: exact spend (items summed per order first)."""
     recent = stg_orders.where(F.col("order_at") >= ntz(params.rfm_cutoff)).select("order_id", "customer_id")
-    per_order = stg_order_items.groupBy("order_id").agg(F.sum(F.col("total_price").cast(MONEY)).alias("_sub"))
+    per_order = stg_order_items.groupBy("order_id").agg(F.sum(cents(F.col("total_price"))).alias("_sub"))
     return (
         recent.join(per_order, "order_id", "inner")
         .groupBy("customer_id")
-        .agg(F.sum("_sub").cast("double").alias("total_spend_12m"))
+        .agg(from_cents(F.sum("_sub")).alias("total_spend_12m"))
     )

@@ -9,20 +9,20 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.dates import dow_sunday0, ntz, padded_day_name, padded_month_name
 from tidewater.functions.keys import constant_key, surrogate_key
-from tidewater.functions.numeric import MONEY, round_half_up
+from tidewater.functions.numeric import money_avg, money_sum, round_half_up
 
 OPEN_END = dt.datetime(9999, 12, 31)
 
 
 def customer_lifetime(orders_enriched: DataFrame) -> DataFrame:
     """Lifetime order metrics per customer (exact money sums)."""
-    total = F.col("order_total").cast(MONEY)
+    total = F.col("order_total")
     return orders_enriched.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("lifetime_order_count"),
-        F.sum(total).cast("double").alias("lifetime_revenue"),
+        money_sum(total).alias("lifetime_revenue"),
         F.min("order_at").alias("first_order_at"),
         F.max("order_at").alias("last_order_at"),
-        (F.sum(total).cast("double") / F.count(total).cast("double")).alias("avg_order_value"),
+        money_avg(total).alias("avg_order_value"),
     )
 
 

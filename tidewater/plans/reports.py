@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.numeric import MONEY, round_half_even_float, round_half_up
+from tidewater.functions.numeric import cents, from_cents, money_sum, round_half_even_float, round_half_up
 
 
 def _exact_sum(col: str) -> F.Column:
-    return F.sum(F.col(col).cast(MONEY))
+    """Exact money sum (integer cents), as double."""
+    return money_sum(F.col(col))
 
 
 def kpi_summary(fct_orders: DataFrame) -> DataFrame:
@@ -23,7 +24,7 @@ def kpi_summary(fct_orders: DataFrame) -> DataFrame:
         F.count_distinct("order_id").alias("total_orders"),
         F.count_distinct("customer_key").alias("total_customers"),
         round_half_up(_exact_sum("revenue"), 2).alias("total_revenue"),
-        round_half_up(_exact_sum("revenue").cast("double") / F.count("revenue").cast("double"), 2).alias(
+        round_half_up(_exact_sum("revenue") / F.count("revenue").cast("double"), 2).alias(
             "avg_item_revenue"
         ),
     )
@@ -41,7 +42,7 @@ def repeat_customers(dim_customers: DataFrame) -> DataFrame:
 def avg_clv(dim_customers: DataFrame) -> DataFrame:
     buyers = dim_customers.where(F.col("lifetime_order_count") > 0)
     return buyers.agg(
-        round_half_up(_exact_sum("lifetime_revenue").cast("double") / F.count("lifetime_revenue").cast("double"), 2).alias(
+        round_half_up(_exact_sum("lifetime_revenue") / F.count("lifetime_revenue").cast("double"), 2).alias(
             "avg_clv"
         )
     )
@@ -58,7 +59,7 @@ def revenue_daily(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
         _dated_lines(fct_orders, dim_date)
         .groupBy("date_day")
         .agg(
-            _exact_sum("revenue").cast("double").alias("daily_revenue"),
+            _exact_sum("revenue").alias("daily_revenue"),
             F.count_distinct("order_id").alias("daily_orders"),
         )
         .select(F.col("date_day").alias("order_date"), "daily_revenue", "daily_orders")
@@ -71,7 +72,7 @@ def revenue_rolling7(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     daily = revenue_daily(fct_orders, dim_date)
     # One row per day with sales: bounded by the calendar, so a global window is fine.
     w = Window.orderBy("order_date").rowsBetween(-6, 0)
-    mean7 = F.sum(F.col("daily_revenue").cast(MONEY)).over(w).cast("double") / F.lit(7.0)
+    mean7 = from_cents(F.sum(cents(F.col("daily_revenue"))).over(w)) / F.lit(7.0)
     return daily.withColumn("weekly_avg", F.when(F.count(F.lit(1)).over(w) == 7, mean7)).orderBy("order_date")
 
 
@@ -81,7 +82,7 @@ def aov_monthly(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
         lines.groupBy("month")
         .agg(
             round_half_up(
-                _exact_sum("revenue").cast("double") / F.count_distinct("order_id").cast("double"), 2
+                _exact_sum("revenue") / F.count_distinct("order_id").cast("double"), 2
             ).alias("aov")
         )
         .orderBy("month")
@@ -105,7 +106,9 @@ def segment_distribution(dim_customers: DataFrame) -> DataFrame:
         dim_customers.groupBy("rfm_segment")
         .agg(
             F.count(F.lit(1)).alias("customer_count"),
-            round_half_up(avg_of("lifetime_revenue", MONEY), 2).alias("avg_revenue"),
+            round_half_up(money_sum(F.col("lifetime_revenue")) / F.count("lifetime_revenue").cast("double"), 2).alias(
+                "avg_revenue"
+            ),
             round_half_up(avg_of("lifetime_order_count", "long"), 1).alias("avg_orders"),
             round_half_up(avg_of("avg_order_value", "decimal(38,10)"), 2).alias("avg_aov"),
         )
@@ -131,12 +134,12 @@ def segment_heatmap(dim_customers: DataFrame) -> DataFrame:
 
 
 def revenue_share(dim_customers: DataFrame) -> DataFrame:
-    seg = dim_customers.groupBy("rfm_segment").agg(_exact_sum("lifetime_revenue").alias("_rev"))
-    grand = F.sum("_rev").over(Window.partitionBy())  # over the grouped segment rows
+    seg = dim_customers.groupBy("rfm_segment").agg(F.sum(cents(F.col("lifetime_revenue"))).alias("_rev"))
+    grand = F.sum("_rev").over(Window.partitionBy())  # over the grouped segment rows (cents, exact)
     return seg.select(
         "rfm_segment",
-        F.col("_rev").cast("double").alias("total_revenue"),
-        round_half_up(F.try_divide(F.col("_rev").cast("double"), grand.cast("double")) * 100.0, 1).alias("revenue_pct"),
+        from_cents(F.col("_rev")).alias("total_revenue"),
+        round_half_up(F.try_divide(from_cents(F.col("_rev")), from_cents(grand)) * 100.0, 1).alias("revenue_pct"),
     ).orderBy(F.col("total_revenue").desc())
 
 
@@ -144,9 +147,9 @@ def segment_details(dim_customers: DataFrame) -> DataFrame:
     """Segment table with revenue share recomputed from the rounded averages
     (float rounding to 1 place, half to even on the binary value)."""
     seg = segment_distribution(dim_customers)
-    weight = F.col("avg_revenue").cast(MONEY) * F.col("customer_count")
+    weight = cents(F.col("avg_revenue")) * F.col("customer_count")  # exact cents
     total = F.sum(weight).over(Window.partitionBy())
-    pct = weight.cast("double") / total.cast("double") * 100.0
+    pct = from_cents(weight) / from_cents(total) * 100.0
     return seg.select(
         "rfm_segment", "customer_count", "avg_revenue", "avg_orders", "avg_aov",
         round_half_even_float(pct, 1).alias("revenue_pct"),

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.numeric import round2_double
+from tidewater.functions.numeric import cents, from_cents, round2_double
 
 
 def _ts(text: str) -> Column:
@@ -129,18 +129,14 @@ PAYMENT_METHODS = ["credit_card", "debit_card", "paypal", "apple_pay", "google_p
 
 def raw_payments(raw_orders_df: DataFrame, raw_items_df: DataFrame) -> DataFrame:
     """One payment per raw order: item subtotal (exact cents) + shipping."""
-    subtotal = raw_items_df.groupBy("order_id").agg(
-        F.sum(F.col("total_price").cast("decimal(18,2)")).alias("_subtotal")
-    )
+    subtotal = raw_items_df.groupBy("order_id").agg(F.sum(cents(F.col("total_price"))).alias("_subtotal"))
     o = raw_orders_df.select("order_id", "order_at", "status", "shipping_cost")
     oid = F.col("order_id")
-    amount = F.coalesce(F.col("_subtotal"), F.lit(0).cast("decimal(18,2)")) + F.col("shipping_cost").cast(
-        "decimal(38,2)"
-    )
+    amount = from_cents(F.coalesce(F.col("_subtotal"), F.lit(0).cast("long")) + cents(F.col("shipping_cost")))
     return o.join(subtotal, "order_id", "left").select(
         F.concat(F.lit("pi_"), F.substring(F.md5(oid.cast("string")), 1, 24)).alias("payment_id"),
         oid.alias("order_id"),
-        amount.cast("double").alias("amount"),
+        amount.alias("amount"),
         F.lit("usd").alias("currency"),
         _case_mod(oid, 5, PAYMENT_METHODS).alias("payment_method"),
         F.when(F.col("status").isin("cancelled", "refunded"), F.col("status"))
