@@ -143,43 +143,64 @@ def rfm_segment(r: F.Column, f: F.Column, m: F.Column) -> F.Column:
     )
 
 
+# score -> (value column, ranked descending?, partition flag column)
 RFM_ORDER = {
-    # score -> (sort column, descending, group flag, fixed-to-1 condition)
     "recency": ("days_since_last_order", True, "order_count_12m"),
     "frequency": ("order_count_12m", False, "order_count_12m"),
     "monetary": ("total_spend_12m", False, "total_spend_12m"),
 }
 
 
-def rfm_single_score(base: DataFrame, which: str, params: RunParams) -> DataFrame:
-    """One RFM score: (customer_id, <which>_score).
+def rfm_scores(base: DataFrame, params: RunParams, which: tuple[str, ...] = tuple(RFM_ORDER)) -> DataFrame:
+    """RFM scores (customer_id, <which>_score ...) with one distributed ranking.
 
-    ntile(5) within the partition of the flag ``<col> > 0``, ordered by the
-    score's column then customer_id; rows with ``<col> = 0`` score 1.  Only
-    (customer_id, sort column, flag) go through the distributed sort.
+    Each score is ntile(5) within the partition of the flag ``<flag col> > 0``
+    ordered by its value then customer_id.  The narrow rows of all scores are
+    stacked (score id, value, flag, customer_id) -- recency's value negated so
+    every order is ascending -- and ranked in one range sort with groups
+    (score, flag); the tiles are then pivoted back to one row per customer.
+    Rows with a zero flag column score 1 (for monetary: exactly zero spend;
+    negative spend is ranked with the zeros, as in the source).
     """
-    col, desc, flag_col = RFM_ORDER[which]
-    order = F.col(col).desc_nulls_last() if desc else F.col(col).asc_nulls_last()
-    narrow = base.select("customer_id", col, flag_col) if flag_col != col else base.select("customer_id", col)
-    scored = exact_ntile(
-        narrow, 5, [order, F.col("customer_id").asc()], group=(F.col(flag_col) > 0).cast("int"),
-        out="_s", partitions=params.rank_partitions, carry=["customer_id", flag_col],
+    parts = []
+    for i, name in enumerate(which):
+        col, desc, flag_col = RFM_ORDER[name]
+        value = (-F.col(col) if desc else F.col(col)).cast("double")
+        parts.append(
+            base.select(
+                "customer_id",
+                F.lit(i).alias("_w"),
+                value.alias("_v"),
+                (F.col(flag_col) > 0).cast("int").alias("_flag"),
+                (F.col(flag_col) == 0).alias("_fixed"),
+            )
+        )
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p)
+    tiled = exact_ntile(
+        stacked, 5, [F.col("_v").asc_nulls_last(), F.col("customer_id").asc()],
+        group=F.col("_w") * 2 + F.col("_flag"), out="_t", partitions=params.rank_partitions,
+        carry=["customer_id", "_w", "_fixed"],
     )
-    return scored.select(
-        "customer_id", F.when(F.col(flag_col) == 0, F.lit(1)).otherwise(F.col("_s")).alias(f"{which}_score")
+    score = F.when(F.col("_fixed"), F.lit(1)).otherwise(F.col("_t"))
+    return tiled.groupBy("customer_id").agg(
+        *[F.max(F.when(F.col("_w") == i, score)).alias(f"{name}_score") for i, name in enumerate(which)]
     )
 
 
+def rfm_single_score(base: DataFrame, which: str, params: RunParams) -> DataFrame:
+    """One RFM score alone: (customer_id, <which>_score)."""
+    return rfm_scores(base, params, (which,))
+
+
 def rfm_scored(stg_customers: DataFrame, stg_orders: DataFrame, stg_order_items: DataFrame, params: RunParams) -> DataFrame:
     """RFM quintiles with exact, distributed ntile.  Ties are broken by
-    customer_id so the scores are reproducible.  Each score is ranked on a
-    narrow projection and joined back on customer_id.  The customer-grain
-    base is read four times, so it is written once to the checkpoint folder
-    (a customer-grain table, small next to the order facts)."""
+    customer_id so the scores are reproducible.  The customer-grain base is
+    read twice (ranking and output), so it is written once to the checkpoint
+    folder (a customer-grain table, small next to the order facts)."""
     base = write_checkpoint_table(rfm_base(stg_customers, stg_orders, stg_order_items, params), "rfm_base")
-    scored = base
-    for which in ("recency", "frequency", "monetary"):
-        scored = scored.join(rfm_single_score(base, which, params), "customer_id", "inner")
+    scored = base.join(rfm_scores(base, params), "customer_id", "inner")
     return scored.select(*base.columns, "recency_score", "frequency_score", "monetary_score").withColumn(
         "rfm_segment", rfm_segment(F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score"))
     )

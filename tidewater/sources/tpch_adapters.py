@@ -104,7 +104,10 @@ def raw_order_items(lineitem: DataFrame) -> DataFrame:
             qty.alias("quantity"),
             unit.alias("unit_price"),
         )
-        .withColumn("total_price", round2_double(F.col("unit_price") * F.col("quantity")))
+        # R2(unit_price * quantity): unit_price holds whole cents, so the
+        # rounded product is exactly unit cents * quantity (integer math, no
+        # second decimal rounding per line).
+        .withColumn("total_price", from_cents(cents(F.col("unit_price")) * F.col("quantity")))
     )
 
 
