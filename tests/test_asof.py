@@ -22,11 +22,11 @@ def brute(left, right):
     return out
 
 
-def run(spark, left, right, bucket):
+def run(spark, left, right, bucket, target_rows=1_000_000):
     l_df = spark.createDataFrame(left, "lid long, k long, lt timestamp_ntz")
     r_df = spark.createDataFrame(right, "event_id long, k long, t timestamp_ntz, tag string")
     res = asof_last_before(l_df, r_df, by="k", left_time="lt", right_time="t", right_tiebreak="event_id",
-                           right_cols=COLS, bucket_seconds=bucket)
+                           right_cols=COLS, bucket_seconds=bucket, target_rows=target_rows)
     return {r.lid: (None if r.m_id is None else (r.m_id, r.m_tag, r.m_t)) for r in res.collect()}
 
 
@@ -72,6 +72,18 @@ def test_random_against_brute_force_with_hot_key(spark):
     want = brute(left, right)
     for bucket in (3600, 86400, 7 * 86400, 10**9):
         assert run(spark, left, right, bucket) == want
+    # data-derived width: the hot key (~333 rows) is cut into ~333/target buckets
+    for target in (5, 40, 10**6):
+        assert run(spark, left, right, None, target_rows=target) == want
+
+
+def test_adaptive_width_follows_hottest_key(spark):
+    from tidewater.operators.asof import _bucket_width
+    rows = [(1, i * 1_000_000) for i in range(100)] + [(2, 0)]
+    df = spark.createDataFrame(rows, "_key long, _us long")
+    r = _bucket_width(df, target_rows=10, min_width_us=1).first()
+    # span 99 s + 1 us, hottest key 100 rows, 10 rows per bucket -> ~9.9 s buckets
+    assert r._lo == 0 and 9_000_000 < r._width < 11_000_000
 
 
 def test_hot_key_is_split_across_buckets(spark):

@@ -21,8 +21,16 @@ all rows.  The key is therefore split by a time bucket:
 3. Left rows take the in-bucket match, else the carried one (equi join on
    (key, bucket); the left side is already partitioned that way).
 
+Bucket width.  A fixed width would still leave a hot key's bucket large at
+scale (a third of 100 TB over 1,000 days is ~33 GB per day).  By default the
+width is derived from the data: one partial/final aggregate gives the row
+count of the hottest key and the overall time span, and the width is set so
+that the hottest key's buckets hold about ``target_rows`` rows (never below
+``min_bucket_seconds``).  That one-row result is attached with a broadcast
+of exactly one row; nothing goes through the driver.
+
 Hot keys are spread over as many tasks as they have active buckets; no
-all-pairs product is formed and nothing is broadcast.
+all-pairs product is formed and no data-sized side is broadcast.
 """
 
 from __future__ import annotations
@@ -40,24 +48,26 @@ def asof_last_before(
     right_time: str,
     right_tiebreak: str,
     right_cols: dict[str, str],
-    bucket_seconds: int = 86400,
+    bucket_seconds: int | None = None,
+    target_rows: int = 1_000_000,
+    min_bucket_seconds: int = 1,
 ) -> DataFrame:
     """Attach to ``left`` the latest ``right`` row with the same ``by`` key
     and ``right_time < left_time``.
 
     ``right_cols`` maps right column -> output column name.  Ties on
-    ``right_time`` go to the greatest ``right_tiebreak``.
+    ``right_time`` go to the greatest ``right_tiebreak``.  ``bucket_seconds``
+    fixes the time bucket; None derives it from the data (see module doc).
     """
-    if bucket_seconds <= 0:
+    if bucket_seconds is not None and bucket_seconds <= 0:
         raise ValueError("bucket_seconds must be positive")
-    bucket_us = int(bucket_seconds) * 1_000_000
     left_cols = left.columns
     clash = set(left_cols) & set(right_cols.values())
     if clash:
         raise ValueError(f"output columns already on the left side: {sorted(clash)}")
 
-    def bucket(c: str) -> F.Column:
-        return F.floor(F.unix_micros(F.col(c).cast("timestamp")) / F.lit(bucket_us)).cast("long")
+    def micros(c: str) -> F.Column:
+        return F.unix_micros(F.col(c).cast("timestamp"))
 
     # The struct's first two fields order it: time, then tiebreak.
     payload = F.struct(
@@ -71,17 +81,24 @@ def asof_last_before(
         F.col(left_time).alias("_t"),
         F.lit(0).alias("_side"),
         F.lit(None).cast("long").alias("_tie"),
-        bucket(left_time).alias("_b"),
+        micros(left_time).alias("_us"),
     )
     rhs = right.where(F.col(by).isNotNull() & F.col(right_time).isNotNull()).select(
         F.col(by).alias("_key"),
         F.col(right_time).alias("_t"),
         F.lit(1).alias("_side"),
         F.col(right_tiebreak).cast("long").alias("_tie"),
-        bucket(right_time).alias("_b"),
+        micros(right_time).alias("_us"),
         payload.alias("_ev"),
     )
     both = lhs.unionByName(rhs, allowMissingColumns=True)
+    if bucket_seconds is not None:
+        width = F.lit(int(bucket_seconds) * 1_000_000)
+        both = both.withColumn("_b", F.floor(F.col("_us") / width).cast("long"))
+    else:
+        both = both.crossJoin(
+            F.broadcast(_bucket_width(both, target_rows, int(min_bucket_seconds) * 1_000_000))
+        ).withColumn("_b", F.floor((F.col("_us") - F.col("_lo")) / F.col("_width")).cast("long"))
 
     # 1. match inside the (key, bucket) group
     w_local = (
@@ -104,6 +121,25 @@ def asof_last_before(
     )
 
 
+def _bucket_width(both: DataFrame, target_rows: int, min_width_us: int) -> DataFrame:
+    """One row (_lo, _width): time origin and bucket width in microseconds.
+
+    Rows per key are counted with a partial + final aggregate (one row per
+    key and map task is shuffled), then reduced to the hottest key's count
+    and the overall span.
+    """
+    per_key = both.groupBy("_key").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_klo"), F.max("_us").alias("_khi")
+    )
+    g = per_key.agg(F.max("_n").alias("_hot"), F.min("_klo").alias("_lo"), F.max("_khi").alias("_hi"))
+    span = F.coalesce(F.col("_hi") - F.col("_lo"), F.lit(0)) + F.lit(1)
+    width = F.ceil(span.cast("double") * F.lit(float(target_rows)) / F.greatest(F.col("_hot"), F.lit(1)).cast("double"))
+    return g.select(
+        F.coalesce(F.col("_lo"), F.lit(0)).alias("_lo"),
+        F.greatest(width.cast("long"), F.lit(min_width_us)).alias("_width"),
+    )
+
+
 def asof_last_before_window(
     left: DataFrame,
     right: DataFrame,

@@ -22,6 +22,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions.dates import ntz
 from tidewater.functions.keys import surrogate_key
 
 OPEN_END = dt.datetime(9999, 12, 31)
@@ -43,8 +44,8 @@ def scd2_merge(
     """Merge ``snapshot`` into ``history`` (both hold ``key`` and the attribute columns)."""
     attrs = [c for c in snapshot.columns if c != key]
     meta = ["effective_from", "effective_to", "is_current"]
-    at = F.lit(change_at).cast("timestamp_ntz")
-    end = F.lit(OPEN_END).cast("timestamp_ntz")
+    at = ntz(change_at)
+    end = ntz(OPEN_END)
 
     closed_before = history.where(~F.col("is_current")).select(key, *attrs, *meta)
     cur = history.where(F.col("is_current")).select(
@@ -91,6 +92,6 @@ def scd2_initial(snapshot: DataFrame, *, key: str, effective_from: F.Column, his
         key,
         *attrs,
         effective_from.cast("timestamp_ntz").alias("effective_from"),
-        F.lit(OPEN_END).cast("timestamp_ntz").alias("effective_to"),
+        ntz(OPEN_END).alias("effective_to"),
         F.lit(True).alias("is_current"),
     ).select(surrogate_key(key, "effective_from").alias(history_key), key, *attrs, "effective_from", "effective_to", "is_current")

@@ -71,6 +71,7 @@ def orders_attributed(stg_orders: DataFrame, stg_events: DataFrame, params: RunP
             "event_at": "attributed_event_at",
         },
         bucket_seconds=params.asof_bucket_seconds,
+        target_rows=params.asof_target_rows,
     )
     return touched.select(
         "order_id", "customer_id", "order_at", "attributed_event_id", "attributed_event_type",

@@ -15,7 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.dates import date_spine, spine_from_bounds
+from tidewater.functions.dates import date_spine, ntz, spine_from_bounds
 from tidewater.operators.quality import run_checks
 from tidewater.operators.scd2 import scd2_initial, scd2_merge
 from tidewater.params import RunParams
@@ -26,6 +26,7 @@ from tidewater.plans import marts as mt
 from tidewater.plans import reports as rp
 from tidewater.plans import staging as st
 from tidewater.sources import RawSources
+from tidewater.sources.sinks import replace_table
 
 
 class Pipeline:
@@ -227,7 +228,7 @@ class Pipeline:
         def snap(p: "Pipeline") -> DataFrame:
             return p.int_customers_rfm_scored.select("customer_id", *tracked)
 
-        history = scd2_initial(snap(prev), key="customer_id", effective_from=F.lit(previous_as_of).cast("timestamp_ntz"),
+        history = scd2_initial(snap(prev), key="customer_id", effective_from=ntz(previous_as_of),
                                history_key="customer_history_key")
         return scd2_merge(history, snap(self), key="customer_id", tracked=tracked, change_at=self.params.as_of,
                           history_key="customer_history_key")
@@ -247,14 +248,12 @@ class Pipeline:
         for name in names or self.MODEL_ORDER:
             df = self.model(name)
             path = f"{out_dir.rstrip('/')}/{name}"
-            writer_df = df
             part = self.PARTITION_BY.get(name)
             if part:
                 ts = "order_at" if name == "fct_orders" else "event_at"
-                writer_df = df.withColumn(part, F.date_format(ts, "yyyy-MM"))
-                writer_df.write.mode("overwrite").partitionBy(part).parquet(path)
+                replace_table(df.withColumn(part, F.date_format(ts, "yyyy-MM")), path, [part])
             else:
-                writer_df.write.mode("overwrite").parquet(path)
+                replace_table(df, path)
             back = self.spark.read.parquet(path)
             if part:
                 back = back.drop(part)
