@@ -21,8 +21,6 @@ from tidewater.sources import from_test_tables
 PARAMS = RunParams()
 PREVIOUS_AS_OF = dt.datetime(2000, 8, 2)
 
-_cache: dict[tuple[int, str], Pipeline] = {}
-
 
 def pipeline(spark: SparkSession, sf_dir: str, params: RunParams = PARAMS) -> Pipeline:
     return Pipeline(spark, from_test_tables(spark, sf_dir), params)

@@ -8,7 +8,6 @@ partition coalescing and skew-join splitting, and no web UI.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -75,18 +74,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def default_partitions(spark: SparkSession) -> int:
-    """The session's shuffle partition count (used for range partitioning)."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def write_checkpoint_table(df, name: str):
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
