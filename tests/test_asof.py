@@ -77,13 +77,16 @@ def test_random_against_brute_force_with_hot_key(spark):
         assert run(spark, left, right, None, target_rows=target) == want
 
 
-def test_adaptive_width_follows_hottest_key(spark):
-    from tidewater.operators.asof import _bucket_width
-    rows = [(1, i * 1_000_000) for i in range(100)] + [(2, 0)]
+def test_only_hot_keys_are_split(spark):
+    from tidewater.operators.asof import _hot_keys
+    rows = [(1, i * 1_000_000) for i in range(100)] + [(2, i) for i in range(5)]
     df = spark.createDataFrame(rows, "_key long, _us long")
-    r = _bucket_width(df, target_rows=10, min_width_us=1).first()
-    # span 99 s + 1 us, hottest key 100 rows, 10 rows per bucket -> ~9.9 s buckets
-    assert r._lo == 0 and 9_000_000 < r._width < 11_000_000
+    hot = {r._hk: r for r in _hot_keys(df, target_rows=10, max_hot_keys=1000).collect()}
+    assert set(hot) == {1}
+    # span 99 s + 1 us, 100 rows, 10 rows per bucket -> ~9.9 s buckets
+    assert hot[1]._hlo == 0 and 9_000_000 < hot[1]._hwidth < 11_000_000
+    # the target rises with the total so the hot-key table stays bounded
+    assert _hot_keys(df, target_rows=10, max_hot_keys=1).count() == 0
 
 
 def test_hot_key_is_split_across_buckets(spark):

@@ -21,13 +21,15 @@ all rows.  The key is therefore split by a time bucket:
 3. Left rows take the in-bucket match, else the carried one (equi join on
    (key, bucket); the left side is already partitioned that way).
 
-Bucket width.  A fixed width would still leave a hot key's bucket large at
-scale (a third of 100 TB over 1,000 days is ~33 GB per day).  By default the
-width is derived from the data: one partial/final aggregate gives the row
-count of the hottest key and the overall time span, and the width is set so
-that the hottest key's buckets hold about ``target_rows`` rows (never below
-``min_bucket_seconds``).  That one-row result is attached with a broadcast
-of exactly one row; nothing goes through the driver.
+Buckets.  Only hot keys are split.  One partial/final aggregate counts the
+rows of every key; keys with more than ``target`` rows get their own bucket
+width (their time span / (rows / target)), so each of their buckets holds
+about ``target`` rows; every other key keeps one bucket, which holds at most
+``target`` rows by definition.  Hot keys number fewer than total / target,
+and ``target`` is raised to total / ``max_hot_keys`` when needed, so the
+hot-key table has at most ``max_hot_keys`` rows: a broadcast with a proven
+bound, attached without a shuffle.  The summary of step 2 then has one row
+per key plus one per hot bucket, far fewer than the input rows.
 
 Hot keys are spread over as many tasks as they have active buckets; no
 all-pairs product is formed and no data-sized side is broadcast.
@@ -50,14 +52,15 @@ def asof_last_before(
     right_cols: dict[str, str],
     bucket_seconds: int | None = None,
     target_rows: int = 1_000_000,
-    min_bucket_seconds: int = 1,
+    max_hot_keys: int = 1_000_000,
 ) -> DataFrame:
     """Attach to ``left`` the latest ``right`` row with the same ``by`` key
     and ``right_time < left_time``.
 
     ``right_cols`` maps right column -> output column name.  Ties on
     ``right_time`` go to the greatest ``right_tiebreak``.  ``bucket_seconds``
-    fixes the time bucket; None derives it from the data (see module doc).
+    fixes one time bucket width for all keys; None splits only hot keys
+    (see module doc).
     """
     if bucket_seconds is not None and bucket_seconds <= 0:
         raise ValueError("bucket_seconds must be positive")
@@ -96,9 +99,13 @@ def asof_last_before(
         width = F.lit(int(bucket_seconds) * 1_000_000)
         both = both.withColumn("_b", F.floor(F.col("_us") / width).cast("long"))
     else:
-        both = both.crossJoin(
-            F.broadcast(_bucket_width(both, target_rows, int(min_bucket_seconds) * 1_000_000))
-        ).withColumn("_b", F.floor((F.col("_us") - F.col("_lo")) / F.col("_width")).cast("long"))
+        hot = F.broadcast(_hot_keys(both, target_rows, max_hot_keys))  # <= max_hot_keys rows
+        both = both.join(hot, both["_key"] == hot["_hk"], "left").withColumn(
+            "_b",
+            F.when(F.col("_hwidth").isNull(), F.lit(0).cast("long")).otherwise(
+                F.floor((F.col("_us") - F.col("_hlo")) / F.col("_hwidth")).cast("long") + 1
+            ),
+        )
 
     # 1. match inside the (key, bucket) group
     w_local = (
@@ -121,22 +128,29 @@ def asof_last_before(
     )
 
 
-def _bucket_width(both: DataFrame, target_rows: int, min_width_us: int) -> DataFrame:
-    """One row (_lo, _width): time origin and bucket width in microseconds.
+def _hot_keys(both: DataFrame, target_rows: int, max_hot_keys: int) -> DataFrame:
+    """(_hk, _hlo, _hwidth) for keys with more rows than the bucket target.
 
-    Rows per key are counted with a partial + final aggregate (one row per
-    key and map task is shuffled), then reduced to the hottest key's count
-    and the overall span.
+    Rows per key come from a partial + final aggregate (one row per key and
+    map task is shuffled).  target = max(target_rows, total / max_hot_keys),
+    so fewer than max_hot_keys keys can exceed it.
     """
     per_key = both.groupBy("_key").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_klo"), F.max("_us").alias("_khi")
+        F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi")
     )
-    g = per_key.agg(F.max("_n").alias("_hot"), F.min("_klo").alias("_lo"), F.max("_khi").alias("_hi"))
+    total = per_key.agg(F.sum("_n").alias("_total"))
+    target = F.greatest(F.lit(int(target_rows)), F.ceil(F.col("_total") / F.lit(int(max_hot_keys))))
+    limits = total.select(target.cast("long").alias("_target"))
     span = F.coalesce(F.col("_hi") - F.col("_lo"), F.lit(0)) + F.lit(1)
-    width = F.ceil(span.cast("double") * F.lit(float(target_rows)) / F.greatest(F.col("_hot"), F.lit(1)).cast("double"))
-    return g.select(
-        F.coalesce(F.col("_lo"), F.lit(0)).alias("_lo"),
-        F.greatest(width.cast("long"), F.lit(min_width_us)).alias("_width"),
+    width = F.ceil(span.cast("double") * F.col("_target").cast("double") / F.col("_n").cast("double"))
+    return (
+        per_key.crossJoin(F.broadcast(limits))  # one row
+        .where(F.col("_n") > F.col("_target"))
+        .select(
+            F.col("_key").alias("_hk"),
+            F.coalesce(F.col("_lo"), F.lit(0)).alias("_hlo"),
+            F.greatest(width.cast("long"), F.lit(1)).alias("_hwidth"),
+        )
     )
 
 

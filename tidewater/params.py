@@ -25,9 +25,9 @@ class RunParams:
     rfm_window_days: int = 365
     # Minimum first-channel group size in the retention-by-channel report.
     min_channel_customers: int = 50
-    # Time bucket of the as-of join (seconds); hot customers are split by it.
-    # None: derived from the data so the hottest customer's buckets hold
-    # about asof_target_rows rows.
+    # Time bucket of the as-of join (seconds) for every customer.  None: only
+    # customers with more than asof_target_rows rows are split, each into
+    # buckets of about asof_target_rows rows.
     asof_bucket_seconds: int | None = None
     asof_target_rows: int = 1_000_000
     # Range partitions of the exact ntile; None -> spark.sql.shuffle.partitions.
