@@ -10,6 +10,9 @@ a table materialisation does.
 
 from __future__ import annotations
 
+import dataclasses
+import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -27,6 +30,7 @@ from tidewater.plans import marts as mt
 from tidewater.plans import reports as rp
 from tidewater.plans import staging as st
 from tidewater.sources import RawSources
+from tidewater.session import ensure_checkpoint_dir
 from tidewater.sources.sinks import replace_table
 
 
@@ -155,7 +159,7 @@ class Pipeline:
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    def singular_checks(self) -> dict[str, callable]:
+    def singular_checks(self) -> dict[str, Callable[[], DataFrame]]:
         return {
             "assert_attribution_coverage": lambda: ck.coverage_failures(self.int_orders_attributed),
             "assert_no_orders_before_signup": lambda: ck.orders_before_signup(self.stg_orders, self.stg_customers),
@@ -172,7 +176,6 @@ class Pipeline:
         checks = [c for c in ck.DECLARED + ck.SINGULAR if kinds is None or c.kind in kinds]
         if materialize:
             needed = {c.model for c in checks} | {c.to_model for c in checks if c.to_model}
-            needed |= {"int_orders_attributed", "int_customers_rfm_scored"} if "singular" in {c.kind for c in checks} else set()
             self.materialize(tuple(n for n in self.MODEL_ORDER if n in self._closure(needed)))
         return run_checks(checks, self.model, self.singular_checks())
 
@@ -198,10 +201,6 @@ class Pipeline:
         fresh folder inside the session's checkpoint folder (shared storage
         on a cluster), and read them back for everything downstream."""
         if root is None:
-            import uuid
-
-            from tidewater.session import ensure_checkpoint_dir
-
             root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/tables-{uuid.uuid4().hex[:12]}"
         return self.write_models(root, names)
 
@@ -221,8 +220,6 @@ class Pipeline:
     def segment_history(self, previous_as_of) -> DataFrame:
         """Customer segment history over two runs: the run at ``previous_as_of``
         seeds the history, the current run is merged into it."""
-        import dataclasses
-
         tracked = ["recency_score", "frequency_score", "monetary_score", "rfm_segment"]
         prev = Pipeline(self.spark, self.raw, dataclasses.replace(self.params, as_of=previous_as_of))
 
