@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidewater import Pipeline, RunParams, from_test_tables
+from tidewater import ModelGraph, RunParams, from_test_tables
 from tidewater.plans import intermediate as im
 
 SF = "/root/testdata/sf0.001"
@@ -22,7 +22,7 @@ def hot_pipe(spark):
     )
     raw = dataclasses.replace(raw, orders=hot(raw.orders, "order_id"), events=hot(raw.events, "event_id"))
     # tiny target so the hot customer is cut into many buckets
-    return Pipeline(spark, raw, RunParams(asof_target_rows=25, rank_partitions=6))
+    return ModelGraph(spark, raw, RunParams(asof_target_rows=25, rank_partitions=6))
 
 
 def test_hot_customer_share(hot_pipe):

@@ -5,13 +5,13 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tidewater.operators.scd2 import scd2_initial, scd2_merge
-from tidewater.registry import pipeline
+from tidewater.registry import model_graph
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_write_models_partitions_and_rereads(spark):
-    p = pipeline(spark, SF)
+    p = model_graph(spark, SF)
     lazy_counts = {n: p.model(n).count() for n in ("fct_orders", "dim_customers")}
     out = tempfile.mkdtemp(prefix="tw-models-")
     paths = p.write_models(out, ("int_orders_enriched", "int_customers_rfm_scored", "int_orders_attributed",

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from helpers import customer, event, item, order, payment, product, raw, ts
-from tidewater import Pipeline, RunParams
+from tidewater import ModelGraph, RunParams
 
 PARAMS = RunParams(as_of=dt.datetime(2001, 8, 2), spine_start=dt.date(2000, 1, 1), spine_end=dt.date(2002, 1, 1))
 
@@ -47,7 +47,7 @@ def pipe(spark):
             event(4, 2, "referral_click", None, "2001-05-01 00:00:00"),    # NULL channel
         ],
     )
-    return Pipeline(spark, r, PARAMS)
+    return ModelGraph(spark, r, PARAMS)
 
 
 def rows(df, key):

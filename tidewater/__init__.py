@@ -7,7 +7,7 @@ lifetime value, revenue/segment/channel reports and data-quality checks.
 """
 
 from tidewater.params import RunParams
-from tidewater.plans.pipeline import Pipeline
+from tidewater.plans.graph import ModelGraph
 from tidewater.sources import RawSources, from_raw_parquet, from_test_tables
 
-__all__ = ["Pipeline", "RawSources", "RunParams", "from_raw_parquet", "from_test_tables"]
+__all__ = ["ModelGraph", "RawSources", "RunParams", "from_raw_parquet", "from_test_tables"]

@@ -17,15 +17,15 @@ import argparse
 import datetime as dt
 import sys
 
-from tidewater import Pipeline, RunParams, from_raw_parquet, from_test_tables
+from tidewater import ModelGraph, RunParams, from_raw_parquet, from_test_tables
 from tidewater.session import build_session
 
 
-def _pipeline(args) -> Pipeline:
+def _graph(args) -> ModelGraph:
     spark = build_session(app_name=f"tidewater-{args.cmd}")
     raw = from_raw_parquet(spark, args.raw) if args.raw else from_test_tables(spark, args.tables)
     params = RunParams(as_of=dt.datetime.fromisoformat(args.as_of)) if args.as_of else RunParams()
-    return Pipeline(spark, raw, params)
+    return ModelGraph(spark, raw, params)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -44,14 +44,14 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("name")
             p.add_argument("--limit", type=int, default=50, help="rows to print")
     args = ap.parse_args(argv)
-    pipe = _pipeline(args)
+    graph = _graph(args)
     if args.cmd == "report":
-        pipe.report(args.name).show(args.limit, truncate=False)
+        graph.report(args.name).show(args.limit, truncate=False)
         return 0
     if args.cmd == "build":
-        for name, path in pipe.write_models(args.out, threads=args.threads).items():
+        for name, path in graph.write_models(args.out, threads=args.threads).items():
             print(f"built {name}: {path}")
-    results = pipe.check_results(materialize=args.cmd == "check")
+    results = graph.check_results(materialize=args.cmd == "check")
     results.orderBy("model", "test_name").show(100, truncate=False)
     failed = results.where("failures > 0").count()
     print(f"{failed} failing check(s)")

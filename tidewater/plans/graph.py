@@ -1,7 +1,7 @@
 """Model graph: staging -> intermediate -> marts -> reports and checks.
 
-``Pipeline`` exposes every model as a lazily built DataFrame; a model is
-built once per pipeline and shared by the models that read it, so one
+``ModelGraph`` exposes every model as a lazily built DataFrame; a model is
+built once per graph and shared by the models that read it, so one
 action over several models lets Catalyst reuse common exchanges.
 ``write_models`` materialises models in dependency order as Parquet tables
 (facts partitioned by month) and reads each back, which cuts lineage the way
@@ -34,7 +34,7 @@ from tidewater.session import ensure_checkpoint_dir
 from tidewater.sources.sinks import replace_table
 
 
-class Pipeline:
+class ModelGraph:
     def __init__(self, spark: SparkSession, raw: RawSources, params: RunParams | None = None):
         self.spark = spark
         self.raw = raw
@@ -221,9 +221,9 @@ class Pipeline:
         """Customer segment history over two runs: the run at ``previous_as_of``
         seeds the history, the current run is merged into it."""
         tracked = ["recency_score", "frequency_score", "monetary_score", "rfm_segment"]
-        prev = Pipeline(self.spark, self.raw, dataclasses.replace(self.params, as_of=previous_as_of))
+        prev = ModelGraph(self.spark, self.raw, dataclasses.replace(self.params, as_of=previous_as_of))
 
-        def snap(p: "Pipeline") -> DataFrame:
+        def snap(p: "ModelGraph") -> DataFrame:
             return p.int_customers_rfm_scored.select("customer_id", *tracked)
 
         history = scd2_initial(snap(prev), key="customer_id", effective_from=ntz(previous_as_of),

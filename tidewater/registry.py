@@ -15,19 +15,19 @@ from tidewater.oracle import sql as osql
 from tidewater.params import RunParams
 from tidewater.plans import intermediate as im
 from tidewater.plans import marts as mt
-from tidewater.plans.pipeline import Pipeline
+from tidewater.plans.graph import ModelGraph
 from tidewater.sources import from_test_tables
 
 PARAMS = RunParams()
 PREVIOUS_AS_OF = dt.datetime(2000, 8, 2)
 
 
-def pipeline(spark: SparkSession, sf_dir: str, params: RunParams = PARAMS) -> Pipeline:
-    return Pipeline(spark, from_test_tables(spark, sf_dir), params)
+def model_graph(spark: SparkSession, sf_dir: str, params: RunParams = PARAMS) -> ModelGraph:
+    return ModelGraph(spark, from_test_tables(spark, sf_dir), params)
 
 
-def _q(fn: Callable[[Pipeline], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: fn(pipeline(spark, sf_dir))
+def _q(fn: Callable[[ModelGraph], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: fn(model_graph(spark, sf_dir))
 
 
 STAGING = ["stg_customers", "stg_orders", "stg_order_items", "stg_products", "stg_payments", "stg_events"]
