@@ -4,8 +4,9 @@ Each check returns its failing rows as a DataFrame (pass = no rows), the
 way declared schema tests work: ``unique``, ``not_null``,
 ``accepted_values`` (NULL passes) and ``relationships`` (NULL passes).
 ``run_checks`` evaluates a list of declared checks into one result frame of
-(test_name, model, column_name, kind, failures); checks of the same model
-and kind that need no shuffle (not_null, accepted_values) share one scan.
+(test_name, model, column_name, kind, failures, status).  Failures count
+what the check query returns: failing rows for not_null, relationships and
+singular checks, failing distinct values for unique and accepted_values.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -77,50 +79,79 @@ def _result(check: Check, failures) -> DataFrame:
     )
 
 
+def _rows(counted: DataFrame, group: list[Check]) -> DataFrame:
+    """One result row per check from a one-row frame of counts ``_f<j>``."""
+    return counted.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c.test_name).alias("test_name"),
+                        F.lit(c.model).alias("model"),
+                        F.lit(c.column).cast("string").alias("column_name"),
+                        F.lit(c.kind).alias("kind"),
+                        F.col(f"_f{j}").cast("long").alias("failures"),
+                    )
+                    for j, c in enumerate(group)
+                ]
+            )
+        )
+    )
+
+
+# Key types whose text form is exact, so several unique checks can share one
+# aggregate over (check, value as text).
+_TEXT_EXACT = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DateType)
+
+
+def _unique_counts(df: DataFrame, group: list[Check]) -> DataFrame:
+    """Unique checks of one model in one scan and one aggregate."""
+    pairs = df.select(
+        F.inline(F.array(*[F.struct(F.lit(j).alias("j"), F.col(c.column).cast("string").alias("v"))
+                           for j, c in enumerate(group)]))
+    )
+    dups = pairs.where(F.col("v").isNotNull()).groupBy("j", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return dups.agg(*[F.count_if(F.col("j") == j).alias(f"_f{j}") for j in range(len(group))])
+
+
 def run_checks(
     checks: list[Check],
     model: Callable[[str], DataFrame],
     singular: dict[str, Callable[[], DataFrame]] | None = None,
 ) -> DataFrame:
-    """Evaluate ``checks`` against models looked up by name; one row per check."""
+    """Evaluate ``checks`` against models looked up by name; one row per check.
+
+    Row-local checks (not_null, accepted_values) of one model share a single
+    scan; unique checks of one model share one aggregate; relationships are
+    anti joins; singular checks count the rows of their query.
+    """
     singular = singular or {}
     parts: list[DataFrame] = []
-    # One scan per model for the row-local checks (not_null, accepted_values).
-    by_model: dict[str, list[Check]] = {}
+    row_local: dict[str, list[Check]] = {}
+    uniques: dict[str, list[Check]] = {}
     for c in checks:
         if c.kind in ("not_null", "accepted_values"):
-            by_model.setdefault(c.model, []).append(c)
-    for model_name, group in by_model.items():
-        df = model(model_name)
+            row_local.setdefault(c.model, []).append(c)
+        elif c.kind == "unique":
+            uniques.setdefault(c.model, []).append(c)
+    for model_name, group in row_local.items():
         aggs = []
         for j, c in enumerate(group):
             col = F.col(c.column)
             bad = col.isNull() if c.kind == "not_null" else (col.isNotNull() & ~col.isin(list(c.values)))
-            aggs.append(F.count_if(bad).alias(f"_f{j}"))
-        counted = df.agg(*aggs)
-        stacked = counted.select(
-            F.explode(
-                F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"_f{j}").alias("failures")) for j in range(len(group))])
-            ).alias("s")
-        ).select("s.j", "s.failures")
-        meta = F.create_map(*[x for j, c in enumerate(group) for x in (F.lit(j), F.lit(c.test_name))])
-        parts.append(
-            stacked.select(
-                meta[F.col("j")].alias("test_name"),
-                F.lit(model_name).alias("model"),
-                F.create_map(*[x for j, c in enumerate(group) for x in (F.lit(j), F.lit(c.column))])[F.col("j")].alias(
-                    "column_name"
-                ),
-                F.create_map(*[x for j, c in enumerate(group) for x in (F.lit(j), F.lit(c.kind))])[F.col("j")].alias(
-                    "kind"
-                ),
-                F.col("failures").cast("long").alias("failures"),
-            )
-        )
+            # accepted_values reports the distinct failing values, not_null the failing rows
+            aggs.append((F.count_if(bad) if c.kind == "not_null" else F.count_distinct(F.when(bad, col))).alias(f"_f{j}"))
+        parts.append(_rows(model(model_name).agg(*aggs), group))
+    for model_name, group in uniques.items():
+        df = model(model_name)
+        shared = [c for c in group if isinstance(df.schema[c.column].dataType, _TEXT_EXACT)]
+        if len(shared) > 1:
+            parts.append(_rows(_unique_counts(df, shared), shared))
+        for c in group:
+            if len(shared) <= 1 or c not in shared:
+                parts.append(_result(c, unique_failures(df, c.column).agg(F.count(F.lit(1)).alias("failures"))))
     for c in checks:
-        if c.kind == "unique":
-            failing = unique_failures(model(c.model), c.column)
-        elif c.kind == "relationships":
+        if c.kind == "relationships":
             failing = relationships_failures(model(c.model), c.column, model(c.to_model), c.to_column)
         elif c.kind == "singular":
             failing = singular[c.test_name]()
