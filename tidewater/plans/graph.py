@@ -199,10 +199,11 @@ class ModelGraph:
     def materialize(self, names: tuple[str, ...], root: str | None = None) -> dict[str, str]:
         """Write ``names`` (in dependency order) under ``root``, by default a
         fresh folder inside the session's checkpoint folder (shared storage
-        on a cluster), and read them back for everything downstream."""
+        on a cluster), and read them back for everything downstream.  These
+        are working tables, so facts are not split into month folders."""
         if root is None:
             root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/tables-{uuid.uuid4().hex[:12]}"
-        return self.write_models(root, names)
+        return self.write_models(root, names, partition_facts=False)
 
     # -- derivations -------------------------------------------------------
     def derivation(self, name: str) -> DataFrame:
@@ -238,14 +239,19 @@ class ModelGraph:
     )
     PARTITION_BY = {"fct_orders": "order_month", "fct_customer_events": "event_month"}
 
-    def write_models(self, out_dir: str, names: tuple[str, ...] | None = None, threads: int = 4) -> dict[str, str]:
+    def write_models(
+        self, out_dir: str, names: tuple[str, ...] | None = None, threads: int = 4, partition_facts: bool = True
+    ) -> dict[str, str]:
         """Write models as Parquet tables in dependency order; downstream
         models then read the written tables (lineage is cut at each table).
 
         Models whose upstream models are written run concurrently, up to
         ``threads`` at a time (Spark runs jobs from several driver threads
         side by side).  Facts are partitioned by month for partition pruning
-        on date filters.
+        on date filters (``partition_facts``); before that write they are
+        range-partitioned on their timestamp, so each task writes one or two
+        month folders instead of one file per month, and a busy month is
+        still spread over several tasks by the sampled range bounds.
         """
         todo = [n for n in self.MODEL_ORDER if n in set(names or self.MODEL_ORDER)]
         for stg in ("stg_customers", "stg_orders", "stg_order_items", "stg_products", "stg_payments", "stg_events"):
@@ -254,22 +260,23 @@ class ModelGraph:
         while todo:
             ready = [n for n in todo if not any(d in todo for d in self.DEPENDS.get(n, ()))]
             with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-                written = list(pool.map(lambda n: (n, self._write_one(out_dir, n)), ready))
+                written = list(pool.map(lambda n: (n, self._write_one(out_dir, n, partition_facts)), ready))
             for name, path in written:
                 back = self.spark.read.parquet(path)
                 part = self.PARTITION_BY.get(name)
-                self.__dict__[name] = back.drop(part) if part else back  # downstream reads the table
+                self.__dict__[name] = back.drop(part) if part and partition_facts else back  # downstream reads the table
                 paths[name] = path
             todo = [n for n in todo if n not in ready]
         return paths
 
-    def _write_one(self, out_dir: str, name: str) -> str:
+    def _write_one(self, out_dir: str, name: str, partition_facts: bool = True) -> str:
         df = self.model(name)
         path = f"{out_dir.rstrip('/')}/{name}"
         part = self.PARTITION_BY.get(name)
-        if part:
+        if part and partition_facts:
             ts = "order_at" if name == "fct_orders" else "event_at"
-            replace_table(df.withColumn(part, F.date_format(ts, "yyyy-MM")), path, [part])
+            laid_out = df.withColumn(part, F.date_format(ts, "yyyy-MM")).repartitionByRange(F.col(ts))
+            replace_table(laid_out, path, [part])
         else:
             replace_table(df, path)
         return path
