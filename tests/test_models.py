@@ -20,6 +20,7 @@ def pipe(spark):
             customer(3, "2000-01-01 00:00:00"),            # no order at all
             customer(4, "2000-01-01 00:00:00", deleted=True),
             customer(5, "2001-03-01 00:00:00"),             # orders with zero spend
+            customer(6, "2001-03-10 00:00:00"),             # only order on day 31 of its cohort
         ],
         orders=[
             order(10, 1, "2001-02-05 12:00:00"),            # day 35 from cohort month start
@@ -29,6 +30,7 @@ def pipe(spark):
             order(14, 1, "2001-05-01 00:00:00", deleted=True),  # deleted order
             order(15, 5, "2001-07-01 00:00:00"),
             order(16, 2, "2003-01-01 00:00:00"),            # outside the date spine
+            order(17, 6, "2001-04-01 12:00:00"),            # 31 days after 2001-03-01
         ],
         items=[
             item(1000, 10, pid=1, qty=2, unit=10.0),
@@ -45,6 +47,8 @@ def pipe(spark):
             event(2, 1, "page_view", "email", "2001-02-01 00:00:00"),     # not attributable
             event(3, 1, "email_click", None, "2001-02-05 12:00:00"),       # same time as order 10
             event(4, 2, "referral_click", None, "2001-05-01 00:00:00"),    # NULL channel
+            event(5, 5, "page_view", "direct", "2001-06-01 00:00:00"),     # not attributable
+            event(6, 5, "email_open", "email", "2001-06-02 00:00:00"),     # not attributable
         ],
     )
     return ModelGraph(spark, r, PARAMS)
@@ -65,6 +69,7 @@ def test_attribution_rules(pipe):
     a = rows(pipe.int_orders_attributed, "order_id")
     assert a[10].attributed_event_id == 1 and a[10].channel_group == "paid_social"  # equal time skipped
     assert a[12].attributed_event_id == 4 and a[12].channel_group == "unattributed"  # NULL channel
+    # only page_view / email_open before the order: unattributed
     assert a[15].attributed_event_id is None and a[15].channel_group == "unattributed"
 
 
@@ -83,8 +88,8 @@ def test_rfm_edges(pipe):
     c3 = r[3]
     assert (c3.recency_score, c3.frequency_score, c3.monetary_score, c3.rfm_segment) == (1, 1, 1, "Hibernating")
     assert r[5].monetary_score == 1 and r[5].total_spend_12m == 0.0
-    # three buyers in the window (customers 1, 2, 5) -> tiles 1..3 only
-    assert sorted(x.frequency_score for x in r.values() if x.order_count_12m > 0) == [1, 2, 3]
+    # four buyers in the window (customers 1, 2, 5, 6) -> tiles 1..4 only
+    assert sorted(x.frequency_score for x in r.values() if x.order_count_12m > 0) == [1, 2, 3, 4]
     assert 4 not in r
 
 
@@ -93,6 +98,7 @@ def test_cohort_flags(pipe):
     assert c[1].is_retained_30d is True and c[1].has_repeat_purchase is True
     assert c[1].total_orders == 2
     assert 3 not in c  # cohorts hold buyers only
+    assert c[6].is_retained_30d is False and c[6].is_retained_60d is True and c[6].has_repeat_purchase is True
 
 
 def test_dimensions(pipe):
@@ -115,3 +121,14 @@ def test_checks_run(pipe):
     assert len(res) == 57
     assert res["unique_int_orders_enriched_order_id"].failures == 0
     assert res["relationships_fct_orders_date_key__date_key__dim_date"].failures == 0
+
+
+def test_heatmap_constant_metric_scales_to_zero(spark):
+    from tidewater.plans.reports import segment_heatmap
+
+    rows = [("Loyal", 100.0, 2, 50.0), ("New", 300.0, 2, 50.0), ("Loyal", 100.0, 2, 50.0)]
+    dc = spark.createDataFrame(rows, "rfm_segment string, lifetime_revenue double, lifetime_order_count long, "
+                                     "avg_order_value double")
+    got = {r.rfm_segment: r for r in segment_heatmap(dc).collect()}
+    assert got["Loyal"].avg_revenue_scaled == 0.0 and got["New"].avg_revenue_scaled == 1.0
+    assert all(r.avg_orders_scaled == 0.0 and r.avg_aov_scaled == 0.0 for r in got.values())
