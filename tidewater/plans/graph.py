@@ -117,17 +117,30 @@ class ModelGraph:
     def dim_channels(self) -> DataFrame:
         return mt.dim_channels(self.stg_events)
 
+    def customer_key_lookup(self) -> DataFrame:
+        """(customer_id, customer_key, is_current) rows of the customer dimension.
+
+        The dimension has exactly one current row per staged customer, keyed
+        md5(customer_id), by construction (RFM base = staged customers, left
+        joins only).  So until the dimension is materialised, the facts take
+        the same key set from the staged customers instead of running the RFM
+        ranking just to look up a key; afterwards they read the table.
+        """
+        if "dim_customers" in self.__dict__:
+            return self.dim_customers.select("customer_id", "customer_key", "is_current")
+        return mt.customer_keys(self.stg_customers)
+
     @cached_property
     def fct_orders(self) -> DataFrame:
         return mt.fct_orders(
             self.stg_order_items, self.int_orders_enriched, self.int_orders_attributed,
-            self.dim_date, self.dim_customers, self.dim_products, self.dim_channels,
+            self.dim_date, self.customer_key_lookup(), self.dim_products, self.dim_channels,
         )
 
     @cached_property
     def fct_customer_events(self) -> DataFrame:
         return mt.fct_customer_events(
-            self.stg_events, self.dim_customers, self.dim_date, self.dim_channels
+            self.stg_events, self.customer_key_lookup(), self.dim_date, self.dim_channels
         )
 
     # -- reports -----------------------------------------------------------

@@ -49,6 +49,12 @@ def dim_customers(rfm_scored: DataFrame, orders_enriched: DataFrame) -> DataFram
     )
 
 
+def customer_keys(stg_customers: DataFrame) -> DataFrame:
+    """Key rows of ``dim_customers`` (one current row per staged customer)."""
+    return stg_customers.select("customer_id", surrogate_key("customer_id").alias("customer_key"),
+                                F.lit(True).alias("is_current"))
+
+
 def dim_products(stg_products: DataFrame) -> DataFrame:
     base, cost = F.col("base_price"), F.col("cost_price")
     return stg_products.select(
