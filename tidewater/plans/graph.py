@@ -130,6 +130,14 @@ class ModelGraph:
             return self.dim_customers.select("customer_id", "customer_key", "is_current")
         return mt.customer_keys(self.stg_customers)
 
+    def customer_profile(self) -> DataFrame:
+        """Customer dimension rows for reports that read no RFM column: the
+        dimension itself once materialised, else staged customers + lifetime
+        metrics (same rows and values, no RFM ranking)."""
+        if "dim_customers" in self.__dict__:
+            return self.dim_customers
+        return mt.customer_profile(self.stg_customers, self.int_orders_enriched)
+
     @cached_property
     def fct_orders(self) -> DataFrame:
         return mt.fct_orders(
@@ -148,20 +156,20 @@ class ModelGraph:
         p = self.params
         table = {
             "kpi_summary": lambda: rp.kpi_summary(self.fct_orders),
-            "repeat_customers": lambda: rp.repeat_customers(self.dim_customers),
-            "avg_clv": lambda: rp.avg_clv(self.dim_customers),
+            "repeat_customers": lambda: rp.repeat_customers(self.customer_profile()),
+            "avg_clv": lambda: rp.avg_clv(self.customer_profile()),
             "revenue_daily": lambda: rp.revenue_daily(self.fct_orders, self.dim_date),
             "revenue_rolling7": lambda: rp.revenue_rolling7(self.fct_orders, self.dim_date),
             "aov_monthly": lambda: rp.aov_monthly(self.fct_orders, self.dim_date),
-            "customer_growth": lambda: rp.customer_growth(self.dim_customers),
+            "customer_growth": lambda: rp.customer_growth(self.customer_profile()),
             "segment_distribution": lambda: rp.segment_distribution(self.dim_customers),
             "segment_heatmap": lambda: rp.segment_heatmap(self.dim_customers),
             "revenue_share": lambda: rp.revenue_share(self.dim_customers),
             "segment_details": lambda: rp.segment_details(self.dim_customers),
             "channel_revenue": lambda: rp.channel_revenue(self.fct_orders, self.dim_channels),
-            "first_order_channel": lambda: rp.first_order_channel(self.dim_customers, self.int_orders_attributed),
+            "first_order_channel": lambda: rp.first_order_channel(self.customer_profile(), self.int_orders_attributed),
             "retention_by_channel": lambda: rp.retention_by_channel(
-                self.dim_customers, self.int_orders_attributed, p.min_channel_customers
+                self.customer_profile(), self.int_orders_attributed, p.min_channel_customers
             ),
             "cohort_retention": lambda: rp.cohort_retention(self.int_cohorts_monthly, p.retention_days),
             "attribution_coverage": lambda: rp.attribution_coverage(self.int_orders_attributed),

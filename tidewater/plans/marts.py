@@ -26,18 +26,29 @@ def customer_lifetime(orders_enriched: DataFrame) -> DataFrame:
     )
 
 
+PROFILE = ["customer_id", "email", "first_name", "last_name", "gender", "age", "state", "signup_at",
+           "is_email_opted_in"]
+RFM = ["recency_score", "frequency_score", "monetary_score", "rfm_segment"]
+
+
 def dim_customers(rfm_scored: DataFrame, orders_enriched: DataFrame) -> DataFrame:
     """One current row per customer: profile, RFM, lifetime metrics, SCD2 columns."""
+    return _customer_rows(rfm_scored.select(*PROFILE, *RFM), orders_enriched, RFM)
+
+
+def customer_profile(stg_customers: DataFrame, orders_enriched: DataFrame) -> DataFrame:
+    """``dim_customers`` without the RFM columns.  The dimension's rows are
+    exactly the staged customers, so reports that need no RFM column can
+    read this and skip the ranking."""
+    return _customer_rows(stg_customers.select(*PROFILE), orders_enriched, [])
+
+
+def _customer_rows(people: DataFrame, orders_enriched: DataFrame, extra: list[str]) -> DataFrame:
     life = customer_lifetime(orders_enriched)
-    rfm = rfm_scored.select(
-        "customer_id", "email", "first_name", "last_name", "gender", "age", "state", "signup_at",
-        "is_email_opted_in", "recency_score", "frequency_score", "monetary_score", "rfm_segment",
-    )
-    j = rfm.join(life, "customer_id", "left")
+    j = people.join(life, "customer_id", "left")
     return j.select(
         surrogate_key("customer_id").alias("customer_key"),
-        "customer_id", "email", "first_name", "last_name", "gender", "age", "state", "signup_at",
-        "is_email_opted_in", "recency_score", "frequency_score", "monetary_score", "rfm_segment",
+        *PROFILE, *extra,
         F.coalesce(F.col("lifetime_order_count"), F.lit(0)).cast("long").alias("lifetime_order_count"),
         F.coalesce(F.col("lifetime_revenue"), F.lit(0.0)).alias("lifetime_revenue"),
         F.coalesce(F.col("avg_order_value"), F.lit(0.0)).alias("avg_order_value"),
