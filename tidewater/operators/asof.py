@@ -138,13 +138,12 @@ def _hot_keys(both: DataFrame, target_rows: int, max_hot_keys: int) -> DataFrame
     per_key = both.groupBy("_key").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi")
     )
-    total = per_key.agg(F.sum("_n").alias("_total"))
-    target = F.greatest(F.lit(int(target_rows)), F.ceil(F.col("_total") / F.lit(int(max_hot_keys))))
-    limits = total.select(target.cast("long").alias("_target"))
+    total = per_key.agg(F.sum("_n")).scalar()  # uncorrelated scalar subquery, evaluated once
+    target = F.greatest(F.lit(int(target_rows)), F.ceil(total / F.lit(int(max_hot_keys)))).cast("long")
     span = F.coalesce(F.col("_hi") - F.col("_lo"), F.lit(0)) + F.lit(1)
     width = F.ceil(span.cast("double") * F.col("_target").cast("double") / F.col("_n").cast("double"))
     return (
-        per_key.crossJoin(F.broadcast(limits))  # one row
+        per_key.withColumn("_target", target)
         .where(F.col("_n") > F.col("_target"))
         .select(
             F.col("_key").alias("_hk"),
