@@ -17,7 +17,7 @@ all rows.  The key is therefore split by a time bucket:
    (a partial/final aggregate, so pre-aggregated before its shuffle).  A
    window over the summary, per key and ordered by bucket, gives every bucket
    the latest right row of all earlier buckets.  Its size per key is the
-   number of active buckets, bounded by the calendar, not by the row count.
+   number of the key's buckets: one, or about rows / target for a hot key.
 3. Left rows take the in-bucket match, else the carried one (equi join on
    (key, bucket); the left side is already partitioned that way).
 
