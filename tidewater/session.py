@@ -80,7 +80,10 @@ def write_checkpoint_table(df, name: str):
     Used where a frame carries values that must not be recomputed
     differently (e.g. ``monotonically_increasing_id``) and is read more than
     once.  The table lives in ``spark.checkpoint.dir`` (shared storage on a
-    cluster), so a lost executor does not lose it.
+    cluster), so a lost executor does not lose it.  Parquet is used rather
+    than ``Dataset.checkpoint``: both compute the input once, but Parquet is
+    columnar and compressed and its readers prune columns (the ntile offsets
+    pass reads two of them); on a 600k-row probe it was about twice as fast.
     """
     import uuid
 
