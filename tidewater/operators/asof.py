@@ -10,16 +10,18 @@ A per-key window over the union of both sides is the textbook form, but it
 puts all rows of one key into one task, and one customer may own a third of
 all rows.  The key is therefore split by a time bucket:
 
-1. ``union(left, right)`` is windowed per (key, bucket), ordered by
-   (time, side, tiebreak) with left rows first at equal times, so a running
-   ``last(right, ignorenulls)`` finds the match inside the bucket.
-2. A per-(key, bucket) summary holds the latest right row of each bucket
+1. A per-(key, bucket) summary holds the latest right row of each bucket
    (a partial/final aggregate, so pre-aggregated before its shuffle).  A
    window over the summary, per key and ordered by bucket, gives every bucket
-   the latest right row of all earlier buckets.  Its size per key is the
-   number of the key's buckets: one, or about rows / target for a hot key.
-3. Left rows take the in-bucket match, else the carried one (equi join on
-   (key, bucket); the left side is already partitioned that way).
+   the latest right row of all earlier buckets (the carry).  Its size per key
+   is the number of the key's buckets: one, or about rows / target for a hot
+   key.
+2. Each carry becomes one extra row of its bucket with a NULL time, so it
+   sorts first.  ``union(left, right, carry rows)`` is windowed per (key,
+   bucket), ordered by (time, side, tiebreak) with left rows before right
+   rows at equal times, and a running ``last(right, ignorenulls)`` gives each
+   left row the latest right row before it: inside the bucket if there is
+   one, else the carried one.  No join back is needed.
 
 Buckets.  Only hot keys are split.  One partial/final aggregate counts the
 rows of every key; keys with more than ``target`` rows get their own bucket
@@ -107,21 +109,27 @@ def asof_last_before(
             ),
         )
 
-    # 1. match inside the (key, bucket) group
+    # 1. latest right row of every earlier bucket of the same key
+    summary = both.groupBy("_key", "_b").agg(F.max("_ev").alias("_bmax"))
+    w_carry = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        summary.select("_key", "_b", F.max("_bmax").over(w_carry).alias("_ev"))
+        .where(F.col("_ev").isNotNull() & F.col("_b").isNotNull())
+        .select("_key", "_b", F.lit(None).cast(both.schema["_t"].dataType).alias("_t"),
+                F.lit(1).alias("_side"), F.lit(None).cast("long").alias("_tie"), "_ev")
+    )
+
+    # 2. carry rows sort first in their bucket; a running last() finds the match
     w_local = (
         Window.partitionBy("_key", "_b")
-        .orderBy("_t", "_side", "_tie")
+        .orderBy(F.col("_t").asc_nulls_first(), "_side", "_tie")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = both.withColumn("_local", F.last("_ev", ignorenulls=True).over(w_local)).where(F.col("_side") == 0)
-
-    # 2. latest right row of every earlier bucket of the same key
-    summary = both.groupBy("_key", "_b").agg(F.max("_ev").alias("_bmax"))
-    w_carry = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select("_key", "_b", F.max("_bmax").over(w_carry).alias("_carry"))
-
-    # 3. in-bucket match first, else the carried one
-    out = local.join(carry, ["_key", "_b"], "left").withColumn("_m", F.coalesce("_local", "_carry"))
+    out = (
+        both.unionByName(carry, allowMissingColumns=True)
+        .withColumn("_m", F.last("_ev", ignorenulls=True).over(w_local))
+        .where(F.col("_side") == 0)
+    )
     return out.select(
         *left_cols,
         *[F.col(f"_m._c{i}").alias(name) for i, name in enumerate(right_cols.values())],
