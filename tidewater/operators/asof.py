@@ -15,7 +15,8 @@ all rows.  The key is therefore split by a time bucket:
    window over the summary, per key and ordered by bucket, gives every bucket
    the latest right row of all earlier buckets (the carry).  Its size per key
    is the number of the key's buckets: one, or about rows / target for a hot
-   key.
+   key.  Only split keys take part, so the summary has one row per hot
+   bucket, not one per key.
 2. Each carry becomes one extra row of its bucket with a NULL time, so it
    sorts first.  ``union(left, right, carry rows)`` is windowed per (key,
    bucket), ordered by (time, side, tiebreak) with left rows before right
@@ -30,8 +31,7 @@ about ``target`` rows; every other key keeps one bucket, which holds at most
 ``target`` rows by definition.  Hot keys number fewer than total / target,
 and ``target`` is raised to total / ``max_hot_keys`` when needed, so the
 hot-key table has at most ``max_hot_keys`` rows: a broadcast with a proven
-bound, attached without a shuffle.  The summary of step 2 then has one row
-per key plus one per hot bucket, far fewer than the input rows.
+bound, attached without a shuffle.
 
 Hot keys are spread over as many tasks as they have active buckets; no
 all-pairs product is formed and no data-sized side is broadcast.
@@ -100,6 +100,7 @@ def asof_last_before(
     if bucket_seconds is not None:
         width = F.lit(int(bucket_seconds) * 1_000_000)
         both = both.withColumn("_b", F.floor(F.col("_us") / width).cast("long"))
+        split = both
     else:
         hot = F.broadcast(_hot_keys(both, target_rows, max_hot_keys))  # <= max_hot_keys rows
         both = both.join(hot, both["_key"] == hot["_hk"], "left").withColumn(
@@ -108,9 +109,11 @@ def asof_last_before(
                 F.floor((F.col("_us") - F.col("_hlo")) / F.col("_hwidth")).cast("long") + 1
             ),
         )
+        # Keys that are not hot keep one bucket, so nothing is carried for them.
+        split = both.where(F.col("_hwidth").isNotNull())
 
     # 1. latest right row of every earlier bucket of the same key
-    summary = both.groupBy("_key", "_b").agg(F.max("_ev").alias("_bmax"))
+    summary = split.groupBy("_key", "_b").agg(F.max("_ev").alias("_bmax"))
     w_carry = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         summary.select("_key", "_b", F.max("_bmax").over(w_carry).alias("_ev"))
