@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.ntile import exact_ntile
@@ -30,9 +31,7 @@ def test_heavy_ties_groups_and_direction(spark):
     df = spark.createDataFrame(data, "id long, v long, g boolean")
     order = [F.col("v").desc_nulls_last(), F.col("id").asc()]
     got = exact_ntile(df, 5, order, group=F.col("g").cast("int"), out="tile", partitions=8)
-    want = df.withColumn(
-        "tile", F.ntile(5).over(__import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("g").orderBy(*order))
-    )
+    want = df.withColumn("tile", F.ntile(5).over(Window.partitionBy("g").orderBy(*order)))
     assert sorted(map(tuple, got.select("id", "tile").collect())) == sorted(
         map(tuple, want.select("id", "tile").collect())
     )
