@@ -42,3 +42,16 @@ def test_carry_limits_columns(spark):
     res = exact_ntile(df.select("id", "v"), 2, [F.col("v").asc(), F.col("id").asc()], out="t", carry=["id"])
     assert res.columns == ["id", "t"]
     assert sorted(r.t for r in res.collect()) == [1] * 5 + [2] * 5
+
+
+def test_result_does_not_depend_on_partitioning(spark):
+    rng = random.Random(11)
+    data = [(i, rng.randint(0, 9), i % 4 == 0) for i in range(500)]
+    df = spark.createDataFrame(data, "id long, v long, g boolean").repartition(7)
+    order = [F.col("v").asc(), F.col("id").asc()]
+    results = {
+        parts: sorted(map(tuple, exact_ntile(df, 5, order, group=F.col("g").cast("int"), out="t",
+                                             partitions=parts).select("id", "t").collect()))
+        for parts in (1, 3, 50)
+    }
+    assert results[1] == results[3] == results[50]
