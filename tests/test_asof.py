@@ -100,3 +100,18 @@ def test_hot_key_is_split_across_buckets(spark):
     assert "hashpartitioning(_key" in plan and "_b" in plan
     got = {r.lid: r.m_id for r in res.collect()}
     assert got[0] is None and all(got[i] == i - 1 for i in range(1, 20))
+
+
+def test_result_does_not_depend_on_shuffle_partitions(spark):
+    rng = random.Random(5)
+    left = [(i, rng.randint(1, 4), t(rng.randint(0, 20), rng.randint(0, 3) * 600)) for i in range(120)]
+    right = [(500 + j, rng.randint(1, 4), t(rng.randint(0, 20), rng.randint(0, 3) * 600), "r") for j in range(160)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = {}
+    try:
+        for parts in ("1", "37"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got[parts] = run(spark, left, right, None, target_rows=10)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got["1"] == got["37"] == brute(left, right)
