@@ -162,24 +162,3 @@ def _hot_keys(both: DataFrame, target_rows: int, max_hot_keys: int) -> DataFrame
             F.greatest(width.cast("long"), F.lit(1)).alias("_hwidth"),
         )
     )
-
-
-def asof_last_before_window(
-    left: DataFrame,
-    right: DataFrame,
-    *,
-    by: str,
-    left_time: str,
-    right_time: str,
-    right_tiebreak: str,
-    right_cols: dict[str, str],
-) -> DataFrame:
-    """Reference form with one window per key (one task per key).
-
-    Kept for the tests and the benchmark comparison; the bucketed
-    ``asof_last_before`` is the one used by the models.
-    """
-    return asof_last_before(
-        left, right, by=by, left_time=left_time, right_time=right_time,
-        right_tiebreak=right_tiebreak, right_cols=right_cols, bucket_seconds=10**12,
-    )

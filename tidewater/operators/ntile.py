@@ -95,9 +95,3 @@ def exact_ntile(
     # only keeps ANSI mode from seeing a zero divisor.
     tile = F.when(i < big, F.floor(i / (q + 1)) + 1).otherwise(F.floor((i - big) / F.greatest(q, F.lit(1))) + r + 1)
     return joined.select(*cols, tile.cast("int").alias(out))
-
-
-def ntile_window(df: DataFrame, tiles: int, order_by: list[Column], *, out: str, group: Column | None = None) -> DataFrame:
-    """Plain window form (one task per group); used as the test reference."""
-    w = Window.partitionBy(group if group is not None else F.lit(0)).orderBy(*order_by)
-    return df.withColumn(out, F.ntile(tiles).over(w))
