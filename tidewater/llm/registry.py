@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import chat, decontaminate
+from tidewater.llm import chat, decontaminate, packing, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_chat_format": chat.op7_chat_format,
+    "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op10_token_files": token_files.op10_token_files,
 }
 ORACLES: dict[str, str] = {
     "op6_decontaminate": decontaminate.ORACLE_SQL,
