@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import chat, decontaminate, packing, token_files
+from tidewater.llm import chat, decontaminate, fingerprint, packing, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_warc": warc.op5_warc,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_chat_format": chat.op7_chat_format,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_token_files": token_files.op10_token_files,
 }
 ORACLES: dict[str, str] = {
+    "op5_warc": warc.ORACLE_SQL,
     "op6_decontaminate": decontaminate.ORACLE_SQL,
     "op7_chat_format": chat.ORACLE_SQL,
 }
