@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import chat, decontaminate, fingerprint, packing, token_files, warc
+from tidewater.llm import chat, decontaminate, fingerprint, langid, packing, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": langid.op2_language_id,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op5_warc": warc.op5_warc,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_chat_format": chat.op7_chat_format,
