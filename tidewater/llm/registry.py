@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import chat, decontaminate, fingerprint, langid, packing, token_files, toxicity, warc
+from tidewater.llm import chat, decontaminate, fingerprint, jaccard, langid, packing, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
     "op2_language_id": langid.op2_language_id,
     "op3_toxicity": toxicity.op3_toxicity,
     "op5_warc": warc.op5_warc,
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_files": token_files.op10_token_files,
 }
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard": jaccard.ORACLE_SQL,
     "op5_warc": warc.ORACLE_SQL,
     "op6_decontaminate": decontaminate.ORACLE_SQL,
     "op7_chat_format": chat.ORACLE_SQL,
