@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import chat, decontaminate, fingerprint, jaccard, langid, packing, token_files, toxicity, warc
+from tidewater.llm import chat, decontaminate, fingerprint, jaccard, langid, packing, substring_dedup, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
     "op2_language_id": langid.op2_language_id,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_suffix_array_dedup": substring_dedup.op4_suffix_array_dedup,
     "op5_warc": warc.op5_warc,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_chat_format": chat.op7_chat_format,

@@ -189,9 +189,14 @@ def _collapse(e: _Entries) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _text_hash(data: bytes) -> int:
+    """XXH64 with seed 42: as Spark's xxhash64 of the text."""
     import xxhash
 
-    return xxhash.xxh3_64_intdigest(data)
+    return xxhash.xxh64_intdigest(data, seed=42)
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 def _bucket_of_doc(text: np.ndarray, buckets: int) -> np.ndarray:
@@ -303,9 +308,9 @@ def _fetch(docs: pa.Table, rows: pa.Table) -> pa.Table:
     for doc, raw, place, windows, anchor in _spread(docs, rows):
         if not len(place):
             continue
-        name = np.array([_text_hash(raw)], dtype=np.uint64).view(np.int64)[0]
+        name = _signed(_text_hash(raw))
         for p, w, a in zip(place.tolist(), windows.tolist(), anchor.tolist()):
-            out.append((a, NO_ID if doc is None else doc, int(name), p, w, raw[p : p + w + LENGTH - 1]))
+            out.append((a, NO_ID if doc is None else doc, name, p, w, raw[p : p + w + LENGTH - 1]))
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
     names = [c.split(" ")[0] for c in WANTED_ROWS.split(", ")]
     columns = list(zip(*out)) or [[] for _ in kinds]
@@ -410,7 +415,7 @@ def _remove(docs: pa.Table, rows: pa.Table, give_text: bool) -> pa.Table:
         kept = np.frombuffer(raw, dtype=np.uint8)[~covered].tobytes() if covered.any() else raw
         spans = int((np.diff(np.r_[0, covered.view(np.int8)]) == 1).sum())
         row = (doc, len(raw), int(covered.sum()), spans, hashlib.sha256(kept).hexdigest())
-        out.append((*row, _text_hash(raw) - (1 << 63), kept.decode("utf-8", "ignore")) if give_text else row)
+        out.append((*row, _signed(_text_hash(raw)), kept.decode("utf-8", "ignore")) if give_text else row)
     names, kinds = _result(give_text)
     columns = list(zip(*out)) or [[] for _ in kinds]
     return pa.Table.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds)], names=names)
@@ -439,10 +444,12 @@ def repeated_spans(documents: DataFrame, give_text: bool = False) -> DataFrame:
     groups = pieces(sizes, ARRAY_GROUP_BYTES)
     hot = wanted.groupBy("anchor").agg(F.count("*").alias("c")).where(F.col("c") > HOT_UNITS).select("anchor")
     cold = wanted.join(hot, "anchor", "left_anti").withColumn("g", F.pmod(F.xxhash64("anchor"), F.lit(groups)))
-    parts = [decided.where(F.col("kind") == DECIDED), cold.groupBy("g").applyInArrow(lambda t: _arrays(t, buckets), UNIT_ROWS)]
+    known = decided.where(F.col("kind") == DECIDED).unionByName(
+        cold.groupBy("g").applyInArrow(lambda t: _arrays(t, buckets), UNIT_ROWS)
+    )
     if not hot.isEmpty():
-        parts.append(_by_window(wanted.join(hot, "anchor", "left_semi"), groups, buckets))
-    known = stored(parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0].unionByName(parts[1]).unionByName(parts[2]), "spans")
+        known = known.unionByName(_by_window(wanted.join(hot, "anchor", "left_semi"), groups, buckets))
+    known = stored(known, "spans")
     names, kinds = _result(give_text)
     schema = ", ".join(f"{n} {'string' if k == pa.string() else 'long'}" for n, k in zip(names, kinds))
     return (
@@ -468,23 +475,22 @@ def _by_window(units: DataFrame, groups: int, buckets: int) -> DataFrame:
 def remove_repeats(documents: DataFrame) -> DataFrame:
     """The documents with the repeated bytes taken out of their text; all rows and columns stay.
 
-    Where a removed run cuts a character in two, its left-over bytes go as well.
+    Where a removed run cuts a character in two, its left-over bytes go as
+    well.  A null text stays null.  Only the other columns are shuffled beside
+    the kept texts.
     """
-    kept = repeated_spans(documents, give_text=True).where("n_removed > 0").select(
-        F.col("doc_id").alias("__id"), F.col("n_bytes").alias("__n"), F.col("text_hash").alias("__h"), F.col("kept").alias("__kept")
-    ).dropDuplicates(["__id", "__n", "__h"])
-    named = documents.mapInArrow(_named, documents.schema.add("__hash", "long"))
+    kept = repeated_spans(documents, give_text=True).select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__h"), F.col("kept").alias("__kept")
+    )
+    kept = kept.groupBy("__id", "__h").agg(F.first("__kept").alias("__kept"))  # equal rows keep equal texts
+    named = documents.withColumns(
+        {"__hash": F.xxhash64(F.coalesce("text", F.lit(""))), "__none": F.col("text").isNull()}
+    ).drop("text")
     same = named["doc_id"].eqNullSafe(F.col("__id")) & (named["__hash"] == F.col("__h"))
-    out = named.join(kept, same, "left").withColumn("text", F.coalesce("__kept", "text"))
+    out = named.join(kept, same).withColumn("text", F.when(~F.col("__none"), F.col("__kept")))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return out.select(*documents.columns)
-
-
-def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names = [_text_hash((t or "").encode()) - (1 << 63) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, type=pa.int64())], names=[*batch.schema.names, "__hash"])
+    return out.select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
