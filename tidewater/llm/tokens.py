@@ -1,11 +1,10 @@
-"""Token ids from a public tokenizer file, word by word with a bounded cache.
-
-Both tokenizers used here split a text before they merge: a place between a
-non-blank character and a blank always starts a new piece, so the text may be
-cut before each single blank and the cuts encoded apart.  Most words repeat,
-so their ids are looked up; only unseen words reach the tokenizer.  A text in
-which a blank stands beside other white space is encoded whole instead, as
-cuts inside a run of white space would not be safe.
+"""Token ids from a public tokenizer file, piece by piece with a bounded cache.
+
+Both tokenizers used here first split a text into pieces (a word with the blank
+before it, a run of marks, ...) and merge within each piece.  Texts of Latin-1
+letters, ASCII and line breaks are split here by the same rule, and the ids of
+a piece are looked up; only unseen pieces reach the tokenizer, many at a time.
+Any other text is encoded whole.
 """
 
 from __future__ import annotations
@@ -15,41 +14,27 @@ from collections.abc import Iterable
 
 import numpy as np
 
-#: Words whose ids one Python worker keeps in each of two generations.
-CACHE_WORDS = 250_000
-_UNSAFE = re.compile(r" \s|\s ")
-#: Runs of common letters; between them only marks that never share a piece with letters.
-_RUNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)")
-_MARKS = re.compile(r"(?:[.,;:!?|()-]|\n(?!\n))*\Z")
-
-
-class _Cache:
-    """A dict of two generations: when the young one is full it becomes the old one."""
-
-    def __init__(self, limit: int):
-        self.limit, self.young, self.old = limit, {}, {}
+#: Pieces whose ids one Python worker keeps in each of two generations.
+CACHE_PIECES = 250_000
 
-    def age(self) -> None:
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
+# The two files' splitting rules, for the characters below.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_MARKS = r"!-/:-@\[-`{-~"
+_SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
+_WITH_BLANK = re.compile(rf"{_SHORT}| ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\s+(?!\S)|\s+")
+_NO_BLANK = re.compile(rf"{_SHORT}|[{_LETTERS}]+|[0-9]|[{_MARKS}]+")
+_OTHER = re.compile(rf"[^\n -~{_LETTERS}]")
 
-    def find(self, key: str):
-        v = self.young.get(key)
-        if v is None:
-            v = self.old.get(key)
-            if v is not None:
-                self.young[key] = v
-        return v
 
-
-class WordTokenizer:
+class PieceTokenizer:
     """Ids of texts as packed little-endian unsigned 32-bit integers.
 
     ``blank_is_text``: whether a word's leading blank belongs to its tokens
-    (byte-level vocabularies) or blanks are dropped (vocabularies of word ends).
+    (byte-level vocabularies), or blanks and case are dropped (vocabularies of
+    word ends).
     """
 
-    def __init__(self, path: str, blank_is_text: bool, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, blank_is_text: bool, cache_pieces: int = CACHE_PIECES):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
@@ -57,108 +42,73 @@ class WordTokenizer:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._blank = " " if blank_is_text else ""
-        self._words = _Cache(cache_words)  # words that follow a blank
-        self._first = _Cache(cache_words)  # words that open a text
-        self._runs = _Cache(cache_words)  # letter runs (with the blank, where that is text) and marks
+        self._blank = blank_is_text
+        self._limit, self._ids, self._old = cache_pieces, {}, {}
         vocab = self._tokenizer.get_vocab()
         self._edge = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
-        for token, i in vocab.items():  # the token that opens (or closes) a run of letters
+        for token, i in vocab.items():  # the token that opens (or closes) a word
             self._edge[i] = token.startswith("Ġ") if blank_is_text else token.endswith("</w>")
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _fill_runs(self, runs: set[str]) -> None:
-        """Ids of runs; letter runs after a blank are encoded many at a time and told apart by their edges."""
-        new = [w for w in runs if self._runs.find(w) is None]
-        young = self._runs.young
-        many = [w for w in new if (w[0] == " " or not self._blank) and w[-1].isalpha()]
-        lone = [w for w in new if not ((w[0] == " " or not self._blank) and w[-1].isalpha())]
-        if lone:
-            young.update(zip(lone, self._ask(lone)))
-        for k in range(0, len(many), 256):
-            part = many[k : k + 256]
+    def _learn(self, pieces: set[str]) -> None:
+        ids, old = self._ids, self._old
+        if len(ids) > self._limit:
+            self._old, self._ids = ids, {}
+            ids, old = self._ids, self._old
+        new = pieces.difference(ids)
+        if old:
+            ids.update((p, old[p]) for p in new & old.keys())
+            new = new.difference(ids)
+        # words that start with a blank (or where blanks are dropped: all) are encoded together and told apart by their edges
+        many = [p for p in new if p[-1].isalpha() and (p[0] == " " or not self._blank) and p[0] != "'"]
+        for k in range(0, len(many), 512):
+            part = many[k : k + 512]
             joined = "".join(part) if self._blank else " ".join(part)
-            ids = np.array(self._tokenizer.encode(joined, add_special_tokens=False).ids, dtype="<u4")
-            edges = np.flatnonzero(self._edge[ids])
-            if len(edges) != len(part):  # not one edge a run: ask for each
-                young.update(zip(part, self._ask(part)))
+            flat = np.array(self._tokenizer.encode(joined, add_special_tokens=False).ids, dtype="<u4")
+            edges = np.flatnonzero(self._edge[flat])
+            if len(edges) != len(part):  # not one edge a word: ask for each
+                ids.update(zip(part, self._ask(part)))
                 continue
             cuts = edges[1:] if self._blank else edges[:-1] + 1
-            raw, at = ids.tobytes(), 0
-            for w, end in zip(part, [*(cuts * 4).tolist(), 4 * len(ids)]):
-                young[w] = raw[at:end]
-                at = end
-
-    def _fill(self, cache: _Cache, words: set[str], blank: str) -> None:
-        """Ids of words, put together from those of their letter runs and marks."""
-        plain, made, runs = [], [], set()
-        for w in words:
-            if cache.find(w) is not None:
-                continue
-            if w.isalpha():
-                parts = (blank + w,)
-            elif w[:-1].isalpha() and w[-1] in ".,":
-                parts = (blank + w[:-1], w[-1])
-            else:
-                split = _RUNS.split(w)
-                if len(split) < 3 or (blank and split[0]) or not all(map(_MARKS.match, split[::2])):
-                    plain.append(w)
-                    continue
-                split[1] = blank + split[1]
-                parts = tuple(x for x in split if x)
-            made.append((w, parts))
-            runs.update(parts)
-        self._fill_runs(runs)
-        ids, young = self._runs.young, cache.young
-        for w, parts in made:
-            young[w] = ids[parts[0]] if len(parts) == 1 else b"".join([ids[x] for x in parts])
-        if plain:
-            young.update(zip(plain, self._ask([blank + w for w in plain])))
+            ends = [*(cuts * 4).tolist(), 4 * len(flat)]
+            raw = flat.tobytes()
+            ids.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+        lone = list(new.difference(many))
+        if lone:
+            ids.update(zip(lone, self._ask(lone)))
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
-        for cache in (self._words, self._first, self._runs):
-            cache.age()
-        split, whole = [], {}
+        split, whole, seen = [], {}, set()
+        pieces_of = _WITH_BLANK.findall if self._blank else _NO_BLANK.findall
         for i, text in enumerate(texts):
-            if text and _UNSAFE.search(text):
+            pieces = ()
+            if text and _OTHER.search(text):
                 whole[i] = text
-                text = None
-            split.append(text.split(" ") if text else None)
-        known, first = self._words.young.get, self._first.young.get
-        unseen, opening, found = set(), set(), []
-        for words in split:
-            ids = list(map(known, words[1:])) if words else []
-            if None in ids:
-                unseen.update([w for w, x in zip(words[1:], ids) if x is None])
-                ids = None
-            if words and first(words[0]) is None:
-                opening.add(words[0])
-            found.append(ids)
-        self._fill(self._words, unseen, self._blank)
-        self._fill(self._first, opening, "")
-        known, first = self._words.young.__getitem__, self._first.young.__getitem__
-        out = []
-        for words, ids in zip(split, found):
-            rest = b"".join(map(known, words[1:]) if ids is None else ids)
-            out.append(first(words[0]) + rest if words else b"")
+            elif text:
+                pieces = pieces_of(text if self._blank else text.lower())
+                seen.update(pieces)
+            split.append(pieces)
+        self._learn(seen)
+        ids = self._ids.__getitem__
+        out = [b"".join(map(ids, pieces)) for pieces in split]
         if whole:
-            for i, ids in zip(whole, self._ask(list(whole.values()))):
-                out[i] = ids
+            for i, found in zip(whole, self._ask(list(whole.values()))):
+                out[i] = found
         return out
 
 
-_LOADED: dict[tuple, WordTokenizer] = {}
+_LOADED: dict[tuple, PieceTokenizer] = {}
 
 
-def tokenizer(path: str, blank_is_text: bool) -> WordTokenizer:
+def tokenizer(path: str, blank_is_text: bool) -> PieceTokenizer:
     """The worker's tokenizer for a file; its cache lives as long as the worker."""
     key = (path, blank_is_text)
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = WordTokenizer(path, blank_is_text)
+        _LOADED[key] = PieceTokenizer(path, blank_is_text)
     return _LOADED[key]
 
 
