@@ -16,15 +16,20 @@ def test_entry_runs(spark):
     assert df.columns == ["channel_group", "channel_category", "orders", "revenue", "customers"]
 
 
+def model_keys():
+    """The registered queries apart from the text operators', which have tests of their own."""
+    return [k for k in entry_mod.queries() if k not in entry_mod.TEXT_QUERIES]
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    assert set(model_keys()) <= set(entry_mod.oracle_sql())
 
 
 def test_oracle_agreement_all_keys_sf0001():
     """Every registered query against its DuckDB twin on the smallest tables."""
     out = subprocess.run(
-        [sys.executable, os.path.join(ROOT, "scripts", "check_oracle.py"), "/root/testdata/sf0.001"],
+        [sys.executable, os.path.join(ROOT, "scripts", "check_oracle.py"), "/root/testdata/sf0.001", *model_keys()],
         capture_output=True, text=True, timeout=2400,
     )
-    assert out.stdout.count(" OK ") == len(entry_mod.queries()), out.stdout[-3000:]
+    assert out.stdout.count(" OK ") == len(model_keys()), out.stdout[-3000:]
     assert "mismatches: 0" in out.stdout, out.stdout[-3000:]

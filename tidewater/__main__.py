@@ -1,11 +1,12 @@
 """Command line: build the models, run the checks, print a report.
 
   python -m tidewater build  --tables DIR --out DIR [--as-of TS] [--threads N]
-  python -m tidewater check  --tables DIR [--as-of TS]
-  python -m tidewater report NAME --tables DIR [--as-of TS] [--limit N]
+  python -m tidewater check  --tables DIR [--marts DIR] [--as-of TS]
+  python -m tidewater report NAME --tables DIR [--marts DIR] [--as-of TS] [--limit N] [--out DIR]
 
 ``--tables`` is a folder of the given TPC-H-style Parquet tables; use
-``--raw`` instead for a folder of raw_* source tables.  ``build`` writes all
+``--raw`` instead for a folder of raw_* source tables.  ``--marts`` is a folder
+that ``build`` wrote: reports and checks then read its tables.  ``build`` writes all
 models in dependency order (facts partitioned by month) and then runs the 57
 checks over the written tables, like a build-then-test run; it exits 1 when
 a check fails.
@@ -37,22 +38,34 @@ def main(argv: list[str] | None = None) -> int:
         src.add_argument("--tables", help="folder of the given TPC-H-style Parquet tables")
         src.add_argument("--raw", help="folder of raw_* source tables")
         p.add_argument("--as-of", help="run time, e.g. 2001-08-02T00:00:00 (default: the test as-of)")
+        if name != "build":
+            p.add_argument("--marts", help="folder of built models to read instead of deriving them")
         if name == "build":
             p.add_argument("--out", required=True, help="output folder for the model tables")
             p.add_argument("--threads", type=int, default=4)
         if name == "report":
             p.add_argument("name")
-            p.add_argument("--limit", type=int, default=50, help="rows to print")
+            p.add_argument("--limit", type=int, help="print only so many rows (default: all)")
+            p.add_argument("--out", help="write the report here as CSV instead of printing it")
     args = ap.parse_args(argv)
     graph = _graph(args)
+    if getattr(args, "marts", None):
+        graph.open_models(args.marts)
     if args.cmd == "report":
-        graph.report(args.name).show(args.limit, truncate=False)
+        report = graph.report(args.name)
+        if args.out:
+            report.write.csv(args.out, header=True)
+            return 0
+        rows = report.count()
+        report.show(rows if args.limit is None else args.limit, truncate=False)
+        if args.limit is not None and rows > args.limit:
+            print(f"{args.limit} of {rows} rows shown")
         return 0
     if args.cmd == "build":
         for name, path in graph.write_models(args.out, threads=args.threads).items():
             print(f"built {name}: {path}")
     results = graph.check_results(materialize=args.cmd == "check")
-    results.orderBy("model", "test_name").show(100, truncate=False)
+    results.orderBy("model", "test_name").show(results.count(), truncate=False)
     failed = results.where("failures > 0").count()
     print(f"{failed} failing check(s)")
     return 1 if failed else 0

@@ -1,11 +1,12 @@
 """Exact money arithmetic and rounding.
 
-Money arrives as double holding whole cents.  Sums are taken over integer
-cents (64-bit, exact, and much cheaper to aggregate and shuffle than
-decimal(38,2)), so the result does not depend on the order in which
-partitions are added up; ``cents_sum / 100.0`` is the correctly rounded
-double of the exact sum.  Rounding is half away from zero through decimals,
-like the source's ``round(x::numeric, n)``.
+Money arrives as double.  Sums are taken over whole ten-thousandths (64-bit,
+exact, and much cheaper to aggregate and shuffle than a wide decimal), so the
+result does not depend on the order in which partitions are added up;
+``units / 10000.0`` is the correctly rounded double of the exact sum.  Amounts
+with up to four decimals are exact; a finer one counts as its nearest
+ten-thousandth.  A sum beyond 9.2e14 raises (ANSI mode) instead of wrapping.
+Rounding is half away from zero, like the source's ``round(x::numeric, n)``.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 
 # Scale used when a double is turned into a decimal before rounding.
 ROUND_SCALE = "decimal(38,10)"
-MONEY = "decimal(38,2)"
 
 
 def round_half_up(x: Column, digits: int) -> Column:
@@ -33,23 +33,27 @@ def round_half_even_float(x: Column, digits: int) -> Column:
     return F.rint(x * F.lit(scale)) / F.lit(scale)
 
 
-def cents(x: Column) -> Column:
-    """A money double as whole cents (the nearest integer of x * 100)."""
-    return F.floor(x * F.lit(100.0) + F.lit(0.5)).cast("long")
+PER_ONE = 10_000
 
 
-def from_cents(c: Column) -> Column:
-    return c / F.lit(100.0)
+def units(x: Column) -> Column:
+    """A money double as whole ten-thousandths, halves away from zero."""
+    near = F.floor(F.abs(x) * F.lit(float(PER_ONE)) + F.lit(0.5)).cast("long")
+    return F.when(x < 0, -near).otherwise(near)
 
 
-def cents_sum(x: Column) -> Column:
-    """Exact sum of a money column, as a long count of cents."""
-    return F.sum(cents(x))
+def from_units(c: Column) -> Column:
+    return c / F.lit(float(PER_ONE))
+
+
+def units_sum(x: Column) -> Column:
+    """Exact sum of a money column, as a long count of ten-thousandths."""
+    return F.sum(units(x))
 
 
 def money_sum(x: Column) -> Column:
     """Exact sum of a money column, as double."""
-    return from_cents(cents_sum(x))
+    return from_units(units_sum(x))
 
 
 def money_avg(x: Column) -> Column:

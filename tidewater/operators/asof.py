@@ -25,13 +25,15 @@ all rows.  The key is therefore split by a time bucket:
    one, else the carried one.  No join back is needed.
 
 Buckets.  Only hot keys are split.  One partial/final aggregate counts the
-rows of every key; keys with more than ``target`` rows get their own bucket
-width (their time span / (rows / target)), so each of their buckets holds
-about ``target`` rows; every other key keeps one bucket, which holds at most
-``target`` rows by definition.  Hot keys number fewer than total / target,
-and ``target`` is raised to total / ``max_hot_keys`` when needed, so the
-hot-key table has at most ``max_hot_keys`` rows: a broadcast with a proven
-bound, attached without a shuffle.
+rows of every key; keys with more than ``target`` rows are cut at ``PARTS``
+quantiles of their own times, so each bucket holds about as many rows however
+the times are spread; every other key keeps one bucket, which holds at most
+``target`` rows by definition.  Rows of one key at one and the same instant
+share a bucket.  Hot keys number fewer than total / ``target``, and ``target``
+is raised to total / ``max_hot_keys`` when needed, so the hot-key table has at
+most ``max_hot_keys`` rows of ``PARTS`` numbers: a broadcast with a proven
+bound, attached without a shuffle.  Left rows without a key match nothing and
+pass by.
 
 Hot keys are spread over as many tasks as they have active buckets; no
 all-pairs product is formed and no data-sized side is broadcast.
@@ -42,6 +44,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Buckets of a hot key.
+PARTS = 256
+
 
 def asof_last_before(
     left: DataFrame,
@@ -54,7 +59,7 @@ def asof_last_before(
     right_cols: dict[str, str],
     bucket_seconds: int | None = None,
     target_rows: int = 1_000_000,
-    max_hot_keys: int = 1_000_000,
+    max_hot_keys: int = 10_000,
 ) -> DataFrame:
     """Attach to ``left`` the latest ``right`` row with the same ``by`` key
     and ``right_time < left_time``.
@@ -80,19 +85,20 @@ def asof_last_before(
         F.col(right_tiebreak).alias("_rtie"),
         *[F.col(src).alias(f"_c{i}") for i, src in enumerate(right_cols)],
     )
-    lhs = left.select(
+    tie_type = right.schema[right_tiebreak].dataType
+    lhs = left.where(F.col(by).isNotNull()).select(
         *left_cols,
         F.col(by).alias("_key"),
         F.col(left_time).alias("_t"),
         F.lit(0).alias("_side"),
-        F.lit(None).cast("long").alias("_tie"),
+        F.lit(None).cast(tie_type).alias("_tie"),
         micros(left_time).alias("_us"),
     )
     rhs = right.where(F.col(by).isNotNull() & F.col(right_time).isNotNull()).select(
         F.col(by).alias("_key"),
         F.col(right_time).alias("_t"),
         F.lit(1).alias("_side"),
-        F.col(right_tiebreak).cast("long").alias("_tie"),
+        F.col(right_tiebreak).alias("_tie"),
         micros(right_time).alias("_us"),
         payload.alias("_ev"),
     )
@@ -105,12 +111,12 @@ def asof_last_before(
         hot = F.broadcast(_hot_keys(both, target_rows, max_hot_keys))  # <= max_hot_keys rows
         both = both.join(hot, both["_key"] == hot["_hk"], "left").withColumn(
             "_b",
-            F.when(F.col("_hwidth").isNull(), F.lit(0).cast("long")).otherwise(
-                F.floor((F.col("_us") - F.col("_hlo")) / F.col("_hwidth")).cast("long") + 1
-            ),
+            F.when(F.col("_hbounds").isNull(), F.lit(0)).otherwise(
+                F.size(F.filter("_hbounds", lambda b: b <= F.col("_us")))
+            ).cast("long"),
         )
         # Keys that are not hot keep one bucket, so nothing is carried for them.
-        split = both.where(F.col("_hwidth").isNotNull())
+        split = both.where(F.col("_hbounds").isNotNull())
 
     # 1. latest right row of every earlier bucket of the same key
     summary = split.groupBy("_key", "_b").agg(F.max("_ev").alias("_bmax"))
@@ -119,7 +125,7 @@ def asof_last_before(
         summary.select("_key", "_b", F.max("_bmax").over(w_carry).alias("_ev"))
         .where(F.col("_ev").isNotNull() & F.col("_b").isNotNull())
         .select("_key", "_b", F.lit(None).cast(both.schema["_t"].dataType).alias("_t"),
-                F.lit(1).alias("_side"), F.lit(None).cast("long").alias("_tie"), "_ev")
+                F.lit(1).alias("_side"), F.lit(None).cast(tie_type).alias("_tie"), "_ev")
     )
 
     # 2. carry rows sort first in their bucket; a running last() finds the match
@@ -133,32 +139,28 @@ def asof_last_before(
         .withColumn("_m", F.last("_ev", ignorenulls=True).over(w_local))
         .where(F.col("_side") == 0)
     )
-    return out.select(
+    matched = out.select(
         *left_cols,
         *[F.col(f"_m._c{i}").alias(name) for i, name in enumerate(right_cols.values())],
     )
+    keyless = left.where(F.col(by).isNull()).select(
+        *left_cols, *[F.lit(None).cast(right.schema[src].dataType).alias(name) for src, name in right_cols.items()]
+    )
+    return matched.unionAll(keyless)
 
 
 def _hot_keys(both: DataFrame, target_rows: int, max_hot_keys: int) -> DataFrame:
-    """(_hk, _hlo, _hwidth) for keys with more rows than the bucket target.
+    """(_hk, _hbounds) for keys with more rows than the bucket target: quantiles of the key's times.
 
     Rows per key come from a partial + final aggregate (one row per key and
     map task is shuffled).  target = max(target_rows, total / max_hot_keys),
     so fewer than max_hot_keys keys can exceed it.
     """
-    per_key = both.groupBy("_key").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi")
-    )
-    total = per_key.agg(F.sum("_n")).scalar()  # uncorrelated scalar subquery, evaluated once
+    total = both.agg(F.count(F.lit(1))).scalar()  # uncorrelated scalar subquery, evaluated once
     target = F.greatest(F.lit(int(target_rows)), F.ceil(total / F.lit(int(max_hot_keys)))).cast("long")
-    span = F.coalesce(F.col("_hi") - F.col("_lo"), F.lit(0)) + F.lit(1)
-    width = F.ceil(span.cast("double") * F.col("_target").cast("double") / F.col("_n").cast("double"))
-    return (
-        per_key.withColumn("_target", target)
-        .where(F.col("_n") > F.col("_target"))
-        .select(
-            F.col("_key").alias("_hk"),
-            F.coalesce(F.col("_lo"), F.lit(0)).alias("_hlo"),
-            F.greatest(width.cast("long"), F.lit(1)).alias("_hwidth"),
-        )
+    hot = both.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target).select("_key")
+    times = both.where(F.col("_us").isNotNull()).select("_key", "_us").join(F.broadcast(hot), "_key", "left_semi")
+    cuts = [k / PARTS for k in range(1, PARTS)]
+    return times.groupBy("_key").agg(F.percentile_approx("_us", cuts, 20 * PARTS).alias("_q")).select(
+        F.col("_key").alias("_hk"), F.array_distinct("_q").alias("_hbounds")
     )

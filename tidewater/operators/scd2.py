@@ -10,9 +10,11 @@ is_current) and a new snapshot, produce the new history:
 * keys missing from the snapshot stay current (no hard-delete handling);
 * closed rows are carried over untouched.
 
-Change detection compares an md5 of the tracked columns, so one full outer
-join on the natural key does the work (hash-partitioned on the key; AQE
-splits skewed keys).  The history key is md5(natural key, effective_from).
+Change detection compares the tracked columns themselves, null-safe, in one
+full outer join on the natural key (hash-partitioned on the key; AQE splits
+skewed keys); each joined row gives its one or two history rows by ``inline``.
+A NULL key is a key like any other: it is kept once.  The history key is
+md5(natural key, effective_from).
 """
 
 from __future__ import annotations
@@ -28,10 +30,6 @@ from tidewater.functions.keys import surrogate_key
 OPEN_END = dt.datetime(9999, 12, 31)
 
 
-def _row_hash(cols: list[str], prefix: str = "") -> F.Column:
-    return surrogate_key(*[F.col(prefix + c) for c in cols])
-
-
 def scd2_merge(
     history: DataFrame,
     snapshot: DataFrame,
@@ -44,44 +42,29 @@ def scd2_merge(
     """Merge ``snapshot`` into ``history`` (both hold ``key`` and the attribute columns)."""
     attrs = [c for c in snapshot.columns if c != key]
     meta = ["effective_from", "effective_to", "is_current"]
-    at = ntz(change_at)
-    end = ntz(OPEN_END)
-
-    closed_before = history.where(~F.col("is_current")).select(key, *attrs, *meta)
-    cur = history.where(F.col("is_current")).select(
-        F.col(key).alias("_k"),
-        *[F.col(c).alias(f"_o_{c}") for c in attrs],
-        *[F.col(c).alias(f"_o_{c}") for c in meta],
-        _row_hash(tracked).alias("_oh"),
-    )
-    new = snapshot.select(
-        F.col(key).alias("_nk"),
-        *[F.col(c).alias(f"_n_{c}") for c in attrs],
-        _row_hash(tracked).alias("_nh"),
-    )
-    j = cur.join(new, cur["_k"] == new["_nk"], "full_outer")
-    changed = F.col("_k").isNotNull() & F.col("_nk").isNotNull() & (F.col("_oh") != F.col("_nh"))
-    only_old = F.col("_nk").isNull()
-    unchanged = F.col("_k").isNotNull() & F.col("_nk").isNotNull() & (F.col("_oh") == F.col("_nh"))
-
-    keep_old = j.where(only_old | unchanged).select(
-        F.col("_k").alias(key), *[F.col(f"_o_{c}").alias(c) for c in attrs], *[F.col(f"_o_{c}").alias(c) for c in meta]
-    )
-    close_old = j.where(changed).select(
-        F.col("_k").alias(key),
-        *[F.col(f"_o_{c}").alias(c) for c in attrs],
-        F.col("_o_effective_from").alias("effective_from"),
-        at.alias("effective_to"),
-        F.lit(False).alias("is_current"),
-    )
-    open_new = j.where(changed | F.col("_k").isNull()).select(
-        F.col("_nk").alias(key),
-        *[F.col(f"_n_{c}").alias(c) for c in attrs],
-        at.alias("effective_from"),
-        end.alias("effective_to"),
-        F.lit(True).alias("is_current"),
+    at, end = ntz(change_at), ntz(OPEN_END)
+
+    old = history.where("is_current").select(F.struct(key, *attrs, *meta).alias("_old"))
+    new = snapshot.select(F.struct(key, *attrs).alias("_new"))
+    j = old.join(new, F.col(f"_old.{key}").eqNullSafe(F.col(f"_new.{key}")), "full_outer")
+
+    def version(side: str, start: F.Column, stop: F.Column, current: bool) -> F.Column:
+        return F.struct(
+            *[F.col(f"{side}.{c}").alias(c) for c in (key, *attrs)],
+            start.alias("effective_from"), stop.alias("effective_to"), F.lit(current).alias("is_current"),
+        )
+
+    kept = version("_old", F.col("_old.effective_from"), F.col("_old.effective_to"), True)
+    closed = version("_old", F.col("_old.effective_from"), at, False)
+    opened = version("_new", at, end, True)
+    same = F.struct(*[F.col(f"_old.{c}") for c in tracked]).eqNullSafe(F.struct(*[F.col(f"_new.{c}") for c in tracked]))
+    rows = (
+        F.when(F.col("_old").isNull(), F.array(opened))
+        .when(F.col("_new").isNull() | same, F.array(kept))
+        .otherwise(F.array(closed, opened))
     )
-    out = closed_before.unionByName(keep_old).unionByName(close_old).unionByName(open_new)
+    past = history.where("not is_current").select(key, *attrs, *meta)
+    out = past.unionByName(j.select(F.inline(rows)))
     return out.select(surrogate_key(key, "effective_from").alias(history_key), key, *attrs, *meta)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.numeric import cents, from_cents, round_half_up
+from tidewater.functions.numeric import from_units, round_half_up, units
 
 # Order status -> payment status.
 PAYMENT_STATUS = {
@@ -36,9 +36,9 @@ def line_pricing(order_items: DataFrame, orders: DataFrame, products: DataFrame)
 
 def payments_derived(orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """One payment per order: exact item subtotal (0 if none) + shipping, rounded."""
-    sub = order_items.groupBy("order_id").agg(F.sum(cents(F.col("total_price"))).alias("_sub"))
+    sub = order_items.groupBy("order_id").agg(F.sum(units(F.col("total_price"))).alias("_sub"))
     o = orders.select("order_id", "shipping_cost", "status")
-    amount = from_cents(F.coalesce(F.col("_sub"), F.lit(0).cast("long")) + cents(F.col("shipping_cost")))
+    amount = from_units(F.coalesce(F.col("_sub"), F.lit(0).cast("long")) + units(F.col("shipping_cost")))
     status_map = F.create_map(*[F.lit(x) for kv in PAYMENT_STATUS.items() for x in kv])
     return o.join(sub, "order_id", "left").select(
         F.concat(F.lit("pi_"), F.substring(F.md5(F.col("order_id").cast("string")), 1, 24)).alias("payment_id"),

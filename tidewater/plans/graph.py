@@ -16,6 +16,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,8 @@ class ModelGraph:
         self.spark = spark
         self.raw = raw
         self.params = params or RunParams()
+        # Models that are stored tables; others are derived from what they read.
+        self.stored: set[str] = set()
 
     # -- staging -----------------------------------------------------------
     @cached_property
@@ -126,7 +129,7 @@ class ModelGraph:
         the same key set from the staged customers instead of running the RFM
         ranking just to look up a key; afterwards they read the table.
         """
-        if "dim_customers" in self.__dict__:
+        if "dim_customers" in self.stored:
             return self.dim_customers.select("customer_id", "customer_key", "is_current")
         return mt.customer_keys(self.stg_customers)
 
@@ -134,7 +137,7 @@ class ModelGraph:
         """Customer dimension rows for reports that read no RFM column: the
         dimension itself once materialised, else staged customers + lifetime
         metrics (same rows and values, no RFM ranking)."""
-        if "dim_customers" in self.__dict__:
+        if "dim_customers" in self.stored:
             return self.dim_customers
         return mt.customer_profile(self.stg_customers, self.int_orders_enriched)
 
@@ -197,7 +200,8 @@ class ModelGraph:
         checks = [c for c in ck.DECLARED + ck.SINGULAR if kinds is None or c.kind in kinds]
         if materialize:
             needed = {c.model for c in checks} | {c.to_model for c in checks if c.to_model}
-            self.materialize(tuple(n for n in self.MODEL_ORDER if n in self._closure(needed)))
+            wanted = self._closure(needed) - self.stored
+            self.materialize(tuple(n for n in self.MODEL_ORDER if n in wanted))
         return run_checks(checks, self.model, self.singular_checks())
 
     # upstream models of each materialisable model
@@ -285,11 +289,27 @@ class ModelGraph:
             for name, path in written:
                 back = self.spark.read.parquet(path)
                 part = self.PARTITION_BY.get(name)
-                self.__dict__[name] = back.drop(part) if part and partition_facts else back  # downstream reads the table
+                self._use(name, back.drop(part) if part and partition_facts else back)  # downstream reads the table
                 paths[name] = path
             todo = [n for n in todo if n not in ready]
         return paths
 
+    def _use(self, name: str, table: DataFrame) -> None:
+        self.__dict__[name] = table
+        self.stored.add(name)
+
+    def open_models(self, folder: str) -> list[str]:
+        """Read the models that ``write_models`` left in ``folder`` instead of deriving them; their names."""
+        found = []
+        for name in self.MODEL_ORDER:
+            try:
+                table = self.spark.read.parquet(f"{folder.rstrip('/')}/{name}")
+            except AnalysisException:
+                continue  # not in the folder: it is derived when asked for
+            self._use(name, table.drop(self.PARTITION_BY.get(name, "")))
+            found.append(name)
+        return found
+
     def _write_one(self, out_dir: str, name: str, partition_facts: bool = True) -> str:
         df = self.model(name)
         path = f"{out_dir.rstrip('/')}/{name}"

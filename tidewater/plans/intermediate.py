@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.dates import month_start, ntz, whole_days
-from tidewater.functions.numeric import cents, from_cents, money_sum
+from tidewater.functions.numeric import from_units, money_sum, units
 from tidewater.operators.asof import asof_last_before
 from tidewater.operators.ntile import exact_ntile
 from tidewater.params import RunParams
@@ -109,7 +109,8 @@ def rfm_base(stg_customers: DataFrame, stg_orders: DataFrame, stg_order_items: D
     window's orders on order_id, then summed per customer.
     """
     recent = stg_orders.where(F.col("order_at") >= ntz(params.rfm_cutoff)).select("order_id", "customer_id", "order_at")
-    per_order = stg_order_items.groupBy("order_id").agg(F.sum(cents(F.col("total_price"))).alias("_sub"))
+    items = stg_order_items.join(recent.select("order_id"), "order_id", "left_semi")
+    per_order = items.groupBy("order_id").agg(F.sum(units(F.col("total_price"))).alias("_sub"))
     metrics = (
         recent.join(per_order, "order_id", "left")
         .groupBy("customer_id")
@@ -127,7 +128,7 @@ def rfm_base(stg_customers: DataFrame, stg_orders: DataFrame, stg_order_items: D
         "last_order_at",
         whole_days(ntz(params.as_of), F.col("last_order_at")).alias("days_since_last_order"),
         F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("order_count_12m"),
-        F.coalesce(from_cents(F.col("_spend")), F.lit(0.0)).alias("total_spend_12m"),
+        F.coalesce(from_units(F.col("_spend")), F.lit(0.0)).alias("total_spend_12m"),
     )
 
 
@@ -152,16 +153,16 @@ RFM_ORDER = {
 }
 
 
-def rfm_scores(base: DataFrame, params: RunParams, which: tuple[str, ...] = tuple(RFM_ORDER)) -> DataFrame:
-    """RFM scores (customer_id, <which>_score ...) with one distributed ranking.
+def _ranked(base: DataFrame, params: RunParams, which: tuple[str, ...]) -> DataFrame:
+    """(_row, customer_id, _w, _score): the scores of all ``which`` in one distributed ranking.
 
     Each score is ntile(5) within the partition of the flag ``<flag col> > 0``
-    ordered by its value then customer_id.  The narrow rows of all scores are
-    stacked (score id, value, flag, customer_id) -- recency's value negated so
-    every order is ascending -- and ranked in one range sort with groups
-    (score, flag); the tiles are then pivoted back to one row per customer.
-    Rows with a zero flag column score 1 (for monetary: exactly zero spend;
-    negative spend is ranked with the zeros, as in the source).
+    ordered by its value, then customer_id, then the row number ``_row`` (which
+    only matters for repeated or missing ids).  The narrow rows of all scores
+    are stacked -- recency's value negated so every order is ascending -- and
+    ranked in one range sort with groups (score, flag).  Rows with a zero flag
+    column score 1 (for monetary: exactly zero spend; negative spend is ranked
+    with the zeros, as in the source).
     """
     parts = []
     for i, name in enumerate(which):
@@ -169,6 +170,7 @@ def rfm_scores(base: DataFrame, params: RunParams, which: tuple[str, ...] = tupl
         value = (-F.col(col) if desc else F.col(col)).cast("double")
         parts.append(
             base.select(
+                "_row",
                 "customer_id",
                 F.lit(i).alias("_w"),
                 value.alias("_v"),
@@ -180,29 +182,36 @@ def rfm_scores(base: DataFrame, params: RunParams, which: tuple[str, ...] = tupl
     for p in parts[1:]:
         stacked = stacked.unionByName(p)
     tiled = exact_ntile(
-        stacked, 5, [F.col("_v").asc_nulls_last(), F.col("customer_id").asc()],
+        stacked, 5, [F.col("_v").asc_nulls_last(), F.col("customer_id").asc(), F.col("_row").asc()],
         group=F.col("_w") * 2 + F.col("_flag"), out="_t", partitions=params.rank_partitions,
-        carry=["customer_id", "_w", "_fixed"],
-    )
-    score = F.when(F.col("_fixed"), F.lit(1)).otherwise(F.col("_t"))
-    return tiled.groupBy("customer_id").agg(
-        *[F.max(F.when(F.col("_w") == i, score)).alias(f"{name}_score") for i, name in enumerate(which)]
+        carry=["_row", "customer_id", "_w", "_fixed"],
     )
+    return tiled.select("_row", "customer_id", "_w", F.when(F.col("_fixed"), F.lit(1)).otherwise(F.col("_t")).alias("_score"))
 
 
 def rfm_single_score(base: DataFrame, which: str, params: RunParams) -> DataFrame:
-    """One RFM score alone: (customer_id, <which>_score)."""
-    return rfm_scores(base, params, (which,))
+    """One RFM score alone: (customer_id, <which>_score), a row for each row of the base."""
+    ranked = _ranked(base.withColumn("_row", F.monotonically_increasing_id()), params, (which,))
+    return ranked.select("customer_id", F.col("_score").alias(f"{which}_score"))
 
 
 def rfm_scored(stg_customers: DataFrame, stg_orders: DataFrame, stg_order_items: DataFrame, params: RunParams) -> DataFrame:
-    """RFM quintiles with exact, distributed ntile.  Ties are broken by
-    customer_id so the scores are reproducible.  The customer-grain base is
-    read twice (ranking and output), so it is written once to the checkpoint
-    folder (a customer-grain table, small next to the order facts)."""
-    base = write_checkpoint_table(rfm_base(stg_customers, stg_orders, stg_order_items, params), "rfm_base")
-    scored = base.join(rfm_scores(base, params), "customer_id", "inner")
-    return scored.select(*base.columns, "recency_score", "frequency_score", "monetary_score").withColumn(
+    """RFM quintiles with exact, distributed ntile.
+
+    The customer-grain base is read once for each score and once for the
+    output, so it is written to the shared checkpoint folder with a row number;
+    scores come back by that number, so a customer whose id is missing or
+    repeated keeps a row (and fails the declared checks).
+    """
+    numbered = rfm_base(stg_customers, stg_orders, stg_order_items, params).withColumn("_row", F.monotonically_increasing_id())
+    base = write_checkpoint_table(numbered, "rfm_base")
+    which = tuple(RFM_ORDER)
+    scores = _ranked(base, params, which).groupBy("_row").agg(
+        *[F.max(F.when(F.col("_w") == i, F.col("_score"))).alias(f"{name}_score") for i, name in enumerate(which)]
+    )
+    scored = base.join(scores, "_row", "inner")
+    cols = [c for c in base.columns if c != "_row"]
+    return scored.select(*cols, "recency_score", "frequency_score", "monetary_score").withColumn(
         "rfm_segment", rfm_segment(F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score"))
     )
 
@@ -218,9 +227,9 @@ def rfm_order_metrics(stg_orders: DataFrame, params: RunParams) -> DataFrame:
 def rfm_revenue(stg_orders: DataFrame, stg_order_items: DataFrame, params: RunParams) -> DataFrame:
     """Per customer in the trailing window: exact spend (items summed per order first)."""
     recent = stg_orders.where(F.col("order_at") >= ntz(params.rfm_cutoff)).select("order_id", "customer_id")
-    per_order = stg_order_items.groupBy("order_id").agg(F.sum(cents(F.col("total_price"))).alias("_sub"))
+    per_order = stg_order_items.groupBy("order_id").agg(F.sum(units(F.col("total_price"))).alias("_sub"))
     return (
         recent.join(per_order, "order_id", "inner")
         .groupBy("customer_id")
-        .agg(from_cents(F.sum("_sub")).alias("total_spend_12m"))
+        .agg(from_units(F.sum("_sub")).alias("total_spend_12m"))
     )

@@ -11,22 +11,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.numeric import cents, from_cents, money_sum, round_half_even_float, round_half_up
+from tidewater.functions.numeric import from_units, money_sum, round_half_even_float, round_half_up, units
 
 
 def _exact_sum(col: str) -> F.Column:
-    """Exact money sum (integer cents), as double."""
+    """Exact money sum, as double."""
     return money_sum(F.col(col))
 
 
+def _per_order(fct_orders: DataFrame, *cols: str) -> DataFrame:
+    """Order grain: exact revenue, priced lines and customer.  An order fixes its customer, channel and date,
+    so orders are then counted, not counted distinct, and the lines are never expanded."""
+    return fct_orders.groupBy("order_id", *cols).agg(
+        F.sum(units(F.col("revenue"))).alias("_units"),
+        F.count("revenue").alias("_priced"),
+        F.min("customer_key").alias("customer_key"),
+    )
+
+
 def kpi_summary(fct_orders: DataFrame) -> DataFrame:
-    return fct_orders.agg(
-        F.count_distinct("order_id").alias("total_orders"),
+    revenue = from_units(F.sum("_units"))
+    return _per_order(fct_orders).agg(
+        F.count("order_id").alias("total_orders"),
         F.count_distinct("customer_key").alias("total_customers"),
-        round_half_up(_exact_sum("revenue"), 2).alias("total_revenue"),
-        round_half_up(_exact_sum("revenue") / F.count("revenue").cast("double"), 2).alias(
-            "avg_item_revenue"
-        ),
+        round_half_up(revenue, 2).alias("total_revenue"),
+        round_half_up(F.try_divide(revenue, F.sum("_priced").cast("double")), 2).alias("avg_item_revenue"),
     )
 
 
@@ -48,20 +57,17 @@ def avg_clv(dim_customers: DataFrame) -> DataFrame:
     )
 
 
-def _dated_lines(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
-    # Inner join on date_key: lines outside the date spine drop out.
+def _dated_orders(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
+    # Inner join on date_key: orders outside the date spine drop out.
     dd = dim_date.select(F.col("date_key").alias("_dk"), "date_day")
-    return fct_orders.select("order_id", "revenue", "date_key").join(dd, F.col("date_key") == dd["_dk"], "inner")
+    return _per_order(fct_orders, "date_key").join(dd, F.col("date_key") == dd["_dk"], "inner")
 
 
 def revenue_daily(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     return (
-        _dated_lines(fct_orders, dim_date)
+        _dated_orders(fct_orders, dim_date)
         .groupBy("date_day")
-        .agg(
-            _exact_sum("revenue").alias("daily_revenue"),
-            F.count_distinct("order_id").alias("daily_orders"),
-        )
+        .agg(from_units(F.sum("_units")).alias("daily_revenue"), F.count("order_id").alias("daily_orders"))
         .select(F.col("date_day").alias("order_date"), "daily_revenue", "daily_orders")
         .orderBy("order_date")
     )
@@ -72,21 +78,14 @@ def revenue_rolling7(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     daily = revenue_daily(fct_orders, dim_date)
     # One row per day with sales: bounded by the calendar, so a global window is fine.
     w = Window.orderBy("order_date").rowsBetween(-6, 0)
-    mean7 = from_cents(F.sum(cents(F.col("daily_revenue"))).over(w)) / F.lit(7.0)
+    mean7 = from_units(F.sum(units(F.col("daily_revenue"))).over(w)) / F.lit(7.0)
     return daily.withColumn("weekly_avg", F.when(F.count(F.lit(1)).over(w) == 7, mean7)).orderBy("order_date")
 
 
 def aov_monthly(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
-    lines = _dated_lines(fct_orders, dim_date).withColumn("month", F.trunc("date_day", "month"))
-    return (
-        lines.groupBy("month")
-        .agg(
-            round_half_up(
-                _exact_sum("revenue") / F.count_distinct("order_id").cast("double"), 2
-            ).alias("aov")
-        )
-        .orderBy("month")
-    )
+    orders = _dated_orders(fct_orders, dim_date).withColumn("month", F.trunc("date_day", "month"))
+    mean = F.try_divide(from_units(F.sum("_units")), F.count("order_id").cast("double"))
+    return orders.groupBy("month").agg(round_half_up(mean, 2).alias("aov")).orderBy("month")
 
 
 def customer_growth(dim_customers: DataFrame) -> DataFrame:
@@ -134,12 +133,12 @@ def segment_heatmap(dim_customers: DataFrame) -> DataFrame:
 
 
 def revenue_share(dim_customers: DataFrame) -> DataFrame:
-    seg = dim_customers.groupBy("rfm_segment").agg(F.sum(cents(F.col("lifetime_revenue"))).alias("_rev"))
+    seg = dim_customers.groupBy("rfm_segment").agg(F.sum(units(F.col("lifetime_revenue"))).alias("_rev"))
     grand = F.sum("_rev").over(Window.partitionBy())  # over the grouped segment rows (cents, exact)
     return seg.select(
         "rfm_segment",
-        from_cents(F.col("_rev")).alias("total_revenue"),
-        round_half_up(F.try_divide(from_cents(F.col("_rev")), from_cents(grand)) * 100.0, 1).alias("revenue_pct"),
+        from_units(F.col("_rev")).alias("total_revenue"),
+        round_half_up(F.try_divide(from_units(F.col("_rev")), from_units(grand)) * 100.0, 1).alias("revenue_pct"),
     ).orderBy(F.col("total_revenue").desc())
 
 
@@ -147,9 +146,9 @@ def segment_details(dim_customers: DataFrame) -> DataFrame:
     """Segment table with revenue share recomputed from the rounded averages
     (float rounding to 1 place, half to even on the binary value)."""
     seg = segment_distribution(dim_customers)
-    weight = cents(F.col("avg_revenue")) * F.col("customer_count")  # exact cents
+    weight = units(F.col("avg_revenue")) * F.col("customer_count")  # exact cents
     total = F.sum(weight).over(Window.partitionBy())
-    pct = from_cents(weight) / from_cents(total) * 100.0
+    pct = from_units(weight) / from_units(total) * 100.0
     return seg.select(
         "rfm_segment", "customer_count", "avg_revenue", "avg_orders", "avg_aov",
         round_half_even_float(pct, 1).alias("revenue_pct"),
@@ -158,14 +157,13 @@ def segment_details(dim_customers: DataFrame) -> DataFrame:
 
 def channel_revenue(fct_orders: DataFrame, dim_channels: DataFrame) -> DataFrame:
     ch = dim_channels.select(F.col("channel_key").alias("_ck"), "channel_category")
-    j = fct_orders.select("channel_group", "channel_key", "order_id", "revenue", "customer_key").join(
-        ch, F.col("channel_key") == ch["_ck"], "left"
-    )
+    orders = _per_order(fct_orders, "channel_group", "channel_key")
     return (
-        j.groupBy("channel_group", "channel_category")
+        orders.join(ch, F.col("channel_key") == ch["_ck"], "left")
+        .groupBy("channel_group", "channel_category")
         .agg(
-            F.count_distinct("order_id").alias("orders"),
-            round_half_up(_exact_sum("revenue"), 2).alias("revenue"),
+            F.count("order_id").alias("orders"),
+            round_half_up(from_units(F.sum("_units")), 2).alias("revenue"),
             F.count_distinct("customer_key").alias("customers"),
         )
         .orderBy(F.col("revenue").desc_nulls_first())

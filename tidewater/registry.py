@@ -20,6 +20,8 @@ from tidewater.sources import from_test_tables
 
 PARAMS = RunParams()
 PREVIOUS_AS_OF = dt.datetime(2000, 8, 2)
+# A date dimension with fixed bounds inside the data's range: lines outside have no date key and drop out of dated reports.
+FIXED_SPINE = RunParams(spine_start=dt.date(1996, 1, 1), spine_end=dt.date(1998, 7, 1))
 
 
 def model_graph(spark: SparkSession, sf_dir: str, params: RunParams = PARAMS) -> ModelGraph:
@@ -100,6 +102,10 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dq_rfm_scores"] = _q(lambda p: p.singular_checks()["assert_rfm_scores_valid"]())
     for name in ("line_pricing", "payments_derived", "session_ids", "first_orders"):
         q[name] = _q(lambda p, n=name: p.derivation(n))
+    q["fct_orders_fixed_spine"] = lambda spark, sf_dir: model_graph(spark, sf_dir, FIXED_SPINE).fct_orders.select(
+        "order_line_key", "order_id", "date_key", "revenue"
+    )
+    q["revenue_daily_fixed_spine"] = lambda spark, sf_dir: model_graph(spark, sf_dir, FIXED_SPINE).report("revenue_daily")
     q["scd2_merge"] = _q(lambda p: p.segment_history(PREVIOUS_AS_OF))
     return q
 
@@ -150,9 +156,9 @@ def oracle_queries() -> dict[str, str]:
     )
     o["payments_derived"] = w(
         "SELECT 'pi_' || substr(md5(CAST(o.order_id AS VARCHAR)), 1, 24) AS payment_id, o.order_id, "
-        f"{osql._r2('coalesce(s.sub, CAST(0 AS DECIMAL(38,2))) + CAST(o.shipping_cost AS DECIMAL(38,2))')} AS amount, "
+        f"{osql._r2('coalesce(s.sub, CAST(0 AS DECIMAL(38,4))) + CAST(o.shipping_cost AS DECIMAL(38,4))')} AS amount, "
         "'usd' AS currency, CASE WHEN o.status IN ('cancelled', 'refunded') THEN o.status ELSE 'succeeded' END AS status "
-        "FROM raw_orders o LEFT JOIN (SELECT order_id, sum(CAST(total_price AS DECIMAL(38,2))) AS sub "
+        "FROM raw_orders o LEFT JOIN (SELECT order_id, sum(CAST(total_price AS DECIMAL(38,4))) AS sub "
         "FROM raw_order_items GROUP BY order_id) s ON o.order_id = s.order_id"
     )
     o["session_ids"] = w(
@@ -161,5 +167,7 @@ def oracle_queries() -> dict[str, str]:
         "ELSE strftime(event_at, '%Y-%m-%d %H:%M:%S.%f') END), 1, 16) AS session_id FROM raw_events"
     )
     o["first_orders"] = w("SELECT customer_id, min(order_at) AS first_order_at FROM raw_orders GROUP BY customer_id")
+    o["fct_orders_fixed_spine"] = w("SELECT order_line_key, order_id, date_key, revenue FROM fct_orders", FIXED_SPINE)
+    o["revenue_daily_fixed_spine"] = w("SELECT * FROM revenue_daily", FIXED_SPINE)
     o["scd2_merge"] = osql.segment_history_sql(PARAMS, PREVIOUS_AS_OF)
     return o

@@ -51,7 +51,7 @@ def build_session(
     spark.sparkContext.setLogLevel("ERROR")
     # Runtime-settable SQL options also apply when the session already existed.
     for key, value in conf.items():
-        if key.startswith("spark.sql."):
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     return spark
 
@@ -60,8 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant
-    folder and is used as is.  Only when nothing is configured (local tests)
-    a fresh scratch folder is created.
+    folder and is used as is.  Only when nothing is configured and the master
+    is this machine (``local``, as in tests) a fresh scratch folder is made;
+    elsewhere a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -69,6 +70,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    master = sc.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a folder that the driver and all executors share; "
+            f"with master {master} a folder of this machine would not be seen by the executors"
+        )
     path = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(path)
     return path

@@ -1,8 +1,9 @@
 """Sinks: table materialisation and bulk load.
 
 * ``replace_table``: full-refresh rebuild.  The new version is written next to
-  the table and swapped in with two renames, so readers never see a half-
-  written table and a failed write leaves the old version in place.
+  the table and swapped in with two renames; a failed write leaves the old
+  version in place.  The swap is not atomic: between the renames the table is
+  missing for a moment, and on object stores a rename copies the files.
 * ``write_jdbc``: bulk load into a relational database in batches of 5,000
   rows, replacing the table (``truncate`` keeps its definition).  The write is
   spread over the DataFrame's partitions, one connection each.

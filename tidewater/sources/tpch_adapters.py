@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.numeric import cents, from_cents, round2_double
+from tidewater.functions.numeric import from_units, round2_double, units
 
 
 def _ts(text: str) -> Column:
@@ -89,25 +89,35 @@ LINE_ORDER = [
 ]
 
 
+#: Room for line numbers in an order item id.
+LINES_PER_ORDER = 1_000_000
+
+
 def raw_order_items(lineitem: DataFrame) -> DataFrame:
-    # One window per order: TPC-H bounds the lines of an order (at most 7 by
-    # the spec, 17 in the given data), so no window group can grow with scale.
+    # One window per order; an order's lines do not grow with the table.
+    # LINES_PER_ORDER is far above any order, and beyond it the build fails
+    # rather than hand out the next order's ids.
     w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
     qty = F.col("l_quantity").cast("long")
     unit = round2_double(F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount")) / F.col("l_quantity"))
     return (
         lineitem.select(*(["l_orderkey"] + LINE_ORDER))
         .select(
-            (F.col("l_orderkey") * 100 + F.row_number().over(w)).alias("order_item_id"),
+            (
+                F.col("l_orderkey") * LINES_PER_ORDER
+                + F.when(F.row_number().over(w) < LINES_PER_ORDER, F.row_number().over(w)).otherwise(
+                    F.raise_error(F.lit("an order has too many lines for its item ids")).cast("int")
+                )
+            ).alias("order_item_id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             qty.alias("quantity"),
             unit.alias("unit_price"),
         )
-        # R2(unit_price * quantity): unit_price holds whole cents, so the
-        # rounded product is exactly unit cents * quantity (integer math, no
+        # R2(unit_price * quantity): unit_price is rounded to cents, so the
+        # rounded product is exactly units * quantity (integer math, no
         # second decimal rounding per line).
-        .withColumn("total_price", from_cents(cents(F.col("unit_price")) * F.col("quantity")))
+        .withColumn("total_price", from_units(units(F.col("unit_price")) * F.col("quantity")))
     )
 
 
@@ -131,11 +141,11 @@ PAYMENT_METHODS = ["credit_card", "debit_card", "paypal", "apple_pay", "google_p
 
 
 def raw_payments(raw_orders_df: DataFrame, raw_items_df: DataFrame) -> DataFrame:
-    """One payment per raw order: item subtotal (exact cents) + shipping."""
-    subtotal = raw_items_df.groupBy("order_id").agg(F.sum(cents(F.col("total_price"))).alias("_subtotal"))
+    """One payment per raw order: item subtotal (exact) + shipping."""
+    subtotal = raw_items_df.groupBy("order_id").agg(F.sum(units(F.col("total_price"))).alias("_subtotal"))
     o = raw_orders_df.select("order_id", "order_at", "status", "shipping_cost")
     oid = F.col("order_id")
-    amount = from_cents(F.coalesce(F.col("_subtotal"), F.lit(0).cast("long")) + cents(F.col("shipping_cost")))
+    amount = from_units(F.coalesce(F.col("_subtotal"), F.lit(0).cast("long")) + units(F.col("shipping_cost")))
     return o.join(subtotal, "order_id", "left").select(
         F.concat(F.lit("pi_"), F.substring(F.md5(oid.cast("string")), 1, 24)).alias("payment_id"),
         oid.alias("order_id"),
