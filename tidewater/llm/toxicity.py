@@ -261,24 +261,28 @@ def _distinct(parts: list[np.ndarray]) -> np.ndarray:
     return np.unique(np.vstack(parts), axis=0)
 
 
-def learn(labelled: DataFrame) -> Model:
-    """Train on a bounded sample of (text, toxic): distinct texts, those of the least hash of either label."""
-    rows = labelled.where("text is not null and toxic is not null").select(
-        "text", (F.col("toxic") > 0).alias("bad"), F.xxhash64("text").alias("h")
+def learn(documents: DataFrame, marks: DataFrame) -> Model:
+    """Train on a bounded sample of documents with marks (doc_id, toxic): distinct texts, those of the least hash
+    of either label.  Only ids and text hashes are shuffled; the sample's texts are fetched by its ids."""
+    rows = (
+        documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("h"))
+        .join(marks.where("toxic is not null").select("doc_id", (F.col("toxic") > 0).alias("bad")), "doc_id")
     )
-    counts = {r["bad"]: r["n"] for r in rows.groupBy("bad").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    texts = rows.groupBy("bad", "h").agg(F.min("doc_id").alias("doc_id"))
+    counts = {r["bad"]: r["count"] for r in texts.groupBy("bad").count().collect()}
     if not counts:
         return Model()
     most = {True: TOXIC_ROWS, False: CLEAN_ROWS}
-    near = F.lit(False)
-    keep = F.lit(False)
+    place = F.pmod("h", F.lit(1 << 30))
+    near, keep = F.lit(False), F.lit(False)
     for bad, n in counts.items():
         share = min(1.0, 1.5 * (most[bad] + 20) / max(1, n))
-        near = near | ((F.col("bad") == bad) & (F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)))
+        near = near | ((F.col("bad") == bad) & (place < share * (1 << 30)))
         keep = keep | ((F.col("bad") == bad) & (F.col("r") <= most[bad]))
-    rank = Window.partitionBy("bad").orderBy(F.pmod("h", F.lit(1 << 30)), "h")
-    sample = rows.where(near).groupBy("bad", "h").agg(F.first("text").alias("text"))
-    got = sample.withColumn("r", F.row_number().over(rank)).where(keep).select("bad", "text").collect()
+    rank = Window.partitionBy("bad").orderBy(place, "h")
+    sample = texts.where(near).withColumn("r", F.row_number().over(rank)).where(keep).select("doc_id", "h", "bad")
+    named = documents.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    got = named.join(F.broadcast(sample), ["doc_id", "h"]).select("bad", "text").distinct().collect()  # the stated bound
     got.sort(key=lambda r: (r["bad"], r["text"]))
     return train([r["text"] for r in got], [r["bad"] for r in got])
 
@@ -286,7 +290,7 @@ def learn(labelled: DataFrame) -> Model:
 def learn_from_tables(documents: DataFrame, labels: DataFrame, fold: Column) -> Model:
     """Train on the labelled documents outside the fold; a document is toxic if any of its label rows says so."""
     marks = labels.where("doc_id is not null and toxic is not null").where(~fold).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return learn(documents.select("doc_id", "text").join(marks, "doc_id").select("text", "toxic"))
+    return learn(documents, marks)
 
 
 def score(documents: DataFrame, model: Model, keep: list[Column] | None = None, step: int = 256) -> DataFrame:
