@@ -49,7 +49,7 @@ SHARED = 0.7
 WIDTH = 24
 MAX_LANDMARKS = 48
 #: Bound of the training sample, in distinct texts.
-TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
+TOXIC_ROWS, CLEAN_ROWS = 1000, 2000
 THRESHOLD = 0.7
 #: Words that one Python worker remembers to match nothing.
 KNOWN_WORDS = 300_000
@@ -198,7 +198,7 @@ def choose_landmarks(docs: list[list[set[str]]], toxic: list[bool], most: int =
                 for s in set().union(*map(starts, sentence)):
                     cover[s].add(i)
                     support[s].add(sign)
-    least = max(4, math.ceil(0.01 * n1))
+    least = max(4, math.ceil(0.02 * n1))
     able = {s for s, where in cover.items() if len(where) >= least and len(support[s]) >= least}
     for doc, bad in zip(docs, toxic):
         if not bad:
@@ -221,7 +221,8 @@ def choose_landmarks(docs: list[list[set[str]]], toxic: list[bool], most: int =
 def train(texts: list[str], toxic: list[bool], passes: int = 3) -> Model:
     """Model from labelled texts (at most the bounded sample)."""
     base = sum(toxic) / len(toxic) if toxic else 0.0
-    docs = [sentences_of(t) for t in texts]
+    one: dict[str, str] = {}  # each word once in memory
+    docs = [[{one.setdefault(w, w) for w in s} for s in sentences_of(t)] for t in texts]
     landmarks = choose_landmarks(docs, toxic) if any(toxic) and not all(toxic) else []
     if not landmarks:
         return Model(base=base)
