@@ -44,9 +44,9 @@ from tidewater.llm.components import components
 from tidewater.llm.shingles import mix64, shingle_set
 
 #: Counters of the frequency sketch, and the parts it is merged in.
-COUNTERS, PARTS = 1 << 20, 64
+COUNTERS, PARTS = 1 << 22, 64
 #: Tokens seen this much more often than a counter's noise are of class 2, or 3.
-FREQUENT, VERY_FREQUENT = 16, 256
+FREQUENT, VERY_FREQUENT = 8, 256
 #: Hub rounds go on while the pairs left exceed this many for each posting left.
 PAIRS_PER_POSTING = 8
 
@@ -81,7 +81,7 @@ class Threshold:
 
 
 def _slot(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(44)).astype(np.int64)
+    return (tokens >> np.uint64(64 - 22)).astype(np.int64)
 
 
 def _survey(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -97,21 +97,26 @@ def _survey(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
             np.add.at(counts, _slot(tokens), 1)
             rows.append((doc, len(tokens), xxhash.xxh3_128_digest(tokens.tobytes()), None, None))
         yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=names)
-    width = COUNTERS // PARTS
-    rows = [(None, None, None, i, counts[i * width : (i + 1) * width].tobytes()) for i in range(PARTS) if counts.any()]
+    width, pack = COUNTERS // PARTS, zstandard.ZstdCompressor(level=1)
+    small = counts.astype(np.uint32)  # a task's share; packed, as most counters of one task are 0 to 3
+    rows = [(None, None, None, i, pack.compress(small[i * width : (i + 1) * width].tobytes())) for i in range(PARTS) if counts.any()]
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}  # at most PARTS parts of the one sketch
+    unpack = zstandard.ZstdDecompressor()
     for batch in batches:
         for part, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counts = np.frombuffer(raw, dtype=np.int64)
-            total[part] = total[part] + counts if part in total else counts.copy()
+            counts = np.frombuffer(unpack.decompress(raw), dtype=np.uint32)
+            total[part] = total[part] + counts if part in total else counts.astype(np.int64)
     if total:
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), type=pa.int32()), pa.array([x.tobytes() for x in total.values()], type=pa.binary())],
+            [
+                pa.array(list(total), type=pa.int32()),
+                pa.array([np.minimum(x, (1 << 31) - 1).astype(np.int32).tobytes() for x in total.values()], type=pa.binary()),
+            ],
             names=["sketch_part", "counts"],
         )
 
@@ -231,12 +236,12 @@ def similarity_classes(documents: DataFrame, size: int = 3, num: int = 90, den:
     )
     parts = survey.where("sketch_part is not null").select("sketch_part", "counts")
     merged = parts.repartition(PARTS, "sketch_part").mapInArrow(_add_up, "sketch_part int, counts binary").collect()  # one sketch
-    counts = np.zeros(COUNTERS, dtype=np.int64)
+    counts = np.zeros(COUNTERS, dtype=np.int32)
     for r in merged:
         width = COUNTERS // PARTS
-        counts[r["sketch_part"] * width : (r["sketch_part"] + 1) * width] = np.frombuffer(r["counts"], dtype=np.int64)
-    noise = counts.sum() / COUNTERS
-    noise += 6 * math.sqrt(noise)
+        counts[r["sketch_part"] * width : (r["sketch_part"] + 1) * width] = np.frombuffer(r["counts"], dtype=np.int32)
+    noise = float(np.median(counts))
+    noise += 3 * math.sqrt(noise)
     limits = (noise + FREQUENT, noise + VERY_FREQUENT)
     sketch = spark.sparkContext.broadcast(counts)
 
@@ -318,14 +323,7 @@ def _close(live: DataFrame, bodies: DataFrame, size: int, threshold: Threshold)
         if not count["n"] or not some or count["pairs"] <= PAIRS_PER_POSTING * count["n"]:
             break
     if count["n"]:
-        a, b = left.alias("a"), left.alias("b")
-        pairs = (
-            a.join(b, F.col("a.sig") == F.col("b.sig"))
-            .where((F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")))
-            .where(threshold.may_link(F.col("a.size"), F.col("a.rest"), F.col("b.size"), F.col("b.rest")))
-            .select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
-            .distinct()
-        )
+        pairs = _across(left, threshold)
         found = stored(_links(pairs, bodies, size, threshold), "links")
         if not found.isEmpty():
             edges = found if edges is None else edges.unionAll(found)
@@ -335,6 +333,30 @@ def _close(live: DataFrame, bodies: DataFrame, size: int, threshold: Threshold)
     return labels
 
 
+def _across(left: DataFrame, threshold: Threshold) -> DataFrame:
+    """Distinct pairs (u, v) of different components with a common signature and room enough.
+
+    Documents with the same label, size and signatures meet the same others, so
+    they are joined as one group, whose pairs are spread out once in the end.
+    """
+    sigs = F.sort_array(F.collect_set(F.struct("sig", "rest")))
+    member = left.groupBy("node", "label", "size").agg(sigs.alias("sigs"))
+    member = stored(member.select("node", "label", "size", "sigs", F.xxhash64("label", "size", "sigs").alias("g")), "alike")
+    groups = member.groupBy("g", "label", "size").agg(F.first("sigs").alias("sigs"))
+    groups = groups.select("g", "label", "size", F.inline("sigs"))
+    a, b = groups.alias("a"), groups.alias("b")
+    met = (
+        a.join(b, F.col("a.sig") == F.col("b.sig"))
+        .where((F.col("a.g") < F.col("b.g")) & (F.col("a.label") != F.col("b.label")))
+        .where(threshold.may_link(F.col("a.size"), F.col("a.rest"), F.col("b.size"), F.col("b.rest")))
+        .select(F.col("a.g").alias("gu"), F.col("b.g").alias("gv"))
+        .distinct()
+    )
+    one = member.select(F.col("g").alias("gu"), F.col("node").alias("u"))
+    other = member.select(F.col("g").alias("gv"), F.col("node").alias("v"))
+    return met.join(one, "gu").join(other, "gv").select("u", "v").distinct()
+
+
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_classes(table(spark, sf_dir, "documents"))
 
