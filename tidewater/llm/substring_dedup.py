@@ -135,11 +135,12 @@ class _Entries:
     def rows(self, bucket: np.ndarray, kind: int) -> Iterator[tuple]:
         if not len(self.doc):
             return
-        order = np.lexsort((self.place, self.text, self.doc, bucket))
+        order = np.argsort(bucket.astype(np.int32), kind="stable")
         cut = np.flatnonzero(np.diff(bucket[order])) + 1
         for some in np.split(order, cut):
             doc, text, place = self.doc[some], self.text[some], self.place[some]
-            new = np.r_[True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])]
+            # a run of one document's entries at ascending places; where they fall, another run begins
+            new = np.r_[True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (place[1:] < place[:-1])]
             at = np.flatnonzero(new)
             step = np.where(new, place, np.r_[0, np.diff(place)])
             whole = kind == UNITS
@@ -177,15 +178,23 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), TYPES)], names=NAMES)
 
 
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order that brings equal keys together, which of them in that order open a run)."""
+    order = np.argsort(key, kind="stable")
+    return order, np.r_[True, key[order][1:] != key[order][:-1]] if len(key) else np.zeros(0, dtype=bool)
+
+
 def _collapse(e: _Entries) -> tuple[np.ndarray, np.ndarray]:
-    """(is the first of its unit's equals, is of a later document than that): masks over the entries."""
-    order = np.lexsort((e.place, e.doc, e.unit, e.anchor))
-    a, u, d = e.anchor[order], e.unit[order], e.doc[order]
-    new = np.r_[True, (a[1:] != a[:-1]) | (u[1:] != u[:-1])] if len(a) else np.zeros(0, bool)
-    least = d[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(a) else d
-    first, later = np.zeros(len(a), dtype=bool), np.zeros(len(a), dtype=bool)
-    first[order], later[order] = new, d > least
-    return first, later
+    """(is one of its unit's equals in the least document, the one that stands for them; is of a later document)."""
+    order, new = _runs(mix64(e.anchor * np.uint64(0x9E3779B97F4A7C15)) ^ e.unit)
+    one, later = np.zeros(len(order), dtype=bool), np.zeros(len(order), dtype=bool)
+    if len(order):
+        doc, run = e.doc[order], np.cumsum(new) - 1
+        least = np.minimum.reduceat(doc, np.flatnonzero(new))[run]
+        at = np.flatnonzero(doc == least)
+        at = at[np.r_[True, run[at][1:] != run[at][:-1]]]
+        one[order[at]], later[order] = True, doc > least
+    return one, later
 
 
 def _text_hash(data: bytes) -> int:
@@ -260,26 +269,20 @@ def _decide(got: pa.Table, buckets: int) -> pa.Table:
         first, later = _collapse(e)
         known = e.take(np.flatnonzero(later))
         out += known.rows(_bucket_of_doc(known.text, buckets), DECIDED)
-        # different units of an anchor that agree beside it, on a side that both have
+        # units of different documents and one anchor that agree beside it, on a side that both have
         kept = np.flatnonzero(first)
         want = np.zeros(len(kept), dtype=bool)
         for shift in (0, 8):
             side = (e.sides[kept] >> np.uint64(shift)) & np.uint64(255)
             some = np.flatnonzero(side)
-            order = some[np.lexsort((side[some], e.anchor[kept][some]))]
-            a, s = e.anchor[kept][order], side[order]
-            same = (a[1:] == a[:-1]) & (s[1:] == s[:-1])
-            want[order[1:][same]] = True
-            want[order[:-1][same]] = True
+            order, new = _runs(e.anchor[kept][some] * np.uint64(256) + side[some])
+            if len(order):
+                doc, at = e.doc[kept][some][order], np.flatnonzero(new)
+                several = np.minimum.reduceat(doc, at) < np.maximum.reduceat(doc, at)
+                want[some[order[several[np.cumsum(new) - 1]]]] = True
         # every place of a wanted unit in its least document asks for the unit's bytes
-        asked = np.zeros(len(e.doc), dtype=bool)
-        asked[kept[want]] = True
-        order = np.lexsort((e.place, e.doc, e.unit, e.anchor))
-        opens = first[order]
-        group = np.cumsum(opens) - 1
-        wanted_group = asked[order][np.flatnonzero(opens)]
-        mine = wanted_group[group] & ~later[order]
-        ask = e.take(order[mine])
+        names = mix64(e.anchor * np.uint64(0x9E3779B97F4A7C15)) ^ e.unit
+        ask = e.take(np.flatnonzero(~later & np.isin(names, names[kept[want]])))
         out += ask.rows(_bucket_of_doc(ask.text, buckets), WANTED)
     return pa.Table.from_batches([_batch(out)]) if out else pa.Table.from_arrays([pa.array([], type=t) for t in TYPES], names=NAMES)
 
@@ -358,7 +361,11 @@ def _arrays(got: pa.Table, buckets: int) -> pa.Table:
     size = 0
 
     def build() -> None:
-        for i, mask in zip(some, repeated_windows([raw[i] for i in some], doc[some])):
+        names = [(int(doc[i]), raw[i]) for i in some]
+        strings = list(dict.fromkeys(names))  # a document's equal units are one string
+        masks = dict(zip(strings, repeated_windows([x[1] for x in strings], np.array([x[0] for x in strings]))))
+        for i, name in zip(some, names):
+            mask = masks[name]
             edge = np.flatnonzero(np.diff(np.r_[0, mask.view(np.int8), 0]))
             out.extend((doc[i], text[i], place[i] + a, b - a) for a, b in zip(edge[::2], edge[1::2]))
 
@@ -443,11 +450,13 @@ def repeated_spans(documents: DataFrame, give_text: bool = False) -> DataFrame:
     sizes = wanted.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     groups = pieces(sizes, ARRAY_GROUP_BYTES)
     hot = wanted.groupBy("anchor").agg(F.count("*").alias("c")).where(F.col("c") > HOT_UNITS).select("anchor")
-    cold = wanted.join(hot, "anchor", "left_anti").withColumn("g", F.pmod(F.xxhash64("anchor"), F.lit(groups)))
+    split = not hot.isEmpty()
+    cold = wanted.join(hot, "anchor", "left_anti") if split else wanted
+    cold = cold.withColumn("g", F.pmod(F.xxhash64("anchor"), F.lit(groups)))
     known = decided.where(F.col("kind") == DECIDED).unionByName(
         cold.groupBy("g").applyInArrow(lambda t: _arrays(t, buckets), UNIT_ROWS)
     )
-    if not hot.isEmpty():
+    if split:
         known = known.unionByName(_by_window(wanted.join(hot, "anchor", "left_semi"), groups, buckets))
     known = stored(known, "spans")
     names, kinds = _result(give_text)
