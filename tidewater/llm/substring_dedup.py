@@ -208,8 +208,9 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _bucket_of_doc(text: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix64(text.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+def _bucket_of_doc(doc: np.ndarray, text: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of a row by its doc_id and its text's hash, so that copies of a text spread over all buckets."""
+    return (mix64(mix64(doc.astype(np.int64).view(np.uint64)) ^ text.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _cut_units(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -223,7 +224,7 @@ def _cut_units(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.R
         _, later = _collapse(e)
         sent, known = e.take(np.flatnonzero(~later)), e.take(np.flatnonzero(later))
         rows = [*sent.rows((sent.anchor % np.uint64(buckets)).astype(np.int64), UNITS),
-                *known.rows(_bucket_of_doc(known.text, buckets), DECIDED)]
+                *known.rows(_bucket_of_doc(known.doc, known.text, buckets), DECIDED)]
         if rows:
             yield _batch(rows)
 
@@ -268,7 +269,7 @@ def _decide(got: pa.Table, buckets: int) -> pa.Table:
         e = _Entries.read(rows)
         first, later = _collapse(e)
         known = e.take(np.flatnonzero(later))
-        out += known.rows(_bucket_of_doc(known.text, buckets), DECIDED)
+        out += known.rows(_bucket_of_doc(known.doc, known.text, buckets), DECIDED)
         # units of different documents and one anchor that agree beside it, on a side that both have
         kept = np.flatnonzero(first)
         want = np.zeros(len(kept), dtype=bool)
@@ -283,7 +284,7 @@ def _decide(got: pa.Table, buckets: int) -> pa.Table:
         # every place of a wanted unit in its least document asks for the unit's bytes
         names = mix64(e.anchor * np.uint64(0x9E3779B97F4A7C15)) ^ e.unit
         ask = e.take(np.flatnonzero(~later & np.isin(names, names[kept[want]])))
-        out += ask.rows(_bucket_of_doc(ask.text, buckets), WANTED)
+        out += ask.rows(_bucket_of_doc(ask.doc, ask.text, buckets), WANTED)
     return pa.Table.from_batches([_batch(out)]) if out else pa.Table.from_arrays([pa.array([], type=t) for t in TYPES], names=NAMES)
 
 
@@ -380,13 +381,13 @@ def _arrays(got: pa.Table, buckets: int) -> pa.Table:
     rows: list[tuple] = []
     if out:
         d, t, p, w = (np.array(c, dtype=np.int64) for c in zip(*out))
-        rows = list(_Entries(d, t.view(np.uint64), p, w).rows(_bucket_of_doc(t.view(np.uint64), buckets), DECIDED))
+        rows = list(_Entries(d, t.view(np.uint64), p, w).rows(_bucket_of_doc(d, t.view(np.uint64), buckets), DECIDED))
     return pa.Table.from_batches([_batch(rows)]) if rows else pa.Table.from_arrays([pa.array([], type=t) for t in TYPES], names=NAMES)
 
 
 def _entry_rows(got: pa.Table, buckets: int) -> pa.Table:
     d, t, p, w = (np.array(got.column(c).to_pylist(), dtype=np.int64) for c in ("doc", "text", "place", "windows"))
-    rows = list(_Entries(d, t.view(np.uint64), p, w).rows(_bucket_of_doc(t.view(np.uint64), buckets), DECIDED))
+    rows = list(_Entries(d, t.view(np.uint64), p, w).rows(_bucket_of_doc(d, t.view(np.uint64), buckets), DECIDED))
     return pa.Table.from_batches([_batch(rows)])
 
 
@@ -400,8 +401,12 @@ def _pack(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
     for batch in batches:
         raw = [(t or "").encode() for t in batch.column(1).to_pylist()]
         names = np.array([_text_hash(r) for r in raw], dtype=np.uint64)
+        docs = np.array([NO_ID if d is None else d for d in batch.column(0).to_pylist()], dtype=np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(_bucket_of_doc(names, buckets).astype(np.int32)), pa.array([pack.compress(r) for r in raw])],
+            [
+                batch.column(0).cast(pa.int64()), pa.array(_bucket_of_doc(docs, names, buckets).astype(np.int32)),
+                pa.array([pack.compress(r) for r in raw], type=pa.binary()),
+            ],
             names=["doc_id", "bucket", "body"],
         )
 
