@@ -26,3 +26,26 @@ def test_copies_of_a_text_spread_over_buckets(spark):
         assert np.bincount(buckets, minlength=32).max() < 2 * 3200 / 32
     rows = [(i, (long, None, rng_text(rng, 30))[i % 3]) for i in range(300)] + [(None, long), (0, long), (5, None)]
     assert repeated_rows(substring_dedup.repeated_spans(documents(spark, rows)).collect()) == brute_repeats(rows)
+
+
+def test_units_of_a_frequent_anchor_do_not_meet_in_one_group(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT_ENTRIES", 30)
+    rng = random.Random(2)
+    line = rng_text(rng, 25)
+    rows = [(i, f"{rng_text(rng, 8)} {i * 7919:09d} {line} {i * 104729:09d} {rng_text(rng, 8)}") for i in range(150)]
+    rows += [(i, rng_text(rng, 40)) for i in range(150, 200)]
+    rows += [(200, "ab" * 900), (201, "ab" * 60), (None, "ab" * 70 + line), (None, None), (3, line + " x" * 40)]
+    docs = documents(spark, rows).select("doc_id", "text")
+    hot = substring_dedup.hot_anchors(docs, 40_000)
+    assert 0 < len(hot) < 40
+
+    # what one group of anchors gets: no more than HOT_ENTRIES of any anchor
+    shared = spark.sparkContext.broadcast(hot)
+    cut = docs.repartition(8).mapInArrow(lambda b: substring_dedup._cut_units(b, 4, shared), substring_dedup.UNIT_ROWS)
+    sent = [tuple(r)[2:] for r in cut.where(f"kind = {substring_dedup.UNITS}").collect()]
+    _, n = np.unique(substring_dedup._Entries.read(sent).anchor, return_counts=True)
+    assert n.max() <= 30
+    assert cut.where(f"kind = {substring_dedup.HOT}").count() > 0
+    for many in (8192, 2):
+        monkeypatch.setattr(substring_dedup, "HOT_UNITS", many)
+        assert repeated_rows(substring_dedup.repeated_spans(documents(spark, rows)).collect()) == brute_repeats(rows)

@@ -21,8 +21,14 @@ of an anchor can be examined apart from all others.
    neighbours; each run's least doc_id decides the others.
 4. The decided intervals meet their documents, which give up the covered bytes.
 
-Anchors with more than ``HOT_UNITS`` different units are split further: each of
-their windows goes to the task of its own hash, so no group is unbounded.
+Anchors are counted first, over evenly spread stretches of a large input.  The
+entries of one with more than ``HOT_ENTRIES`` never meet in a group: an
+aggregate by (anchor, unit) finds each unit's least document, and a join, which
+adaptive execution splits, decides the others.  With so many units the bytes
+beside the anchor tell little apart, so all that are left go on if they are of
+several documents.  Anchors with more than ``HOT_UNITS`` different units to
+fetch are split by window: each goes to the task of its own hash.  A document
+and the entries of its own text do meet in one task.
 
 Defined cases: null text is empty; texts shorter than ``LENGTH`` lose nothing;
 a null doc_id counts as larger than any; rows of the same doc_id do not remove
@@ -52,6 +58,10 @@ SIDE = 12  # bytes beside the anchor that two units with a common window share,
 PART_BYTES, STRETCH_BYTES, GROUP_BYTES = 4 << 20, 1 << 19, 10 << 20
 #: Bytes of units in one group of suffix arrays, of one array, and different units of an anchor that is split.
 ARRAY_GROUP_BYTES, ARRAY_BYTES, HOT_UNITS = 512 << 10, 64 << 10, 8192
+#: Entries of an anchor that do not meet in one group, and the most such anchors.
+HOT_ENTRIES, MAX_HOT = 1 << 17, 1 << 22
+#: Text up to which every stretch is counted for that; of more text every n-th, n being at most the second number.
+COUNTED_BYTES, COUNT_EVERY = 32 << 20, 32
 NO_ID = np.iinfo(np.int64).max
 
 _values = np.random.default_rng(7001).integers(1, 1 << 63, size=256, dtype=np.uint64) | np.uint64(1)
@@ -118,7 +128,8 @@ UNIT_ROWS = (
 )
 NAMES = [c.split(" ")[0] for c in UNIT_ROWS.split(", ")]
 TYPES = [pa.int32(), pa.int32()] + [pa.binary()] * 8
-UNITS, DECIDED, WANTED = 0, 1, 2
+UNITS, DECIDED, WANTED, HOT = 0, 1, 2, 3
+LOW48 = np.uint64((1 << 48) - 1)
 
 
 class _Entries:
@@ -143,7 +154,7 @@ class _Entries:
             new = np.r_[True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (place[1:] < place[:-1])]
             at = np.flatnonzero(new)
             step = np.where(new, place, np.r_[0, np.diff(place)])
-            whole = kind == UNITS
+            whole = kind in (UNITS, HOT)
             yield (
                 int(bucket[some[0]]), kind, doc[at].tobytes(), text[at].tobytes(),
                 np.diff(np.r_[at, len(some)]).astype("<i4").tobytes(), _planes(step, 4), _planes(self.windows[some], 1),
@@ -213,17 +224,47 @@ def _bucket_of_doc(doc: np.ndarray, text: np.ndarray, buckets: int) -> np.ndarra
     return (mix64(mix64(doc.astype(np.int64).view(np.uint64)) ^ text.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _cut_units(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+def _count_anchors(batches: Iterator[pa.RecordBatch], every: int) -> Iterator[pa.RecordBatch]:
+    """(anchor, its units) in every so many-th stretch; tasks begin at different ones."""
+    from pyspark import TaskContext
+
+    turn = TaskContext.get().partitionId()
+    for batch in batches:
+        found = []
+        for text in batch.column(0).to_pylist():
+            raw = (text or "").encode()
+            for at in range(0, len(raw) - LENGTH + 1, STRETCH_BYTES):
+                turn += 1
+                if turn % every == 0:
+                    data = np.frombuffer(raw[at : at + STRETCH_BYTES + LENGTH - 1], dtype=np.uint8)
+                    found.append(units_of(data)[3] & LOW48)
+        if found:
+            anchor, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor.astype(np.int64)), pa.array(n.astype(np.int64))], names=["anchor", "n"])
+
+
+def hot_anchors(docs: DataFrame, total: int) -> np.ndarray:
+    """Anchors with too many entries for one group, sorted; only the way entries take depends on it, not the result."""
+    every = min(COUNT_EVERY, pieces(total, COUNTED_BYTES, at_least=1))
+    counts = docs.select("text").mapInArrow(lambda b: _count_anchors(b, every), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") * every > max(HOT_ENTRIES, total // MAX_HOT)).select("anchor").toArrow()  # MAX_HOT, as entries are fewer than bytes
+    return np.sort(found.column(0).to_numpy().astype(np.uint64))
+
+
+def _cut_units(batches: Iterator[pa.RecordBatch], buckets: int, hot=None) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     size = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
         cols = [np.concatenate(c) for c in zip(*held)]
         doc, text, place, windows, anchor, unit, sides = cols
-        e = _Entries(doc, text, place, windows, anchor & np.uint64((1 << 48) - 1), unit & np.uint64((1 << 48) - 1), sides)
+        e = _Entries(doc, text, place, windows, anchor & LOW48, unit & LOW48, sides)
         _, later = _collapse(e)
-        sent, known = e.take(np.flatnonzero(~later)), e.take(np.flatnonzero(later))
+        apart = np.isin(e.anchor, hot.value) if hot is not None else np.zeros(len(later), dtype=bool)
+        sent, known = e.take(np.flatnonzero(~later & ~apart)), e.take(np.flatnonzero(later))
+        spread = e.take(np.flatnonzero(~later & apart))
         rows = [*sent.rows((sent.anchor % np.uint64(buckets)).astype(np.int64), UNITS),
+                *spread.rows(_bucket_of_doc(spread.doc, spread.text, buckets), HOT),
                 *known.rows(_bucket_of_doc(known.doc, known.text, buckets), DECIDED)]
         if rows:
             yield _batch(rows)
@@ -256,7 +297,7 @@ def _side_mark(x: np.ndarray) -> np.ndarray:
 
 
 def _decide(got: pa.Table, buckets: int) -> pa.Table:
-    """Units of one bucket of anchors: decided entries, and those whose bytes are wanted."""
+    """Units of one bucket of anchors: decided entries, and those whose bytes are wanted.  Rows of other kinds pass."""
     cols = [got.column(c).to_pylist() for c in NAMES[1:]]
     out: list[tuple] = []
     rows = []
@@ -288,6 +329,47 @@ def _decide(got: pa.Table, buckets: int) -> pa.Table:
     return pa.Table.from_batches([_batch(out)]) if out else pa.Table.from_arrays([pa.array([], type=t) for t in TYPES], names=NAMES)
 
 
+# ---- units of hot anchors: one row an entry ----
+
+HOT_ROWS = "anchor long, unit long, doc long, text long, place long, windows long"
+HOT_NAMES = [c.split(" ")[0] for c in HOT_ROWS.split(", ")]
+
+
+def _entry_by_entry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in NAMES[2:])):
+            e = _Entries.read([row])
+            columns = (e.anchor, e.unit, e.doc, e.text, e.place, e.windows)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns], names=HOT_NAMES)
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Entries with their kind as rows of their documents' buckets."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        col = {c: batch.column(c).to_numpy() for c in (*HOT_NAMES, "kind")}
+        order = np.lexsort((col["place"], col["text"], col["doc"]))
+        u = lambda c: col[c].view(np.uint64)
+        e = _Entries(col["doc"], u("text"), col["place"], col["windows"], u("anchor"), u("unit"))
+        rows: list[tuple] = []
+        for kind in (DECIDED, WANTED):
+            some = e.take(order[col["kind"][order] == kind])
+            rows += some.rows(_bucket_of_doc(some.doc, some.text, buckets), kind)
+        yield _batch(rows)
+
+
+def _decide_apart(rows: DataFrame, buckets: int) -> DataFrame:
+    """Units of hot anchors: as ``_decide``, by aggregates and a join instead of groups."""
+    entries = rows.select(*NAMES).mapInArrow(_entry_by_entry, HOT_ROWS)
+    least = stored(entries.groupBy("anchor", "unit").agg(F.min("doc").alias("least")), "least")
+    several = least.groupBy("anchor").agg(F.min("least").alias("lo"), F.max("least").alias("hi")).where("lo < hi").select("anchor", F.lit(True).alias("several"))
+    least = least.join(several, "anchor", "left")
+    kind = F.when(F.col("doc") > F.col("least"), F.lit(DECIDED)).when(F.col("several"), F.lit(WANTED))
+    known = entries.join(least, ["anchor", "unit"]).select(*HOT_NAMES, kind.alias("kind")).where("kind is not null")
+    return known.mapInArrow(lambda b: _by_bucket(b, buckets), UNIT_ROWS)
+
+
 # ---- the wanted units' bytes and their suffix arrays ----
 
 WANTED_ROWS = "anchor long, doc long, text long, place int, windows int, bytes binary"
@@ -443,8 +525,13 @@ def repeated_spans(documents: DataFrame, give_text: bool = False) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = pieces(total, GROUP_BYTES, at_least=4)
-    units = docs.mapInArrow(lambda b: _cut_units(b, buckets), UNIT_ROWS)
+    found = hot_anchors(docs, total)
+    hot = docs.sparkSession.sparkContext.broadcast(found) if len(found) else None  # at most MAX_HOT numbers
+    units = docs.mapInArrow(lambda b: _cut_units(b, buckets, hot), UNIT_ROWS)
     decided = stored(units.groupBy("bucket").applyInArrow(lambda t: _decide(t, buckets), UNIT_ROWS), "units")
+    if hot is not None:
+        apart = stored(_decide_apart(decided.where(F.col("kind") == HOT), buckets), "units-apart")
+        decided = decided.where(F.col("kind") != HOT).unionByName(apart)
     packed = docs.mapInArrow(lambda b: _pack(b, buckets), "doc_id long, bucket int, body binary")
 
     asked = decided.where(F.col("kind") == WANTED)
