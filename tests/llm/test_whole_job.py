@@ -1,12 +1,13 @@
 """Whole results and even groups where ids, texts or words repeat; against brute force."""
 
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
-from test_text_operators import brute_repeats, documents, rng_text
+from test_text_operators import WORDS, brute_repeats, documents, rng_text
 
-from tidewater.llm import substring_dedup
+from tidewater.llm import langid, substring_dedup, toxicity
 
 
 def repeated_rows(rows):
@@ -14,6 +15,39 @@ def repeated_rows(rows):
     return got
 
 
+# ---- 3 ----
+
+
+def test_rare_insults_are_learned(spark):
+    """Sixty insults, each in under 2 % of the toxic documents."""
+    rng = random.Random(3)
+    insults = ["".join(rng.choice("bdfgklmnprtvz") + rng.choice("aeiou") for _ in range(4)) for _ in range(60)]
+    rows, labels, at = [], [], [0, 0]  # dealt evenly within training and held-out documents
+    for i in range(2400):
+        toxic = i % 3 == 0
+        w = [rng.choice(WORDS) + rng.choice("abcde") * 3 for _ in range(30)]
+        if toxic:
+            fold = zlib.crc32(str(i).encode()) % 3 == 1
+            w[rng.randrange(30)] = insults[at[fold] % 60]
+            at[fold] += 1
+        rows.append((i, " ".join(w) + "."))
+        labels.append((i, 1, int(toxic)))
+    docs, fold = documents(spark, rows), langid.held_out(3, 1)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    held = [i for i in range(2400) if zlib.crc32(str(i).encode()) % 3 == 1]
+
+    def shares(model):
+        got = {r.doc_id: r.toxicity_score >= toxicity.THRESHOLD for r in toxicity.score(docs, model).collect()}
+        return [np.mean([got[i] for i in held if (i % 3 == 0) == bad]) for bad in (True, False)]
+
+    model = toxicity.learn_from_tables(docs, marks, fold)
+    hit, wrong = shares(model)
+    assert len(model.landmarks) > 48 and hit >= 0.95 and wrong <= 0.02
+    fewer = toxicity.learn_from_tables(docs, marks, fold, support=0.01, most_landmarks=10)
+    assert len(fewer.landmarks) == 10
+    assert toxicity.learn_from_tables(docs, marks, fold, support=0.05).landmarks == []
+
+
 # ---- 4 ----
 
 

@@ -25,6 +25,7 @@ table gives no rows; extra columns are ignored or kept.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import defaultdict
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewater.llm.common import table
+from tidewater.llm.common import stored, table
 from tidewater.llm.langid import held_out
 from tidewater.llm.linear import fit_logistic, sigmoid, train_svm
 
@@ -47,9 +48,11 @@ DECAY = 0.5
 SHARED = 0.7
 #: Letters of a word that are compared at a time; longer words are compared in overlapping parts.
 WIDTH = 24
-MAX_LANDMARKS = 48
+#: Share of the toxic training documents (4 of them at least) that have a landmark, and the most landmarks chosen.
+#: A word that is rarer in the sample, or has under 4 letters, is only found by its likeness to a landmark.
+MIN_SUPPORT, MAX_LANDMARKS = 0.01, 128
 #: Bound of the training sample, in distinct texts.
-TOXIC_ROWS, CLEAN_ROWS = 1000, 2000
+TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
 THRESHOLD = 0.7
 #: Words that one Python worker remembers to match nothing.
 KNOWN_WORDS = 300_000
@@ -179,51 +182,65 @@ class Model:
 # ---- training, on a bounded sample ----
 
 
-def choose_landmarks(docs: list[list[set[str]]], toxic: list[bool], most: int = MAX_LANDMARKS) -> list[str]:
-    """Word beginnings that many toxic and hardly any clean documents have.
+def starts_of(word: str) -> set[str]:
+    """A word's beginnings that may be landmarks: of 4 to 10 letters, and the word itself up to 14."""
+    return {word[:k] for k in range(4, min(len(word), 10) + 1)} | ({word} if 3 < len(word) <= 14 else set())
 
+
+def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's beginnings, with the sentences that have them (as hashes; equal sentences have equal ones)."""
+    for batch in batches:
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            found: dict[str, set[int]] = defaultdict(set)
+            for sentence in sentences_of(text):
+                sign = hashlib.blake2b("\0".join(sorted(sentence)).encode("utf-8", "replace"), digest_size=8).digest()
+                for s in set().union(*map(starts_of, sentence)):
+                    found[s].add(int.from_bytes(sign, "big", signed=True))
+            if found:
+                columns = pa.array(list(found)), pa.array([doc] * len(found)), pa.array([list(x) for x in found.values()], type=pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(list(columns), names=["s", "doc", "signs"])
+
+
+def choose_landmarks(
+    sample: DataFrame, n1: int, n0: int, support: float = MIN_SUPPORT, most: int = MAX_LANDMARKS
+) -> list[str]:
+    """Word beginnings that many of the n1 toxic and hardly any of the n0 clean documents (h, text, bad) have.
+
+    Counted by Spark; only beginnings that are left over come to the driver.
     Support is counted in distinct sentences, so that copies of a document do
     not lend it weight.  Greedy: a document counts the less the more chosen
     landmarks it has already; of equals the longest beginning is taken.
     """
-    n1 = max(1, sum(toxic))
-    clean: dict[str, int] = defaultdict(int)
-    cover: dict[str, set[int]] = defaultdict(set)
-    support: dict[str, set[int]] = defaultdict(set)
-    starts = lambda w: {w[:k] for k in range(4, min(len(w), 10) + 1)} | ({w} if 3 < len(w) <= 14 else set())
-    for i, (doc, bad) in enumerate(zip(docs, toxic)):
-        if bad:
-            for sentence in doc:
-                sign = hash(frozenset(sentence))
-                for s in set().union(*map(starts, sentence)):
-                    cover[s].add(i)
-                    support[s].add(sign)
-    least = max(4, math.ceil(0.02 * n1))
-    able = {s for s, where in cover.items() if len(where) >= least and len(support[s]) >= least}
-    for doc, bad in zip(docs, toxic):
-        if not bad:
-            seen = {s for sentence in doc for w in sentence for s in starts(w)}
-            for s in seen & able:
-                clean[s] += 1
-    n0 = max(1, len(toxic) - n1)
-    able = {s for s in able if clean[s] / n0 <= 0.02 * len(cover[s]) / n1}
-    chosen: list[str] = []
-    had = np.zeros(len(docs))
-    where = {s: np.fromiter(cover[s], dtype=np.int64) for s in able}
-    while able and len(chosen) < most:
-        best = max(able, key=lambda s: ((1 / (1 + had[where[s]])).sum() / (1 + clean[s]), len(s), s))
+    least = max(4, math.ceil(support * n1))
+    rows = lambda some: sample.where(some).select("h", "text").mapInArrow(_starts, "s string, doc long, signs array<long>")
+    able = (
+        rows(F.col("bad")).groupBy("s")
+        .agg(F.collect_list("doc").alias("docs"), F.size(F.array_distinct(F.flatten(F.collect_list("signs")))).alias("n"))
+        .where((F.size("docs") >= least) & (F.col("n") >= least))
+        .select("s", "docs")
+    )
+    clean = rows(~F.col("bad")).groupBy("s").agg(F.count("*").alias("clean"))
+    found = (
+        able.join(clean, "s", "left")
+        .withColumn("clean", F.coalesce("clean", F.lit(0)))
+        .where(F.col("clean") / max(1, n0) <= 0.02 * F.size("docs") / n1)
+        .collect()
+    )
+    at: dict[int, int] = {}
+    where = {r["s"]: np.array(sorted(at.setdefault(d, len(at)) for d in sorted(r["docs"])), dtype=np.int64) for r in found}
+    clean_of = {r["s"]: r["clean"] for r in found}
+    left, chosen, had = set(where), [], np.zeros(len(at))
+    while left and len(chosen) < most:
+        best = max(left, key=lambda s: (round(float((1 / (1 + had[where[s]])).sum()) / (1 + clean_of[s]), 9), len(s), s))
         chosen.append(best)
         had[where[best]] += 1
-        able = {s for s in able if not (s.startswith(best) or best.startswith(s))}
+        left = {s for s in left if not (s.startswith(best) or best.startswith(s))}
     return chosen
 
 
-def train(texts: list[str], toxic: list[bool], passes: int = 3) -> Model:
-    """Model from labelled texts (at most the bounded sample)."""
+def train(texts: list[str], toxic: list[bool], landmarks: list[str], passes: int = 3) -> Model:
+    """Model from labelled texts (at most the bounded sample) and the landmarks chosen for them."""
     base = sum(toxic) / len(toxic) if toxic else 0.0
-    one: dict[str, str] = {}  # each word once in memory
-    docs = [[{one.setdefault(w, w) for w in s} for s in sentences_of(t)] for t in texts]
-    landmarks = choose_landmarks(docs, toxic) if any(toxic) and not all(toxic) else []
     if not landmarks:
         return Model(base=base)
     model = Model(landmarks=landmarks, base=base)
@@ -232,11 +249,14 @@ def train(texts: list[str], toxic: list[bool], passes: int = 3) -> Model:
     gram = (gram + gram.T) / 2
     value, vector = np.linalg.eigh(gram)
     model.whiten = vector @ np.diag(1 / np.sqrt(np.maximum(value, 0.05))) @ vector.T
-    words = model.match({w for d in docs for s in d for w in s})
+    vocabulary = sorted({w for t in texts for s in sentences_of(t) for w in s})
+    words: dict[str, np.ndarray] = {}
+    for k in range(0, len(vocabulary), 20_000):
+        words.update(model.match(vocabulary[k : k + 20_000]))
     zero = np.zeros((1, len(landmarks)))
     kernels = []
-    for doc in docs:
-        rows = [words[w] for w in set().union(*doc) if w in words] if doc else []
+    for text in texts:
+        rows = [words[w] for w in set().union(*sentences_of(text)) if w in words]
         kernels.append(np.unique(np.vstack([zero, *rows]), axis=0))
     negative = np.unique(np.vstack([k for k, bad in zip(kernels, toxic) if not bad]), axis=0)
     # of very many clean words, those nearest to a landmark and an even share of the others
@@ -262,7 +282,7 @@ def _distinct(parts: list[np.ndarray]) -> np.ndarray:
     return np.unique(np.vstack(parts), axis=0)
 
 
-def learn(documents: DataFrame, marks: DataFrame) -> Model:
+def learn(documents: DataFrame, marks: DataFrame, support: float = MIN_SUPPORT, most_landmarks: int = MAX_LANDMARKS) -> Model:
     """Train on a bounded sample of documents with marks (doc_id, toxic): distinct texts, those of the least hash
     of either label.  Only ids and text hashes are shuffled; the sample's texts are fetched by its ids."""
     rows = (
@@ -283,15 +303,21 @@ def learn(documents: DataFrame, marks: DataFrame) -> Model:
     rank = Window.partitionBy("bad").orderBy(place, "h")
     sample = texts.where(near).withColumn("r", F.row_number().over(rank)).where(keep).select("doc_id", "h", "bad")
     named = documents.select("doc_id", "text", F.xxhash64("text").alias("h"))
-    got = named.join(F.broadcast(sample), ["doc_id", "h"]).select("bad", "text").distinct().collect()  # the stated bound
+    chosen = stored(named.join(F.broadcast(sample), ["doc_id", "h"]).select("h", "text", "bad").distinct(), "sample")
+    got = chosen.select("bad", "text").collect()  # the stated bound
     got.sort(key=lambda r: (r["bad"], r["text"]))
-    return train([r["text"] for r in got], [r["bad"] for r in got])
+    toxic = [r["bad"] for r in got]
+    both = any(toxic) and not all(toxic)
+    landmarks = choose_landmarks(chosen, sum(toxic), len(toxic) - sum(toxic), support, most_landmarks) if both else []
+    return train([r["text"] for r in got], toxic, landmarks)
 
 
-def learn_from_tables(documents: DataFrame, labels: DataFrame, fold: Column) -> Model:
+def learn_from_tables(
+    documents: DataFrame, labels: DataFrame, fold: Column, support: float = MIN_SUPPORT, most_landmarks: int = MAX_LANDMARKS
+) -> Model:
     """Train on the labelled documents outside the fold; a document is toxic if any of its label rows says so."""
     marks = labels.where("doc_id is not null and toxic is not null").where(~fold).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return learn(documents, marks)
+    return learn(documents, marks, support, most_landmarks)
 
 
 def score(documents: DataFrame, model: Model, keep: list[Column] | None = None, step: int = 256) -> DataFrame:
