@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from test_text_operators import WORDS, brute_repeats, documents, rng_text
 
-from tidewater.llm import langid, substring_dedup, toxicity
+from tidewater.llm import fingerprint, langid, substring_dedup, toxicity
 
 
 def repeated_rows(rows):
@@ -83,3 +83,23 @@ def test_units_of_a_frequent_anchor_do_not_meet_in_one_group(spark, monkeypatch)
     for many in (8192, 2):
         monkeypatch.setattr(substring_dedup, "HOT_UNITS", many)
         assert repeated_rows(substring_dedup.repeated_spans(documents(spark, rows)).collect()) == brute_repeats(rows)
+
+
+# ---- 9 ----
+
+
+def test_likeness_across_the_length_limit(spark):
+    rng = random.Random(6)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(400))
+
+    def share(a, b, k=4):
+        a, b = ({t[i : i + k] for i in range(len(t) - k + 1)} for t in (a, b))
+        return 2 * len(a & b) / (len(a) + len(b))
+
+    for n, m in ((127, 129), (120, 150), (100, 200), (127, 400)):
+        got = fingerprint.Fingerprint(text[:n]).likeness(fingerprint.Fingerprint(text[:m]))
+        assert abs(got - share(text[:n], text[:m])) < 0.15
+        assert fingerprint.Fingerprint(text[:n]).likeness(fingerprint.Fingerprint(text[-m:][::-1])) < 0.1
+    # the edited text of 140 characters is 105 + 5 long
+    r = fingerprint.fingerprints(documents(spark, [(1, text[:140]), (2, "short")])).where("doc_id = 1").first()
+    assert r.near_edited > 0.6

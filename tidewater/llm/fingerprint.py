@@ -3,10 +3,11 @@
 A text's code points are hashed into two modular prefix arrays.  From them any
 span's hash, the equality of any two spans and, by binary search, the longest
 common extension of two places follow without touching the text again.  The
-fingerprint is the whole text's hash and length with a sketch of its spans:
-the hashes of all runs of ``SPAN`` code points (``SHORT_SPAN`` in short texts)
-fall into ``BINS`` bins and each bin keeps a byte of its least one.  Equal texts have equal fingerprints; two
-fingerprints tell the share of common spans.
+fingerprint is the whole text's hash and length with sketches of its spans:
+the hashes of all runs of ``SHORT_SPAN`` code points, and in texts of ``SHORT``
+or more also of ``SPAN``, fall into ``BINS`` bins and each bin keeps a byte of
+its least one.  Equal texts have equal fingerprints; two fingerprints tell the
+share of common spans, of the longest spans that both have a sketch of.
 
 Defined cases: null text is empty; an empty text is one empty span; documents
 are ordered by doc_id with nulls first, ties by text, repeated rows follow each
@@ -29,7 +30,7 @@ from tidewater.llm.common import pieces, table
 # Two primes below 2**31 and a base for each.
 PRIMES = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
-#: Span length of the sketch, and that of texts shorter than SHORT, which have few long spans.
+#: Span lengths of the sketches; texts shorter than SHORT have few long spans and only a sketch of short ones.
 SPAN, SHORT_SPAN, SHORT = 16, 4, 128
 BINS = 128
 #: Text that one range of documents holds, and the most ranges.
@@ -106,31 +107,35 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Fingerprint:
-    """Whole hash, length and span sketch of a text."""
+    """Whole hash, length and span sketches of a text."""
 
     def __init__(self, text: str):
         self.hashes = PrefixHash(text)
         n = self.hashes.n
         self.whole, self.n = self.hashes.span(0, n), n
-        self.scale = SPAN if n >= SHORT else SHORT_SPAN
-        spread = _mix(self.hashes.spans(min(self.scale, n)))
+        scales = (SPAN, SHORT_SPAN) if n >= SHORT else (SHORT_SPAN,)
+        self.sketches = {k: self._sketch(min(k, n)) for k in scales}  # by span length: bins in use, their bytes
+
+    def _sketch(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        spread = _mix(self.hashes.spans(length))
         least = np.full(BINS, np.iinfo(np.uint64).max, dtype=np.uint64)
         np.minimum.at(least, (spread >> np.uint64(57)).astype(np.intp), spread & np.uint64((1 << 57) - 1))
-        self.full = least != np.iinfo(np.uint64).max
-        self.sketch = (least & np.uint64(0xFF)).astype(np.uint8)
+        return least != np.iinfo(np.uint64).max, (least & np.uint64(0xFF)).astype(np.uint8)
 
     def __str__(self) -> str:
-        marks = np.packbits(self.full).tobytes().hex()
-        return f"{self.whole:016x}-{self.n:x}-{marks}-{np.where(self.full, self.sketch, 0).astype(np.uint8).tobytes().hex()}"
+        parts = [f"{self.whole:016x}", f"{self.n:x}"]
+        for full, sketch in self.sketches.values():
+            parts += [np.packbits(full).tobytes().hex(), np.where(full, sketch, 0).astype(np.uint8).tobytes().hex()]
+        return "-".join(parts)
 
     def likeness(self, other: Fingerprint) -> float:
         """Estimated share of common spans: 1 for equal texts, about 0 for unrelated ones."""
         if self.whole == other.whole and self.n == other.n:
             return 1.0
-        if self.scale != other.scale:  # a short text and a long one
-            return 0.0
-        either = int((self.full | other.full).sum())
-        equal = int((self.full & other.full & (self.sketch == other.sketch)).sum())
+        scale = max(self.sketches.keys() & other.sketches.keys())
+        (full, sketch), (full2, sketch2) = self.sketches[scale], other.sketches[scale]
+        either = int((full | full2).sum())
+        equal = int((full & full2 & (sketch == sketch2)).sum())
         jaccard = max(0.0, (equal / either - 1 / 256) / (1 - 1 / 256))
         return 2 * jaccard / (1 + jaccard)
 
