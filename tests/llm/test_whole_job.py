@@ -8,6 +8,7 @@ import pyarrow as pa
 from test_text_operators import WORDS, brute_repeats, documents, rng_text
 
 from tidewater.llm import fingerprint, langid, substring_dedup, toxicity
+from tidewater.llm.tokens import PieceTokenizer, public_file
 
 
 def repeated_rows(rows):
@@ -103,3 +104,16 @@ def test_likeness_across_the_length_limit(spark):
     # the edited text of 140 characters is 105 + 5 long
     r = fingerprint.fingerprints(documents(spark, [(1, text[:140]), (2, "short")])).where("doc_id = 1").first()
     assert r.near_edited > 0.6
+
+
+# ---- 8, 10 ----
+
+
+def test_added_tokens_in_a_text_are_as_in_the_library():
+    from tokenizers import Tokenizer
+
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "x<|startoftext|>y", "<|EndOfText|> z", "<|endof text|>", "the <| |> endoftext", "plain words", "日本 <|endoftext|>"]
+    for name, blank in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        plain = Tokenizer.from_file(public_file(name))
+        want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(b, "<u4").tolist() for b in PieceTokenizer(public_file(name), blank).encode(texts)] == want

@@ -4,7 +4,8 @@ Both tokenizers used here first split a text into pieces (a word with the blank
 before it, a run of marks, ...) and merge within each piece.  Texts of Latin-1
 letters, ASCII and line breaks are split here by the same rule, and the ids of
 a piece are looked up; only unseen pieces reach the tokenizer, many at a time.
-Any other text is encoded whole.
+Any other text is encoded whole, also one that holds the string of an added
+token, which is that token's one id, as with the library's defaults.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ class PieceTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values() if t.content]
+        self._added = re.compile("|".join(added), re.IGNORECASE) if added else None
         self._blank = blank_is_text
         self._limit, self._ids, self._old = cache_pieces, {}, {}
         vocab = self._tokenizer.get_vocab()
@@ -85,7 +87,7 @@ class PieceTokenizer:
         pieces_of = _WITH_BLANK.findall if self._blank else _NO_BLANK.findall
         for i, text in enumerate(texts):
             pieces = ()
-            if text and _OTHER.search(text):
+            if text and (_OTHER.search(text) or (self._added and self._added.search(text))):
                 whole[i] = text
             elif text:
                 pieces = pieces_of(text if self._blank else text.lower())
