@@ -20,19 +20,18 @@ def _exact_sum(col: str) -> F.Column:
 
 
 def _per_order(fct_orders: DataFrame, *cols: str) -> DataFrame:
-    """Order grain: exact revenue, priced lines and customer.  An order fixes its customer, channel and date,
-    so orders are then counted, not counted distinct, and the lines are never expanded."""
-    return fct_orders.groupBy("order_id", *cols).agg(
+    """Order and customer grain: exact revenue and priced lines.  Where order ids repeat, an order has several
+    such rows, so orders and customers are counted distinct over them; the lines are never expanded."""
+    return fct_orders.groupBy("order_id", "customer_key", *cols).agg(
         F.sum(units(F.col("revenue"))).alias("_units"),
         F.count("revenue").alias("_priced"),
-        F.min("customer_key").alias("customer_key"),
     )
 
 
 def kpi_summary(fct_orders: DataFrame) -> DataFrame:
     revenue = from_units(F.sum("_units"))
     return _per_order(fct_orders).agg(
-        F.count("order_id").alias("total_orders"),
+        F.count_distinct("order_id").alias("total_orders"),
         F.count_distinct("customer_key").alias("total_customers"),
         round_half_up(revenue, 2).alias("total_revenue"),
         round_half_up(F.try_divide(revenue, F.sum("_priced").cast("double")), 2).alias("avg_item_revenue"),
@@ -67,7 +66,7 @@ def revenue_daily(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     return (
         _dated_orders(fct_orders, dim_date)
         .groupBy("date_day")
-        .agg(from_units(F.sum("_units")).alias("daily_revenue"), F.count("order_id").alias("daily_orders"))
+        .agg(from_units(F.sum("_units")).alias("daily_revenue"), F.count_distinct("order_id").alias("daily_orders"))
         .select(F.col("date_day").alias("order_date"), "daily_revenue", "daily_orders")
         .orderBy("order_date")
     )
@@ -84,7 +83,7 @@ def revenue_rolling7(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def aov_monthly(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     orders = _dated_orders(fct_orders, dim_date).withColumn("month", F.trunc("date_day", "month"))
-    mean = F.try_divide(from_units(F.sum("_units")), F.count("order_id").cast("double"))
+    mean = F.try_divide(from_units(F.sum("_units")), F.count_distinct("order_id").cast("double"))
     return orders.groupBy("month").agg(round_half_up(mean, 2).alias("aov")).orderBy("month")
 
 
@@ -162,7 +161,7 @@ def channel_revenue(fct_orders: DataFrame, dim_channels: DataFrame) -> DataFrame
         orders.join(ch, F.col("channel_key") == ch["_ck"], "left")
         .groupBy("channel_group", "channel_category")
         .agg(
-            F.count("order_id").alias("orders"),
+            F.count_distinct("order_id").alias("orders"),
             round_half_up(from_units(F.sum("_units")), 2).alias("revenue"),
             F.count_distinct("customer_key").alias("customers"),
         )
