@@ -13,15 +13,16 @@ and all but the last return the columns of ``documents``.
 
 Defined cases: null or empty texts pass every filter (they match nothing) and
 are packed as the end id alone; rows without a doc_id pass the second stage,
-as no group can name them; of rows that share a doc_id that of the least text
-stays there; extra columns are carried along; empty tables give empty results.
+as no group can name them; rows that share a doc_id are documents of their own
+there, and of a group's rows of the least doc_id that of the least text stays;
+extra columns are carried along; empty tables give empty results.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import stored, table
@@ -47,16 +48,23 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = similarity_classes(docs, SHINGLE_WORDS, *SIMILARITY)
-    kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    rank = Window.partitionBy("doc_id").orderBy("text")
-    named = (
-        docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi")
-        .withColumn("__rank", F.row_number().over(rank))
-        .where("__rank = 1")
-        .drop("__rank")
-    )
-    return named.unionByName(docs.where("doc_id is null"))
+    named = docs.where("doc_id is not null")
+    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        classes = similarity_classes(named, SHINGLE_WORDS, *SIMILARITY)
+        kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias("__kept"))
+        kept = named.join(kept, named["doc_id"] == kept["__kept"], "left_semi")
+    else:
+        kept = _one_row_of_each_group(named)
+    return kept.unionByName(docs.where("doc_id is null"))
+
+
+def _one_row_of_each_group(named: DataFrame) -> DataFrame:
+    """The same where a doc_id may have several rows: rows get numbers, and the numbers are grouped."""
+    rows = stored(named.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    classes = similarity_classes(rows.select(F.col("__row").alias("doc_id"), "text"), SHINGLE_WORDS, *SIMILARITY)
+    group = classes.select(F.col("doc_id").alias("__row"), "component_id")
+    least = rows.join(group, "__row").groupBy("component_id").agg(F.min(F.struct("doc_id", "text", "__row")).alias("one"))
+    return rows.join(least.select("one.__row"), "__row", "left_semi").drop("__row")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

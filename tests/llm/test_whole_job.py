@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 from test_text_operators import WORDS, brute_repeats, documents, rng_text
@@ -117,3 +118,16 @@ def test_added_tokens_in_a_text_are_as_in_the_library():
         plain = Tokenizer.from_file(public_file(name))
         want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
         assert [np.frombuffer(b, "<u4").tolist() for b in PieceTokenizer(public_file(name), blank).encode(texts)] == want
+
+
+# ---- pipeline ----
+
+
+def test_rows_of_one_id_with_other_texts_stay(spark):
+    rng = random.Random(7)
+    a, b, c, d = (rng_text(rng, 40) for _ in range(4))
+    rows = [(1, a), (1, b), (2, a + " tail"), (3, c), (3, c), (4, b), (5, None), (5, d), (5, ""), (6, d), (None, a)]
+    kept = corpus_pipeline.one_of_each_group(spark, documents(spark, rows), "")
+    got = sorted(((r.doc_id or 0, r.text or "") for r in kept.collect()))
+    assert got == sorted([(0, a), (1, a), (1, b), (3, c), (5, ""), (5, ""), (5, d)])
+    assert kept.columns == documents(spark, rows).columns
