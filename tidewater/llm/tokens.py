@@ -42,8 +42,10 @@ class PieceTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        added = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values() if t.content]
-        self._added = re.compile("|".join(added), re.IGNORECASE) if added else None
+        added = [t for t in self._tokenizer.get_added_tokens_decoder().values() if t.content]
+        self._exact = [t.content for t in added if not t.normalized]
+        other = "|".join(re.escape(t.content) for t in added if t.normalized)  # found in the normalised text
+        self._other = re.compile(other, re.IGNORECASE) if other else None
         self._blank = blank_is_text
         self._limit, self._ids, self._old = cache_pieces, {}, {}
         vocab = self._tokenizer.get_vocab()
@@ -51,6 +53,9 @@ class PieceTokenizer:
         for token, i in vocab.items():  # the token that opens (or closes) a word
             self._edge[i] = token.startswith("Ġ") if blank_is_text else token.endswith("</w>")
 
+    def _holds_added(self, text: str) -> bool:
+        return any(t in text for t in self._exact) or bool(self._other and self._other.search(text))
+
     def _ask(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
@@ -87,7 +92,7 @@ class PieceTokenizer:
         pieces_of = _WITH_BLANK.findall if self._blank else _NO_BLANK.findall
         for i, text in enumerate(texts):
             pieces = ()
-            if text and (_OTHER.search(text) or (self._added and self._added.search(text))):
+            if text and (_OTHER.search(text) or self._holds_added(text)):
                 whole[i] = text
             elif text:
                 pieces = pieces_of(text if self._blank else text.lower())
