@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.dates import month_start, ntz, whole_days
 from tidewater.functions.numeric import from_units, money_sum, units
 from tidewater.operators.asof import asof_last_before
-from tidewater.operators.ntile import exact_ntile
+from tidewater.operators.tile_edges import tile_edges, tile_of
 from tidewater.params import RunParams
 from tidewater.session import write_checkpoint_table
 
@@ -153,65 +153,60 @@ RFM_ORDER = {
 }
 
 
-def _ranked(base: DataFrame, params: RunParams, which: tuple[str, ...]) -> DataFrame:
-    """(_row, customer_id, _w, _score): the scores of all ``which`` in one distributed ranking.
+NULL_LAST, NULL_FIRST = (1 << 63) - 1, -(1 << 63)
 
-    Each score is ntile(5) within the partition of the flag ``<flag col> > 0``
-    ordered by its value, then customer_id, then the row number ``_row`` (which
-    only matters for repeated or missing ids).  The narrow rows of all scores
-    are stacked -- recency's value negated so every order is ascending -- and
-    ranked in one range sort with groups (score, flag).  Rows with a zero flag
-    column score 1 (for monetary: exactly zero spend; negative spend is ranked
-    with the zeros, as in the source).
+
+def _score_keys(which: str) -> tuple[F.Column, list[F.Column]]:
+    """(group, order) of one score: ntile(5) within the flag ``<flag col> > 0``, ordered by
+    value (recency descending), then customer_id, then the row number ``_row``, which
+    only matters for repeated or missing ids.  Values are whole numbers (days, orders,
+    ten-thousandths of money), so every order is over integers."""
+    col, desc, flag_col = RFM_ORDER[which]
+    value = units(F.col(col)) if which == "monetary" else F.col(col).cast("long")
+    value = F.coalesce(-value if desc else value, F.lit(NULL_LAST))
+    return (F.col(flag_col) > 0).cast("int"), [value, F.coalesce(F.col("customer_id"), F.lit(NULL_FIRST)), F.col("_row")]
+
+
+def _scored(base: DataFrame, which: tuple[str, ...]) -> DataFrame:
+    """``base`` (stored, with ``_row``) with the scores: rows are compared with the tile edges, not sorted.
+
+    Rows with a zero flag column score 1 (for monetary: exactly zero spend;
+    negative spend is ranked with the zeros, as in the source).
     """
     parts = []
     for i, name in enumerate(which):
-        col, desc, flag_col = RFM_ORDER[name]
-        value = (-F.col(col) if desc else F.col(col)).cast("double")
-        parts.append(
-            base.select(
-                "_row",
-                "customer_id",
-                F.lit(i).alias("_w"),
-                value.alias("_v"),
-                (F.col(flag_col) > 0).cast("int").alias("_flag"),
-                (F.col(flag_col) == 0).alias("_fixed"),
-            )
-        )
-    stacked = parts[0]
-    for p in parts[1:]:
-        stacked = stacked.unionByName(p)
-    tiled = exact_ntile(
-        stacked, 5, [F.col("_v").asc_nulls_last(), F.col("customer_id").asc(), F.col("_row").asc()],
-        group=F.col("_w") * 2 + F.col("_flag"), out="_t", partitions=params.rank_partitions,
-        carry=["_row", "customer_id", "_w", "_fixed"],
-    )
-    return tiled.select("_row", "customer_id", "_w", F.when(F.col("_fixed"), F.lit(1)).otherwise(F.col("_t")).alias("_score"))
+        flag, keys = _score_keys(name)
+        parts.append(F.struct((flag + 2 * i).alias("g"), *[k.alias(f"k{j}") for j, k in enumerate(keys)]))
+    edges = tile_edges(base.select(F.inline(F.array(*parts))), "g", ["k0", "k1", "k2"], 5)
+    scores = {}
+    for i, name in enumerate(which):
+        flag, keys = _score_keys(name)
+        own = {g: e for g, e in edges.items() if g // 2 == i}
+        scores[f"{name}_score"] = F.when(F.col(RFM_ORDER[name][2]) == 0, F.lit(1)).otherwise(tile_of(flag + 2 * i, keys, own))
+    return base.withColumns(scores)
+
+
+def _numbered(base: DataFrame) -> DataFrame:
+    """The base with a row number, written once: it is read for the edges and for the output."""
+    return write_checkpoint_table(base.withColumn("_row", F.monotonically_increasing_id()), "rfm_base")
 
 
 def rfm_single_score(base: DataFrame, which: str, params: RunParams) -> DataFrame:
     """One RFM score alone: (customer_id, <which>_score), a row for each row of the base."""
-    ranked = _ranked(base.withColumn("_row", F.monotonically_increasing_id()), params, (which,))
-    return ranked.select("customer_id", F.col("_score").alias(f"{which}_score"))
+    value, _, flag = RFM_ORDER[which]
+    return _scored(_numbered(base.select(*dict.fromkeys(("customer_id", value, flag)))), (which,)).select("customer_id", f"{which}_score")
 
 
 def rfm_scored(stg_customers: DataFrame, stg_orders: DataFrame, stg_order_items: DataFrame, params: RunParams) -> DataFrame:
     """RFM quintiles with exact, distributed ntile.
 
-    The customer-grain base is read once for each score and once for the
-    output, so it is written to the shared checkpoint folder with a row number;
-    scores come back by that number, so a customer whose id is missing or
-    repeated keeps a row (and fails the declared checks).
+    The customer-grain base is written once to the shared checkpoint folder;
+    a customer whose id is missing or repeated keeps a row (and fails the
+    declared checks).
     """
-    numbered = rfm_base(stg_customers, stg_orders, stg_order_items, params).withColumn("_row", F.monotonically_increasing_id())
-    base = write_checkpoint_table(numbered, "rfm_base")
-    which = tuple(RFM_ORDER)
-    scores = _ranked(base, params, which).groupBy("_row").agg(
-        *[F.max(F.when(F.col("_w") == i, F.col("_score"))).alias(f"{name}_score") for i, name in enumerate(which)]
-    )
-    scored = base.join(scores, "_row", "inner")
-    cols = [c for c in base.columns if c != "_row"]
-    return scored.select(*cols, "recency_score", "frequency_score", "monetary_score").withColumn(
+    base = _numbered(rfm_base(stg_customers, stg_orders, stg_order_items, params))
+    scored = _scored(base, tuple(RFM_ORDER)).drop("_row")
+    return scored.withColumn(
         "rfm_segment", rfm_segment(F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score"))
     )
 
