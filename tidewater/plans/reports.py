@@ -19,7 +19,7 @@ def _exact_sum(col: str) -> F.Column:
     return money_sum(F.col(col))
 
 
-def _per_order(fct_orders: DataFrame, *cols: str) -> DataFrame:
+def per_order(fct_orders: DataFrame, *cols: str) -> DataFrame:
     """Order and customer grain: exact revenue and priced lines.  Where order ids repeat, an order has several
     such rows, so orders and customers are counted distinct over them; the lines are never expanded."""
     return fct_orders.groupBy("order_id", "customer_key", *cols).agg(
@@ -28,13 +28,33 @@ def _per_order(fct_orders: DataFrame, *cols: str) -> DataFrame:
     )
 
 
+def _distinct_and_sums(orders: DataFrame, groups: list[str], keys: dict[str, str]) -> DataFrame:
+    """(groups..., _units, _priced, <name>...): sums, and distinct counts of the ``keys`` (name -> column).
+
+    Each key is counted over rows grouped by it, so no row is expanded for the
+    other; the branches share the exchange of ``orders``.  Their few rows per
+    group meet in one last aggregate, where groups may be null.
+    """
+    names, parts = list(keys), []
+    for i, (name, key) in enumerate(keys.items()):
+        each = orders.groupBy(*groups, key).agg(F.sum("_units").alias("_units"), F.sum("_priced").alias("_priced"))
+        sums = [F.sum(c).alias(c) if i == 0 else F.lit(None).cast("long").alias(c) for c in ("_units", "_priced")]
+        counted = [F.count(key).alias(n) if n == name else F.lit(None).cast("long").alias(n) for n in names]
+        parts.append(each.groupBy(*groups).agg(*sums, *counted).select(*groups, "_units", "_priced", *names))
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p)
+    return stacked.groupBy(*groups).agg(
+        F.sum("_units").alias("_units"), F.sum("_priced").alias("_priced"), *[F.sum(n).alias(n) for n in names]
+    )
+
+
 def kpi_summary(fct_orders: DataFrame) -> DataFrame:
-    revenue = from_units(F.sum("_units"))
-    return _per_order(fct_orders).agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_key").alias("total_customers"),
-        round_half_up(revenue, 2).alias("total_revenue"),
-        round_half_up(F.try_divide(revenue, F.sum("_priced").cast("double")), 2).alias("avg_item_revenue"),
+    keys = {"total_orders": "order_id", "total_customers": "customer_key"}
+    revenue = from_units(F.col("_units"))
+    return _distinct_and_sums(per_order(fct_orders), [], keys).select(
+        *keys, round_half_up(revenue, 2).alias("total_revenue"),
+        round_half_up(F.try_divide(revenue, F.col("_priced").cast("double")), 2).alias("avg_item_revenue"),
     )
 
 
@@ -59,7 +79,7 @@ def avg_clv(dim_customers: DataFrame) -> DataFrame:
 def _dated_orders(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     # Inner join on date_key: orders outside the date spine drop out.
     dd = dim_date.select(F.col("date_key").alias("_dk"), "date_day")
-    return _per_order(fct_orders, "date_key").join(dd, F.col("date_key") == dd["_dk"], "inner")
+    return per_order(fct_orders, "date_key").join(dd, F.col("date_key") == dd["_dk"], "inner")
 
 
 def revenue_daily(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -156,17 +176,12 @@ def segment_details(dim_customers: DataFrame) -> DataFrame:
 
 def channel_revenue(fct_orders: DataFrame, dim_channels: DataFrame) -> DataFrame:
     ch = dim_channels.select(F.col("channel_key").alias("_ck"), "channel_category")
-    orders = _per_order(fct_orders, "channel_group", "channel_key")
-    return (
-        orders.join(ch, F.col("channel_key") == ch["_ck"], "left")
-        .groupBy("channel_group", "channel_category")
-        .agg(
-            F.count_distinct("order_id").alias("orders"),
-            round_half_up(from_units(F.sum("_units")), 2).alias("revenue"),
-            F.count_distinct("customer_key").alias("customers"),
-        )
-        .orderBy(F.col("revenue").desc_nulls_first())
-    )
+    groups = ["channel_group", "channel_category"]
+    orders = per_order(fct_orders, "channel_group", "channel_key").join(ch, F.col("channel_key") == ch["_ck"], "left")
+    counted = _distinct_and_sums(orders, groups, {"orders": "order_id", "customers": "customer_key"})
+    return counted.select(
+        *groups, "orders", round_half_up(from_units(F.col("_units")), 2).alias("revenue"), "customers"
+    ).orderBy(F.col("revenue").desc_nulls_first())
 
 
 def first_order_channel(dim_customers: DataFrame, orders_attributed: DataFrame) -> DataFrame:
