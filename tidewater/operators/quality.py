@@ -14,10 +14,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+ROW_LOCAL = ("not_null", "accepted_values")
+
 
 @dataclass(frozen=True)
 class Check:
@@ -114,33 +116,67 @@ def _unique_counts(df: DataFrame, group: list[Check]) -> DataFrame:
     return dups.agg(*[F.count_if(F.col("j") == j).alias(f"_f{j}") for j in range(len(group))])
 
 
+def _bad(check: Check) -> Column:
+    """Whether a row fails a row-local check."""
+    col = F.col(check.column)
+    return col.isNull() if check.kind == "not_null" else col.isNotNull() & ~col.isin(list(check.values))
+
+
+def observe_checks(df: DataFrame, checks: list[Check]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``df`` with the failing rows of its row-local checks counted as it is written.
+
+    Returns the frame to write, and a function that gives failing rows by test
+    name once it is written.  The counts are taken in the writing stage itself,
+    where Spark counts each task once, also if it was tried again.
+    """
+    checks = [c for c in checks if c.kind in ROW_LOCAL]
+    if not checks:
+        return df, dict
+    seen = Observation()
+    watched = df.observe(seen, *[F.count_if(_bad(c)).alias(f"_f{j}") for j, c in enumerate(checks)])
+    return watched, lambda: {c.test_name: int(seen.get[f"_f{j}"] or 0) for j, c in enumerate(checks)}
+
+
 def run_checks(
     checks: list[Check],
     model: Callable[[str], DataFrame],
     singular: dict[str, Callable[[], DataFrame]] | None = None,
+    observed: dict[str, int] | None = None,
 ) -> DataFrame:
     """Evaluate ``checks`` against models looked up by name; one row per check.
 
-    Row-local checks (not_null, accepted_values) of one model share a single
-    scan; unique checks of one model share one aggregate; relationships are
-    anti joins; singular checks count the rows of their query.
+    Row-local checks (not_null, accepted_values) that were ``observed`` while
+    their model was written (failing rows by test name) read nothing, unless
+    accepted_values has failing rows, whose distinct values are then counted.
+    The other row-local checks of one model share a single scan; unique checks
+    of one model share one aggregate; relationships are anti joins; singular
+    checks count the rows of their query.
     """
-    singular = singular or {}
+    singular, observed = singular or {}, observed or {}
     parts: list[DataFrame] = []
     row_local: dict[str, list[Check]] = {}
     uniques: dict[str, list[Check]] = {}
+    known: list[Check] = []
     for c in checks:
-        if c.kind in ("not_null", "accepted_values"):
+        n = observed.get(c.test_name) if c.kind in ROW_LOCAL else None
+        if n == 0 or (n is not None and c.kind == "not_null"):
+            known.append(c)
+        elif c.kind in ROW_LOCAL:
             row_local.setdefault(c.model, []).append(c)
         elif c.kind == "unique":
             uniques.setdefault(c.model, []).append(c)
+    if known:
+        spark = model(known[0].model).sparkSession
+        rows = [(c.test_name, c.model, c.column, c.kind, observed[c.test_name]) for c in known]
+        parts.append(spark.createDataFrame(
+            rows, "test_name string, model string, column_name string, kind string, failures long"
+        ).coalesce(1))
     for model_name, group in row_local.items():
         aggs = []
         for j, c in enumerate(group):
-            col = F.col(c.column)
-            bad = col.isNull() if c.kind == "not_null" else (col.isNotNull() & ~col.isin(list(c.values)))
             # accepted_values reports the distinct failing values, not_null the failing rows
-            aggs.append((F.count_if(bad) if c.kind == "not_null" else F.count_distinct(F.when(bad, col))).alias(f"_f{j}"))
+            failing = F.count_if(_bad(c)) if c.kind == "not_null" else F.count_distinct(F.when(_bad(c), F.col(c.column)))
+            aggs.append(failing.alias(f"_f{j}"))
         parts.append(_rows(model(model_name).agg(*aggs), group))
     for model_name, group in uniques.items():
         df = model(model_name)

@@ -5,7 +5,8 @@ built once per graph and shared by the models that read it, so one
 action over several models lets Catalyst reuse common exchanges.
 ``write_models`` materialises models in dependency order as Parquet tables
 (facts partitioned by month) and reads each back, which cuts lineage the way
-a table materialisation does.
+a table materialisation does; the folder changes from one whole build to the
+next by a snapshot commit.
 """
 
 from __future__ import annotations
@@ -16,12 +17,11 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.dates import date_spine, ntz, spine_from_bounds
-from tidewater.operators.quality import run_checks
+from tidewater.operators.quality import observe_checks, run_checks
 from tidewater.operators.scd2 import scd2_initial, scd2_merge
 from tidewater.params import RunParams
 from tidewater.plans import checks as ck
@@ -29,10 +29,10 @@ from tidewater.plans import derivations as dv
 from tidewater.plans import intermediate as im
 from tidewater.plans import marts as mt
 from tidewater.plans import reports as rp
+from tidewater.plans import rollup as ru
 from tidewater.plans import staging as st
-from tidewater.sources import RawSources
 from tidewater.session import ensure_checkpoint_dir
-from tidewater.sources.sinks import replace_table
+from tidewater.sources import RawSources, snapshots
 
 
 class ModelGraph:
@@ -42,6 +42,8 @@ class ModelGraph:
         self.params = params or RunParams()
         # Models that are stored tables; others are derived from what they read.
         self.stored: set[str] = set()
+        # Failing rows by test name, counted while the models were written.
+        self.observed: dict[str, int] = {}
 
     # -- staging -----------------------------------------------------------
     @cached_property
@@ -155,6 +157,21 @@ class ModelGraph:
         )
 
     # -- reports -----------------------------------------------------------
+    @cached_property
+    def sales_rollup(self) -> ru.SalesRollup:
+        """The line fact summed up per day and channel; written when first asked for."""
+        return ru.sales_rollup(self.fct_orders)
+
+    def rollup_report(self, name: str) -> DataFrame:
+        """A report over days or channels from the rollup instead of the lines; the same rows as ``report``."""
+        table = {
+            "kpi_summary": lambda: ru.kpi_summary(self.sales_rollup),
+            "revenue_daily": lambda: ru.revenue_daily(self.sales_rollup, self.dim_date),
+            "aov_monthly": lambda: ru.aov_monthly(self.sales_rollup, self.dim_date),
+            "channel_revenue": lambda: ru.channel_revenue(self.sales_rollup, self.dim_channels),
+        }
+        return table[name]()
+
     def report(self, name: str) -> DataFrame:
         p = self.params
         table = {
@@ -195,14 +212,15 @@ class ModelGraph:
 
         Like a build-then-test run, the models the checks read are first
         written once as tables (``materialize``), so the checks scan stored
-        columns instead of re-deriving each model per check.
+        columns instead of re-deriving each model per check.  Row-local checks
+        are counted during that write and need no scan at all.
         """
         checks = [c for c in ck.DECLARED + ck.SINGULAR if kinds is None or c.kind in kinds]
         if materialize:
             needed = {c.model for c in checks} | {c.to_model for c in checks if c.to_model}
             wanted = self._closure(needed) - self.stored
             self.materialize(tuple(n for n in self.MODEL_ORDER if n in wanted))
-        return run_checks(checks, self.model, self.singular_checks())
+        return run_checks(checks, self.model, self.singular_checks(), self.observed)
 
     # upstream models of each materialisable model
     DEPENDS = {
@@ -228,7 +246,7 @@ class ModelGraph:
         are working tables, so facts are not split into month folders."""
         if root is None:
             root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/tables-{uuid.uuid4().hex[:12]}"
-        return self.write_models(root, names, partition_facts=False)
+        return self._write_all(names, lambda name: f"{root.rstrip('/')}/{name}", 4, False)
 
     # -- derivations -------------------------------------------------------
     def derivation(self, name: str) -> DataFrame:
@@ -267,8 +285,24 @@ class ModelGraph:
     def write_models(
         self, out_dir: str, names: tuple[str, ...] | None = None, threads: int = 4, partition_facts: bool = True
     ) -> dict[str, str]:
-        """Write models as Parquet tables in dependency order; downstream
-        models then read the written tables (lineage is cut at each table).
+        """Write models as Parquet tables and publish them together; (model -> folder of the written version).
+
+        Every table goes to a folder of its own, and one snapshot commit at the
+        end makes all of them the state of ``out_dir``: a reader of the folder
+        (``open_models``) sees the build before or this one, never a mixture,
+        and a build that stops midway changes nothing.  Models that are not
+        among ``names`` stay as they are.
+        """
+        based_on, _ = snapshots.current(self.spark, out_dir)
+        paths = self._write_all(names, lambda name: snapshots.new_version(out_dir, name), threads, partition_facts)
+        snapshots.commit(self.spark, out_dir, based_on, paths)
+        return paths
+
+    def _write_all(
+        self, names: tuple[str, ...] | None, place: Callable[[str], str], threads: int, partition_facts: bool
+    ) -> dict[str, str]:
+        """Write models in dependency order; downstream models then read the
+        written tables (lineage is cut at each table).
 
         Models whose upstream models are written run concurrently, up to
         ``threads`` at a time (Spark runs jobs from several driver threads
@@ -278,14 +312,14 @@ class ModelGraph:
         month folders instead of one file per month, and a busy month is
         still spread over several tasks by the sampled range bounds.
         """
-        todo = [n for n in self.MODEL_ORDER if n in set(names or self.MODEL_ORDER)]
+        todo = [n for n in self.MODEL_ORDER if n in set(self.MODEL_ORDER if names is None else names)]
         for stg in ("stg_customers", "stg_orders", "stg_order_items", "stg_products", "stg_payments", "stg_events"):
             getattr(self, stg)  # build shared lazy inputs once, before any thread starts
         paths: dict[str, str] = {}
         while todo:
             ready = [n for n in todo if not any(d in todo for d in self.DEPENDS.get(n, ()))]
             with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-                written = list(pool.map(lambda n: (n, self._write_one(out_dir, n, partition_facts)), ready))
+                written = list(pool.map(lambda n: (n, self._write_one(place(n), n, partition_facts)), ready))
             for name, path in written:
                 back = self.spark.read.parquet(path)
                 part = self.PARTITION_BY.get(name)
@@ -299,25 +333,28 @@ class ModelGraph:
         self.stored.add(name)
 
     def open_models(self, folder: str) -> list[str]:
-        """Read the models that ``write_models`` left in ``folder`` instead of deriving them; their names."""
-        found = []
-        for name in self.MODEL_ORDER:
-            try:
-                table = self.spark.read.parquet(f"{folder.rstrip('/')}/{name}")
-            except AnalysisException:
-                continue  # not in the folder: it is derived when asked for
+        """Read the models that ``write_models`` published in ``folder`` instead of deriving them; their names.
+
+        All are of one snapshot, also while the folder is being refreshed.
+        """
+        _, tables = snapshots.current(self.spark, folder)
+        found = [n for n in self.MODEL_ORDER if n in tables]  # the others are derived when asked for
+        for name in found:
+            for c in ck.DECLARED:
+                if c.model == name:  # counted for another version, if at all
+                    self.observed.pop(c.test_name, None)
+            table = self.spark.read.parquet(tables[name])
             self._use(name, table.drop(self.PARTITION_BY.get(name, "")))
-            found.append(name)
         return found
 
-    def _write_one(self, out_dir: str, name: str, partition_facts: bool = True) -> str:
-        df = self.model(name)
-        path = f"{out_dir.rstrip('/')}/{name}"
+    def _write_one(self, path: str, name: str, partition_facts: bool = True) -> str:
+        df, split = self.model(name), []
         part = self.PARTITION_BY.get(name)
         if part and partition_facts:
             ts = "order_at" if name == "fct_orders" else "event_at"
-            laid_out = df.withColumn(part, F.date_format(ts, "yyyy-MM")).repartitionByRange(F.col(ts))
-            replace_table(laid_out, path, [part])
-        else:
-            replace_table(df, path)
+            df, split = df.withColumn(part, F.date_format(ts, "yyyy-MM")).repartitionByRange(F.col(ts)), [part]
+        # after the exchange, so that the counts are taken in the stage that writes
+        df, counts = observe_checks(df, [c for c in ck.DECLARED if c.model == name])
+        df.write.mode("errorifexists").partitionBy(*split).parquet(path)
+        self.observed |= counts()
         return path

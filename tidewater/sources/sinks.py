@@ -1,50 +1,14 @@
-"""Sinks: table materialisation and bulk load.
-
-* ``replace_table``: full-refresh rebuild.  The new version is written next to
-  the table and swapped in with two renames; a failed write leaves the old
-  version in place.  The swap is not atomic: between the renames the table is
-  missing for a moment, and on object stores a rename copies the files.
-* ``write_jdbc``: bulk load into a relational database in batches of 5,000
-  rows, replacing the table (``truncate`` keeps its definition).  The write is
-  spread over the DataFrame's partitions, one connection each.
+"""Sink for bulk loads into a relational database: batches of 5,000 rows, replacing
+the table (``truncate`` keeps its definition).  The write is spread over the
+DataFrame's partitions, one connection each.  Tables in files are refreshed
+through ``sources.snapshots``.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 
 
-def _fs(spark, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p, jvm
-
-
-def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as Parquet at ``path``, replacing any previous version."""
-    spark = df.sparkSession
-    tag = uuid.uuid4().hex[:12]
-    staging = f"{path.rstrip('/')}.__staging-{tag}"
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(staging)
-    fs, target, jvm = _fs(spark, path)
-    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old-{tag}")
-    had_old = fs.exists(target)
-    if had_old:
-        fs.rename(target, old)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
-        if had_old:
-            fs.rename(old, target)
-        raise OSError(f"could not move {staging} to {path}")
-    if had_old:
-        fs.delete(old, True)
-    return path
-
-
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
                batchsize: int = 5000, num_partitions: int | None = None) -> None:
     """Replace ``table`` over JDBC with ``df`` (batched inserts)."""
