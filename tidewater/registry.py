@@ -4,6 +4,7 @@ over the given tables, with its DuckDB oracle SQL where one exists."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,9 @@ from tidewater.params import RunParams
 from tidewater.plans import intermediate as im
 from tidewater.plans import marts as mt
 from tidewater.plans.graph import ModelGraph
+from tidewater.session import ensure_checkpoint_dir
 from tidewater.sources import from_test_tables
+from tidewater.sources.bucketed import count_rows, lay_out
 
 PARAMS = RunParams()
 PREVIOUS_AS_OF = dt.datetime(2000, 8, 2)
@@ -28,10 +31,29 @@ def model_graph(spark: SparkSession, sf_dir: str, params: RunParams = PARAMS) ->
     return ModelGraph(spark, from_test_tables(spark, sf_dir), params)
 
 
+def bucketed_graph(spark: SparkSession, sf_dir: str, params: RunParams = PARAMS) -> ModelGraph:
+    """The models over the raw tables in the bucketed layout, written anew in the shared folder."""
+    return ModelGraph(spark, lay_out(from_test_tables(spark, sf_dir), _layout_folder(spark)), params)
+
+
+def _layout_folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/layout-{uuid.uuid4().hex[:12]}"
+
+
+def _footer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _layout_folder(spark)
+    lay_out(from_test_tables(spark, sf_dir), folder)
+    return count_rows(spark, folder)
+
+
 def _q(fn: Callable[[ModelGraph], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: fn(model_graph(spark, sf_dir))
 
 
+def _rfm_base(p: ModelGraph) -> DataFrame:
+    return im.rfm_base(p.stg_customers, p.stg_orders, p.stg_order_items, p.params)
+
+
 STAGING = ["stg_customers", "stg_orders", "stg_order_items", "stg_products", "stg_payments", "stg_events"]
 MODELS = {
     "orders_enriched": "int_orders_enriched",
@@ -58,6 +80,8 @@ DQ_KINDS = {
     "dq_singular": ("singular",),
     "dq_summary": None,
 }
+ROLLUP_REPORTS = ["kpi_summary", "revenue_daily", "aov_monthly", "channel_revenue"]
+BUCKETED = ["orders_enriched", "fct_orders", "rfm_base"]
 RAW = ["raw_customers", "raw_orders", "raw_order_items", "raw_products", "raw_payments", "raw_events"]
 
 
@@ -72,12 +96,10 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["last_touch"] = _q(lambda p: p.int_orders_attributed.drop("channel_group"))
     q["rfm_order_metrics"] = _q(lambda p: im.rfm_order_metrics(p.stg_orders, p.params))
     q["rfm_revenue"] = _q(lambda p: im.rfm_revenue(p.stg_orders, p.stg_order_items, p.params))
-    q["rfm_base"] = _q(lambda p: im.rfm_base(p.stg_customers, p.stg_orders, p.stg_order_items, p.params))
+    q["rfm_base"] = _q(_rfm_base)
     for which in ("recency", "frequency", "monetary"):
         q[f"rfm_{which}"] = _q(
-            lambda p, w=which: im.rfm_single_score(
-                im.rfm_base(p.stg_customers, p.stg_orders, p.stg_order_items, p.params), w, p.params
-            )
+            lambda p, w=which: im.rfm_single_score(_rfm_base(p), w, p.params)
         )
     q["customer_lifetime"] = _q(lambda p: mt.customer_lifetime(p.int_orders_enriched))
     q["days_between"] = _q(
@@ -106,6 +128,12 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "order_line_key", "order_id", "date_key", "revenue"
     )
     q["revenue_daily_fixed_spine"] = lambda spark, sf_dir: model_graph(spark, sf_dir, FIXED_SPINE).report("revenue_daily")
+    q["orders_enriched_bucketed"] = lambda spark, sf_dir: bucketed_graph(spark, sf_dir).int_orders_enriched
+    q["fct_orders_bucketed"] = lambda spark, sf_dir: bucketed_graph(spark, sf_dir).fct_orders
+    q["rfm_base_bucketed"] = lambda spark, sf_dir: _rfm_base(bucketed_graph(spark, sf_dir))
+    q["audit_row_counts_footers"] = _footer_counts
+    for name in ROLLUP_REPORTS:
+        q[f"{name}_rollup"] = _q(lambda p, n=name: p.rollup_report(n))
     q["scd2_merge"] = _q(lambda p: p.segment_history(PREVIOUS_AS_OF))
     return q
 
@@ -169,5 +197,10 @@ def oracle_queries() -> dict[str, str]:
     o["first_orders"] = w("SELECT customer_id, min(order_at) AS first_order_at FROM raw_orders GROUP BY customer_id")
     o["fct_orders_fixed_spine"] = w("SELECT order_line_key, order_id, date_key, revenue FROM fct_orders", FIXED_SPINE)
     o["revenue_daily_fixed_spine"] = w("SELECT * FROM revenue_daily", FIXED_SPINE)
+    for name in BUCKETED:
+        o[f"{name}_bucketed"] = o[name]
+    o["audit_row_counts_footers"] = o["audit_row_counts"]
+    for name in ROLLUP_REPORTS:
+        o[f"{name}_rollup"] = o[name]
     o["scd2_merge"] = osql.segment_history_sql(PARAMS, PREVIOUS_AS_OF)
     return o
