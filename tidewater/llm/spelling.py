@@ -59,7 +59,10 @@ def word_counts(
 ) -> DataFrame:
     """(word, n): runs of letters, A-Z lowered, counted over all documents."""
     runs = documents.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(RUN), F.lit(0))).alias("run"))
-    runs = runs.select("doc_id", ascii_lower(F.col("run")).alias("run"))
+    # of a run of ASCII letters, lower() is the same and much faster
+    run = F.col("run")
+    lowered = F.when(F.length(run) == F.octet_length(run), F.lower(run)).otherwise(ascii_lower(run))
+    runs = runs.select("doc_id", lowered.alias("run"))
     name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
     runs = runs.select("run", F.crc32(F.encode(name, "UTF-8")).alias("h"))
     at = (F.col("h") % F.length("run")).cast("int")
@@ -115,13 +118,14 @@ def _sided(side: Column, word: Column) -> Column:
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(own, edges): each word's branching or word-ending nodes, and the edges between such nodes.
 
-    own: side, depth, k1, k2, word, n.  edges: side, k1, k2 (parent), head (first
-    character), label, c1, c2 (child), ends, ends_n (the word that ends at the child, or null).
+    own: side, depth, k1, k2, word, n, forks (whether a path other than the word's leads on).  edges: side, k1, k2 (parent), head (first
+    character), label, c1, c2 (child), ends, ends_n (the word that ends at the child, or null),
+    heads (the first characters of the edges below the child).
     """
     path = words.mapInArrow(_prefixes, "side byte, depth int, k1 long, k2 long, next int, word string, n long")
     nodes = path.groupBy(*NODE).agg(F.min("next").alias("least"), F.max("next").alias("most"))
-    nodes = nodes.where("least <> most or least = -1").select(*NODE)
-    own = stored(path.drop("next").join(nodes, NODE, "left_semi"), "trie-nodes")
+    nodes = nodes.where("least <> most or least = -1").select(*NODE, F.expr("least <> most").alias("forks"))
+    own = stored(path.drop("next").join(nodes, NODE), "trie-nodes")
     down = Window.partitionBy("side", "word").orderBy("depth")
     steps = own.withColumns({
         "below": F.lead("depth").over(down), "c1": F.lead("k1").over(down), "c2": F.lead("k2").over(down),
@@ -131,7 +135,11 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges = steps.groupBy("side", "k1", "k2", label.alias("label"), "c1", "c2").agg(
         F.max(F.when(last, F.col("word"))).alias("ends"), F.max(F.when(last, F.col("n"))).alias("ends_n")
     )
-    return own, stored(edges.withColumn("head", F.substring("label", 1, 1)), "trie-edges")
+    edges = stored(edges.withColumn("head", F.substring("label", 1, 1)), "trie-steps")
+    below = edges.groupBy("side", F.col("k1").alias("c1"), F.col("k2").alias("c2")).agg(
+        F.concat_ws("", F.collect_set("head")).alias("heads")  # as many as the alphabet has, at most
+    )
+    return own, stored(edges.join(below, ["side", "c1", "c2"], "left"), "trie-edges")
 
 
 # ---- the frontier ----
@@ -139,11 +147,17 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
 STATE = ["side", "word", "n", "pos", "k1", "k2", "ends", "ends_n"]
 
 
+def _alive(pos: Column, letters: Column) -> Column:
+    """Whether a state at an edge's child can go on: at its word's end where a word ends, else where its next character leads."""
+    onward = F.instr(F.col("heads"), F.substring(letters, pos + 1, F.lit(1))) > 0
+    return F.when(pos == F.length("word"), F.col("ends").isNotNull()).otherwise(onward)
+
+
 def _leave(own: DataFrame, edges: DataFrame) -> DataFrame:
     """States with one edit: from each node of the second half of a word's own path, by an edge it does not follow itself."""
     word = _sided(F.col("side"), F.col("word"))
     rest, size = F.expr("substring(label, 2)"), F.length("label")
-    here = own.where(F.col("depth") >= F.floor(F.length("word") / 2))
+    here = own.where(F.col("forks") & (F.col("depth") >= F.floor(F.length("word") / 2)))
     here = here.select("side", "k1", "k2", "depth", "word", "n", word.alias("letters"))
     met = here.join(edges, ["side", "k1", "k2"]).where(
         (F.col("depth") == F.length("word")) | (F.substring("letters", F.col("depth") + 1, F.lit(1)) != F.col("head"))
@@ -155,6 +169,7 @@ def _leave(own: DataFrame, edges: DataFrame) -> DataFrame:
     ends = F.array_compact(F.array(
         F.when(replaced, F.col("depth") + size), F.when(added, F.col("depth") + size - 1)
     ))
+    ends = F.filter(ends, lambda pos: _alive(pos, F.col("letters")))
     return met.select("side", "word", "n", F.explode(ends).alias("pos"), F.col("c1").alias("k1"), F.col("c2").alias("k2"),
                       "ends", "ends_n")
 
@@ -167,8 +182,8 @@ def _follow(states: DataFrame, edges: DataFrame) -> DataFrame:
     met = open_.join(edges, ["side", "k1", "k2", "head"]).where(
         F.substring("letters", F.col("pos") + 1, F.length("label")) == F.col("label")
     )
-    return met.select("side", "word", "n", (F.col("pos") + F.length("label")).alias("pos"),
-                      F.col("c1").alias("k1"), F.col("c2").alias("k2"), "ends", "ends_n")
+    met = met.withColumn("pos", F.col("pos") + F.length("label")).where(_alive(F.col("pos"), F.col("letters")))
+    return met.select("side", "word", "n", "pos", F.col("c1").alias("k1"), F.col("c2").alias("k2"), "ends", "ends_n")
 
 
 def near_words(words: DataFrame) -> DataFrame:
