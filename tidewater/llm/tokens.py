@@ -3,7 +3,7 @@
 Both tokenizers used here first split a text into pieces (a word with the blank
 before it, a run of marks, ...) and merge within each piece.  Texts of Latin-1
 letters, ASCII and line breaks are split here by the same rule, and the ids of
-a piece are looked up; only unseen pieces reach the tokenizer, many at a time.
+a piece are looked up; an unseen piece goes to the tokenizer's merging step alone.
 Any other text is encoded whole, also one that holds the string of an added
 token, which is that token's one id, as with the library's defaults.
 """
@@ -11,12 +11,13 @@ token, which is that token's one id, as with the library's defaults.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterable
 
 import numpy as np
 
-#: Pieces whose ids one Python worker keeps in each of two generations.
-CACHE_PIECES = 250_000
+#: Pieces whose ids one Python worker keeps in each of two generations (about 250 bytes a piece).
+CACHE_PIECES = 500_000
 
 # The two files' splitting rules, for the characters below.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -27,6 +28,32 @@ _NO_BLANK = re.compile(rf"{_SHORT}|[{_LETTERS}]+|[0-9]|[{_MARKS}]+")
 _OTHER = re.compile(rf"[^\n -~{_LETTERS}]")
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write each byte as one letter: printable bytes as themselves, the others from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class _Pieces(dict):
+    """Packed ids by piece; two generations of at most ``limit`` pieces, the older one without those seen since."""
+
+    def __init__(self, merge, limit: int):
+        super().__init__()
+        self._merge, self._limit, self._old, self._letters = merge, limit, {}, _byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self._old.get(piece)
+        if ids is None:
+            found = self._merge(piece.encode("utf-8").decode("latin-1").translate(self._letters))
+            ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        if len(self) >= self._limit:
+            self._old = dict(self)
+            self.clear()
+        self[piece] = ids
+        return ids
+
+
 class PieceTokenizer:
     """Ids of texts as packed little-endian unsigned 32-bit integers.
 
@@ -47,11 +74,7 @@ class PieceTokenizer:
         other = "|".join(re.escape(t.content) for t in added if t.normalized)  # found in the normalised text
         self._other = re.compile(other, re.IGNORECASE) if other else None
         self._blank = blank_is_text
-        self._limit, self._ids, self._old = cache_pieces, {}, {}
-        vocab = self._tokenizer.get_vocab()
-        self._edge = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
-        for token, i in vocab.items():  # the token that opens (or closes) a word
-            self._edge[i] = token.startswith("Ġ") if blank_is_text else token.endswith("</w>")
+        self._pieces = _Pieces(self._tokenizer.model.tokenize, cache_pieces)
 
     def _holds_added(self, text: str) -> bool:
         return any(t in text for t in self._exact) or bool(self._other and self._other.search(text))
@@ -60,47 +83,17 @@ class PieceTokenizer:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _learn(self, pieces: set[str]) -> None:
-        ids, old = self._ids, self._old
-        if len(ids) > self._limit:
-            self._old, self._ids = ids, {}
-            ids, old = self._ids, self._old
-        new = pieces.difference(ids)
-        if old:
-            ids.update((p, old[p]) for p in new & old.keys())
-            new = new.difference(ids)
-        # words that start with a blank (or where blanks are dropped: all) are encoded together and told apart by their edges
-        many = [p for p in new if p[-1].isalpha() and (p[0] == " " or not self._blank) and p[0] != "'"]
-        for k in range(0, len(many), 512):
-            part = many[k : k + 512]
-            joined = "".join(part) if self._blank else " ".join(part)
-            flat = np.array(self._tokenizer.encode(joined, add_special_tokens=False).ids, dtype="<u4")
-            edges = np.flatnonzero(self._edge[flat])
-            if len(edges) != len(part):  # not one edge a word: ask for each
-                ids.update(zip(part, self._ask(part)))
-                continue
-            cuts = edges[1:] if self._blank else edges[:-1] + 1
-            ends = [*(cuts * 4).tolist(), 4 * len(flat)]
-            raw = flat.tobytes()
-            ids.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)]))
-        lone = list(new.difference(many))
-        if lone:
-            ids.update(zip(lone, self._ask(lone)))
-
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
-        split, whole, seen = [], {}, set()
+        out, whole = [], {}
         pieces_of = _WITH_BLANK.findall if self._blank else _NO_BLANK.findall
+        ids_of = self._pieces.__getitem__
         for i, text in enumerate(texts):
-            pieces = ()
+            ids = b""
             if text and (_OTHER.search(text) or self._holds_added(text)):
                 whole[i] = text
             elif text:
-                pieces = pieces_of(text if self._blank else text.lower())
-                seen.update(pieces)
-            split.append(pieces)
-        self._learn(seen)
-        ids = self._ids.__getitem__
-        out = [b"".join(map(ids, pieces)) for pieces in split]
+                ids = b"".join(map(ids_of, pieces_of(text if self._blank else text.lower())))
+            out.append(ids)
         if whole:
             for i, found in zip(whole, self._ask(list(whole.values()))):
                 out[i] = found
