@@ -72,7 +72,8 @@ def write_tokens(documents: DataFrame, path: str, tokenizer_path: str, file_byte
     """Write the documents' ids as ascending ranges of doc_id, a file for each."""
     docs = documents.select("doc_id", "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ordered = docs.repartitionByRange(pieces(total, file_bytes), "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # by doc_id alone: the partitioner's sample goes to the driver, and rows of one id share a file
+    ordered = docs.repartitionByRange(pieces(total, file_bytes), "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(lambda b: _encode(b, tokenizer_path), FILE).write.options(**LAYOUT).parquet(path)
 
 
