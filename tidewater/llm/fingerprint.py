@@ -211,7 +211,7 @@ def fingerprints(documents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
     halo = heads.select("key", "doc_id", "text", goes_to.alias("range_no"), F.lit(1).alias("halo"))
     rows = docs.select("key", "doc_id", "text", "range_no", F.lit(0).alias("halo")).unionByName(halo)
     return (
-        rows.repartition(n, "range_no")
+        rows.repartitionById(len(bounds) + 1, F.col("range_no"))  # a task for each range
         .sortWithinPartitions("range_no", "halo", "key", "text")
         .select("range_no", "doc_id", "halo", "text")
         .mapInArrow(_rows, SCHEMA)
