@@ -224,6 +224,7 @@ def subtree_totals(nodes: DataFrame, paths: DataFrame, values: list[str], piece:
     else:  # tops at depth 0 or 1: the path of the node's own conversation leads to it
         least = paths.groupBy("conv_id").agg(F.min_by("node", "depth").alias("top_conv"), F.min("depth").alias("top_depth"))
         state = state.join(least, "conv_id")
+    state = stored(state, "components")
     done, small = [], []
     while True:
         large = state.groupBy(*TOP).agg(F.max("below").alias("total")).where(F.col("total") > piece)
