@@ -39,3 +39,20 @@ def test_empty_and_odd_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             some = corpus_pipeline.stored(stage(spark, some, SF), "test-odd")
             assert some.count() == n
+
+
+def test_clashing_column_names(spark):
+    """Columns named like helpers of the stages come out as they went in."""
+    names = ["__id", "__hash", "__text", "__kept", "__row", "__none", "id_", "hash_", "its_hash", "kept_text", "none", "kept_id",
+             "row_no", "toxicity_score", "Toxicity_Score_", "named", "component_id", "start", "text_hash", "w", "h"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.selectExpr("*", *[f"concat('{n}', doc_id) as `{n}`" for n in names])
+    repeated = docs.unionByName(docs.limit(1))  # a repeated id takes the second stage's other way
+    for first in (docs, repeated):
+        some = first
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            some = corpus_pipeline.stored(stage(spark, some, SF), f"test-{name}")
+            assert some.columns == docs.columns
+            wrong = " or ".join(f"`{n}` <> concat('{n}', doc_id)" for n in names)
+            assert some.where(wrong).count() == 0 and some.count() > 0
+        assert corpus_pipeline.STAGES[-1][1](spark, some, SF).count() > 0

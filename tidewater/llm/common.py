@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(columns: Iterable[str], name: str) -> str:
+    """``name``, or a longer one, that none of ``columns`` has (Spark ignores case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only; every other character stays."""
     return F.translate(col, UPPER, LOWER)

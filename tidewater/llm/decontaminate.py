@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import ascii_lower, table
+from tidewater.llm.common import ascii_lower, fresh, table
 
 WINDOW = 10
 #: Windows in one broadcast; a larger benchmark is probed in blocks of this size.
@@ -126,14 +126,15 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, n: int = WINDOW, m
     A document goes when more than ``min_hit_share`` of its words are hit.
     Columns and untouched rows stay as they are; null ids are matched as null.
     """
+    id_, hash_ = fresh(documents.columns, "id_"), fresh(documents.columns, "hash_")
     bad = (
-        contamination(documents, benchmark, n)
+        contamination(documents.select("doc_id", "text"), benchmark, n)
         .where(F.size("spans") > 0)
         .where(hit_words(F.col("spans")) > F.lit(min_hit_share) * F.col("n_words"))
-        .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+        .select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_))
         .distinct()
     )
-    same = documents["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(documents["text"]) == F.col("__hash"))
+    same = documents["doc_id"].eqNullSafe(F.col(id_)) & (F.xxhash64(documents["text"]) == F.col(hash_))
     return documents.join(bad, same, "left_anti")
 
 

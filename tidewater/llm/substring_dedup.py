@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import pieces, stored, table
+from tidewater.llm.common import fresh, pieces, stored, table
 from tidewater.llm.shingles import _powers, mix64
 from tidewater.llm.suffix_array import suffix_array
 
@@ -580,15 +580,16 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     well.  A null text stays null.  Only the other columns are shuffled beside
     the kept texts.
     """
-    kept = repeated_spans(documents, give_text=True).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__h"), F.col("kept").alias("__kept")
+    id_, its_hash, kept_text, hash_, none = (fresh(documents.columns, c) for c in ("id_", "its_hash", "kept_text", "hash_", "none"))
+    kept = repeated_spans(documents.select("doc_id", "text"), give_text=True).select(
+        F.col("doc_id").alias(id_), F.col("text_hash").alias(its_hash), F.col("kept").alias(kept_text)
     )
-    kept = kept.groupBy("__id", "__h").agg(F.first("__kept").alias("__kept"))  # equal rows keep equal texts
+    kept = kept.groupBy(id_, its_hash).agg(F.first(kept_text).alias(kept_text))  # equal rows keep equal texts
     named = documents.withColumns(
-        {"__hash": F.xxhash64(F.coalesce("text", F.lit(""))), "__none": F.col("text").isNull()}
+        {hash_: F.xxhash64(F.coalesce("text", F.lit(""))), none: F.col("text").isNull()}
     ).drop("text")
-    same = named["doc_id"].eqNullSafe(F.col("__id")) & (named["__hash"] == F.col("__h"))
-    out = named.join(kept, same).withColumn("text", F.when(~F.col("__none"), F.col("__kept")))
+    same = named["doc_id"].eqNullSafe(F.col(id_)) & (named[hash_] == F.col(its_hash))
+    out = named.join(kept, same).withColumn("text", F.when(~F.col(none), F.col(kept_text)))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
     return out.select(*[F.col(f"`{c}`") for c in documents.columns])

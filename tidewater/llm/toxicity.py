@@ -34,6 +34,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -56,6 +57,8 @@ TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
 THRESHOLD = 0.7
 #: Words that one Python worker remembers to match nothing.
 KNOWN_WORDS = 300_000
+#: Words compared with the landmarks at a time, and bytes of text scored at a time.
+MATCHED, SCORED_BYTES = 4096, 4 << 20
 
 _SENTENCE = re.compile(r"[.!?\n|]+")
 _SPELLED = re.compile(r"(?<!\S)(?:\w[ \t]){2,}\w(?!\S)")
@@ -170,11 +173,13 @@ class Model:
         known = self._known
         docs = [chunks_of(t) if t else set() for t in texts]
         new = list(set().union(*docs).difference(known)) if docs else []
-        words = [word_of(c) for c in new]
-        values = self.match(words)
         none = float(self.weights[-1])  # the margin of a word that matches nothing
-        margin = dict(zip(values, self.margins(np.array(list(values.values()))).tolist())) if values else {}
-        known.update((c, margin.get(w, none)) for c, w in zip(new, words))
+        for k in range(0, len(new), MATCHED):
+            some = new[k : k + MATCHED]
+            words = [word_of(c) for c in some]
+            values = self.match(words)
+            margin = dict(zip(values, self.margins(np.array(list(values.values()))).tolist())) if values else {}
+            known.update((c, margin.get(w, none)) for c, w in zip(some, words))
         worst = [max(map(known.__getitem__, d), default=none) for d in docs]
         return sigmoid(self.slope * np.maximum(worst, none) + self.shift).tolist()
 
@@ -320,21 +325,43 @@ def learn_from_tables(
     return learn(documents, marks, support, most_landmarks)
 
 
-def score(documents: DataFrame, model: Model, keep: list[Column] | None = None, step: int = 256) -> DataFrame:
-    """The kept columns (all, if none are named) with toxicity_score, for every row; only the text is looked at."""
-    columns = keep if keep is not None else [F.col(f"`{c}`") for c in documents.columns]
-    chosen = documents.select(*columns, F.col("text").alias("__text"))
+def _steps(texts: pa.Array, rows: int) -> Iterator[tuple[int, int]]:
+    """(first, number) of rows scored together: at most ``rows``, and about SCORED_BYTES of text."""
+    at = size = 0
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+        if i > at and (i - at == rows or size + (n or 0) > SCORED_BYTES):
+            yield at, i - at
+            at, size = i, 0
+        size += n or 0
+    if at < len(texts):
+        yield at, len(texts) - at
+
+
+def score(
+    documents: DataFrame, model: Model, keep: list[Column] | None = None, step: int = 256, into: str = "toxicity_score"
+) -> DataFrame:
+    """The kept columns (all, if none are named) with the score, for every row; only the text is looked at.
+
+    Columns are passed by place, the text once, so their names do not matter;
+    ``into`` must not be one of them.
+    """
+    if keep is None:
+        chosen, text_at = documents, documents.columns.index("text")
+    else:
+        chosen, text_at = documents.select(*keep, "text"), len(keep)
+    kept_at = [i for i in range(len(chosen.columns)) if keep is None or i != text_at]
     shared = documents.sparkSession.sparkContext.broadcast(model)  # at most MAX_LANDMARKS strings and weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, step):
-                some = batch.slice(at, step)
-                said = shared.value.scores(some.column("__text").to_pylist())
-                kept = some.select([c for c in some.schema.names if c != "__text"])
-                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(said, type=pa.float64())], names=[*kept.schema.names, "toxicity_score"])
-
-    schema = StructType(chosen.schema.fields[:-1]).add("toxicity_score", "double")
+            said: list[float] = []
+            for at, n in _steps(batch.column(text_at), step):
+                said += shared.value.scores(batch.column(text_at).slice(at, n).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in kept_at), pa.array(said, type=pa.float64())], names=[f.name for f in schema.fields]
+            )
+
+    schema = StructType([chosen.schema.fields[i] for i in kept_at]).add(into, "double")
     return chosen.mapInArrow(run, schema)
 
 
