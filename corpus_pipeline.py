@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import stored, table
+from tidewater.llm.common import fresh, stored, table
 from tidewater.llm.decontaminate import decontaminate
 from tidewater.llm.jaccard import similarity_classes
 from tidewater.llm.langid import held_out
@@ -39,20 +39,17 @@ SHINGLE_WORDS, SIMILARITY = 5, (80, 100)
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = learn_from_tables(docs, table(spark, sf_dir, "labels"), held_out(3, 1))
-    clean = score(docs.withColumnRenamed("toxicity_score", "__toxicity_score"), model)
-    return (
-        clean.where(F.col("toxicity_score") < THRESHOLD)
-        .drop("toxicity_score")
-        .withColumnRenamed("__toxicity_score", "toxicity_score")
-    )
+    into = fresh(docs.columns, "toxicity_score")
+    return score(docs, model, into=into).where(F.col(into) < THRESHOLD).drop(into)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     named = docs.where("doc_id is not null")
     if named.groupBy("doc_id").count().where("count > 1").isEmpty():
         classes = similarity_classes(named, SHINGLE_WORDS, *SIMILARITY)
-        kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias("__kept"))
-        kept = named.join(kept, named["doc_id"] == kept["__kept"], "left_semi")
+        id_ = fresh(docs.columns, "kept_id")
+        kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias(id_))
+        kept = named.join(kept, named["doc_id"] == kept[id_], "left_semi")
     else:
         kept = _one_row_of_each_group(named)
     return kept.unionByName(docs.where("doc_id is null"))
@@ -60,11 +57,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def _one_row_of_each_group(named: DataFrame) -> DataFrame:
     """The same where a doc_id may have several rows: rows get numbers, and the numbers are grouped."""
-    rows = stored(named.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    classes = similarity_classes(rows.select(F.col("__row").alias("doc_id"), "text"), SHINGLE_WORDS, *SIMILARITY)
-    group = classes.select(F.col("doc_id").alias("__row"), "component_id")
-    least = rows.join(group, "__row").groupBy("component_id").agg(F.min(F.struct("doc_id", "text", "__row")).alias("one"))
-    return rows.join(least.select("one.__row"), "__row", "left_semi").drop("__row")
+    row = fresh(named.columns, "row_no")
+    rows = stored(named.withColumn(row, F.monotonically_increasing_id()), "rows")
+    texts = rows.select(row, F.col("doc_id").alias("named"), "text")
+    classes = similarity_classes(texts.select(F.col(row).alias("doc_id"), "text"), SHINGLE_WORDS, *SIMILARITY)
+    group = classes.select(F.col("doc_id").alias(row), "component_id")
+    least = texts.join(group, row).groupBy("component_id").agg(F.min(F.struct("named", "text", row)).alias("one"))
+    return rows.join(least.select(F.col("one")[row].alias(row)), row, "left_semi").drop(row)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
