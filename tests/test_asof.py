@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from tidewater.operators import asof
 from tidewater.operators.asof import asof_last_before
 
 COLS = {"event_id": "m_id", "tag": "m_tag", "t": "m_t"}
@@ -115,3 +116,52 @@ def test_result_does_not_depend_on_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert got["1"] == got["37"] == brute(left, right)
+
+
+def instants(n=3000):
+    """One key; a third of its rows on either side at one instant, another instant with right rows only."""
+    rng = random.Random(4)
+    left = [(i, 1, t(100) if i % 3 == 0 else t(rng.randrange(200), rng.randrange(86400))) for i in range(n)]
+    right = [(i, 1, t(100) if i % 3 == 0 else t(50) if i % 3 == 1 else t(rng.randrange(200), rng.randrange(86400)), f"e{i}") for i in range(n)]
+    left += [(n + i, 2 + i % 50, t(rng.randrange(200))) for i in range(200)]
+    right += [(n + i, 2 + i % 50, t(rng.randrange(200)), f"e{n + i}") for i in range(200)]
+    return left, right
+
+
+def test_a_third_of_the_rows_at_one_instant(spark):
+    left, right = instants()
+    got = run(spark, left, right, None, target_rows=100)
+    best = {}  # the latest right row strictly before: by key, over rows sorted by (time, id)
+    by_key = {}
+    for e in right:
+        by_key.setdefault(e[1], []).append((e[2], e[0], e[3]))
+    for k in by_key:
+        by_key[k].sort()
+    import bisect
+
+    for lid, k, lt in left:
+        rows = by_key.get(k, [])
+        at = bisect.bisect_left(rows, (lt,))
+        best[lid] = (rows[at - 1][1], rows[at - 1][2], rows[at - 1][0]) if at else None
+    assert got == best
+
+
+def test_an_instant_is_split(spark):
+    """No window partition holds more than a small share of the hot key's rows."""
+    left, right = instants()
+    rows = [(i, k, lt, None, 0) for i, k, lt in left] + [(i, k, rt, i, 1) for i, k, rt, _ in right]
+    both = spark.createDataFrame(rows, "lid long, _key long, _t timestamp_ntz, _tie long, _side int").selectExpr(
+        "lid", "_key", "_side", "unix_micros(cast(_t as timestamp)) _us")
+    parts = asof.in_buckets(both, ["lid"], None, 100)
+    used = parts.where("_side = 0 or _subs = 0").groupBy("_key", "_b", "_sub").count()
+    assert used.agg(F.max("count")).first()[0] <= 8 * len(rows) // asof.PARTS
+    hot = parts.where("_key = 1 and _us = %d" % (t(100) - t(0) + (t(0) - dt.datetime(1970, 1, 1))).__floordiv__(dt.timedelta(microseconds=1)))
+    assert hot.where("_side = 0").select("_sub").distinct().count() > 20
+    assert hot.select("_b").distinct().count() == 1
+
+
+def test_sources_are_read_once(spark):
+    from tidewater.registry import model_graph
+
+    plan = model_graph(spark, "/root/testdata/sf0.001").int_orders_attributed._jdf.queryExecution().executedPlan().toString()
+    assert "events.parquet" not in plan and "/asof-" in plan  # the match reads the narrow working table only
