@@ -12,6 +12,7 @@ next by a snapshot commit.
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.dates import date_spine, ntz, spine_from_bounds
 from tidewater.operators.quality import observe_checks, run_checks
-from tidewater.operators.scd2 import scd2_initial, scd2_merge
+from tidewater.operators.scd2 import scd2_initial, scd2_merge, scd2_splice
 from tidewater.params import RunParams
 from tidewater.plans import checks as ck
 from tidewater.plans import derivations as dv
@@ -44,6 +45,8 @@ class ModelGraph:
         self.stored: set[str] = set()
         # Failing rows by test name, counted while the models were written.
         self.observed: dict[str, int] = {}
+        # Stored facts with the column of their month folders.
+        self.by_month: dict[str, DataFrame] = {}
 
     # -- staging -----------------------------------------------------------
     @cached_property
@@ -196,6 +199,25 @@ class ModelGraph:
         }
         return table[name]()
 
+    def report_between(self, name: str, start: dt.date, end: dt.date) -> DataFrame:
+        """A report on the line fact for the days from ``start`` to ``end`` (exclusive).
+
+        Where the fact is stored in month folders, only those of the period are read.
+        """
+        if "fct_orders" in self.by_month:
+            month = self.PARTITION_BY["fct_orders"]
+            lines = rp.between(self.by_month["fct_orders"], self.dim_date, start, end, month).drop(month)
+        else:
+            lines = rp.between(self.fct_orders, self.dim_date, start, end)
+        table = {
+            "kpi_summary": lambda: rp.kpi_summary(lines),
+            "revenue_daily": lambda: rp.revenue_daily(lines, self.dim_date),
+            "revenue_rolling7": lambda: rp.revenue_rolling7(lines, self.dim_date),
+            "aov_monthly": lambda: rp.aov_monthly(lines, self.dim_date),
+            "channel_revenue": lambda: rp.channel_revenue(lines, self.dim_channels),
+        }
+        return table[name]()
+
     # -- checks ------------------------------------------------------------
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -275,6 +297,26 @@ class ModelGraph:
         return scd2_merge(history, snap(self), key="customer_id", tracked=tracked, change_at=self.params.as_of,
                           history_key="customer_history_key")
 
+    def active_segment_history(self, arrivals) -> DataFrame:
+        """Segment history of the customers who ordered in the trailing window, from the runs at ``arrivals``.
+
+        The runs are given in the order in which they arrive, which need not be
+        that of their times.  A customer without an order in the window is
+        missing from that run, so their version ends there.
+        """
+        def snap(as_of) -> DataFrame:
+            p = ModelGraph(self.spark, self.raw, dataclasses.replace(self.params, as_of=as_of))
+            return p.int_customers_rfm_scored.where("order_count_12m > 0").select("customer_id", "rfm_segment")
+
+        first, *others = arrivals
+        history = scd2_initial(snap(first), key="customer_id", effective_from=ntz(first), history_key="customer_history_key")
+        observed = [first]
+        for at in others:
+            history = scd2_splice(history, snap(at), key="customer_id", tracked=["rfm_segment"], at=at, observed=observed,
+                                  history_key="customer_history_key")
+            observed.append(at)
+        return history
+
     # -- materialisation ---------------------------------------------------
     MODEL_ORDER = (
         "int_orders_enriched", "int_customers_rfm_scored", "int_orders_attributed", "int_cohorts_monthly",
@@ -321,14 +363,18 @@ class ModelGraph:
             with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
                 written = list(pool.map(lambda n: (n, self._write_one(place(n), n, partition_facts)), ready))
             for name, path in written:
-                back = self.spark.read.parquet(path)
-                part = self.PARTITION_BY.get(name)
-                self._use(name, back.drop(part) if part and partition_facts else back)  # downstream reads the table
+                self._use(name, path)  # downstream reads the table
                 paths[name] = path
             todo = [n for n in todo if n not in ready]
         return paths
 
-    def _use(self, name: str, table: DataFrame) -> None:
+    def _use(self, name: str, path: str) -> None:
+        table = self.spark.read.parquet(path)
+        part = self.PARTITION_BY.get(name)
+        self.by_month.pop(name, None)
+        if part in table.columns:
+            self.by_month[name] = table = table.withColumn(part, F.col(part).cast("string"))
+            table = table.drop(part)
         self.__dict__[name] = table
         self.stored.add(name)
 
@@ -343,8 +389,7 @@ class ModelGraph:
             for c in ck.DECLARED:
                 if c.model == name:  # counted for another version, if at all
                     self.observed.pop(c.test_name, None)
-            table = self.spark.read.parquet(tables[name])
-            self._use(name, table.drop(self.PARTITION_BY.get(name, "")))
+            self._use(name, tables[name])
         return found
 
     def _write_one(self, path: str, name: str, partition_facts: bool = True) -> str:

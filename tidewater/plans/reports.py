@@ -8,6 +8,8 @@ Rounded outputs are half-away-from-zero through decimals, returned as double.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,6 +78,20 @@ def avg_clv(dim_customers: DataFrame) -> DataFrame:
     )
 
 
+def between(fact: DataFrame, dim_date: DataFrame, start: dt.date, end: dt.date, month: str | None = None) -> DataFrame:
+    """The fact's rows of the days from ``start`` (inclusive) to ``end`` (exclusive) of the date dimension.
+
+    ``month`` names the column of the fact's month folders ('yyyy-MM'), if it is
+    stored in such.  The semi join is then on the month as well, so the days that
+    are left in the dimension prune the folders before they are listed for
+    reading; otherwise they only filter rows.
+    """
+    days = dim_date.where((F.col("date_day") >= F.lit(start)) & (F.col("date_day") < F.lit(end)))
+    days = days.select(F.col("date_key").alias("_dk"), F.date_format("date_day", "yyyy-MM").alias("_month"))
+    same = F.col("date_key") == F.col("_dk")
+    return fact.join(days, same & (F.col(month) == F.col("_month")) if month else same, "left_semi")
+
+
 def _dated_orders(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     # Inner join on date_key: orders outside the date spine drop out.
     dd = dim_date.select(F.col("date_key").alias("_dk"), "date_day")

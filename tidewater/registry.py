@@ -23,6 +23,10 @@ from tidewater.sources.bucketed import count_rows, lay_out
 
 PARAMS = RunParams()
 PREVIOUS_AS_OF = dt.datetime(2000, 8, 2)
+# Three runs in the order of their arrival: the last to arrive was taken between the others.
+ARRIVALS = [dt.datetime(2000, 8, 2), PARAMS.as_of, dt.datetime(2001, 2, 2)]
+# Days of a date-bounded report, end exclusive.
+PERIOD = (dt.date(1997, 2, 10), dt.date(1997, 5, 3))
 # A date dimension with fixed bounds inside the data's range: lines outside have no date key and drop out of dated reports.
 FIXED_SPINE = RunParams(spine_start=dt.date(1996, 1, 1), spine_end=dt.date(1998, 7, 1))
 
@@ -46,6 +50,13 @@ def _footer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_rows(spark, folder)
 
 
+def _revenue_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily revenue of a period from stored marts, of which only the period's month folders are read."""
+    g = model_graph(spark, sf_dir)
+    g.write_models(f"{ensure_checkpoint_dir(spark).rstrip('/')}/marts-{uuid.uuid4().hex[:12]}", ("dim_date", "fct_orders"))
+    return g.report_between("revenue_daily", *PERIOD)
+
+
 def _q(fn: Callable[[ModelGraph], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: fn(model_graph(spark, sf_dir))
 
@@ -134,6 +145,8 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["audit_row_counts_footers"] = _footer_counts
     for name in ROLLUP_REPORTS:
         q[f"{name}_rollup"] = _q(lambda p, n=name: p.rollup_report(n))
+    q["revenue_daily_between"] = _revenue_between
+    q["scd2_late_snapshot"] = _q(lambda p: p.active_segment_history(ARRIVALS))
     q["scd2_merge"] = _q(lambda p: p.segment_history(PREVIOUS_AS_OF))
     return q
 
@@ -202,5 +215,9 @@ def oracle_queries() -> dict[str, str]:
     o["audit_row_counts_footers"] = o["audit_row_counts"]
     for name in ROLLUP_REPORTS:
         o[f"{name}_rollup"] = o[name]
+    o["revenue_daily_between"] = w(
+        f"SELECT * FROM revenue_daily WHERE order_date >= DATE '{PERIOD[0]}' AND order_date < DATE '{PERIOD[1]}'"
+    )
+    o["scd2_late_snapshot"] = osql.active_segment_history_sql(PARAMS, ARRIVALS)
     o["scd2_merge"] = osql.segment_history_sql(PARAMS, PREVIOUS_AS_OF)
     return o
