@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import stored, table
@@ -96,52 +96,28 @@ def _walk(turns: Column, template: Template) -> Column:
 
 def format_conversations(conversations: DataFrame, template: Template = CHATML) -> DataFrame:
     """conv_id, formatted, loss_spans, valid, first_bad_turn: a row per conversation."""
-    turns = F.array_sort(
-        F.collect_list(
-            F.struct(
-                F.col("turn"),
-                F.coalesce("role", F.lit("")).alias("role"),
-                F.coalesce("text", F.lit("")).alias("text"),
-            )
+    head = F.concat(F.lit(template.before_role), escape_role(F.col("role")), F.lit(template.after_role))
+    rows = conversations.select(
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    ).withColumns({"head": head, "said": escape(F.col("text")), "tail": F.lit(template.after_text)})
+    size = sum((F.length(c) for c in ("head", "said", "tail")), F.lit(0))
+    # where each turn begins: a running sum, in the same order and over the same partitions as the fold below
+    earlier = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("at", F.coalesce(F.sum(size).over(earlier), F.lit(0)).cast("int"))
+    # nulls first, then by value; equal turns by their place
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text", "at", "head", "said", "tail")))
+    folded = rows.groupBy("conv_id").agg(turns.alias("turns"))
+    spans = F.transform(
+        F.filter("turns", lambda t: t["role"].isin(*template.loss_roles)),
+        lambda t: F.struct(
+            (t["at"] + F.length(t["head"])).alias("start"), (t["at"] + F.length(t["head"]) + F.length(t["said"])).alias("end")
         ),
-        # nulls first, then by value; array_sort's own order puts null fields of a struct first
     )
-    folded = conversations.groupBy("conv_id").agg(turns.alias("turns"))
-    segments = F.flatten(
-        F.transform(
-            "turns",
-            lambda t: F.array(
-                F.struct(
-                    F.concat(F.lit(template.before_role), escape_role(t["role"]), F.lit(template.after_role)).alias("text"),
-                    F.lit(False).alias("loss"),
-                ),
-                F.struct(escape(t["text"]).alias("text"), t["role"].isin(*template.loss_roles).alias("loss")),
-                F.struct(F.lit(template.after_text).alias("text"), F.lit(False).alias("loss")),
-            ),
-        )
-    )
-    spans = F.aggregate(
-        "segments",
-        F.struct(
-            F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans")
-        ),
-        lambda acc, s: F.struct(
-            (acc["at"] + F.length(s["text"])).alias("at"),
-            F.when(
-                s["loss"],
-                F.concat(
-                    acc["spans"],
-                    F.array(F.struct(acc["at"].alias("start"), (acc["at"] + F.length(s["text"])).alias("end"))),
-                ),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ),
-    )["spans"]
-    walked = folded.select("conv_id", segments.alias("segments"), _walk(F.col("turns"), template).alias("walk"))
+    written = F.transform("turns", lambda t: F.concat(t["head"], t["said"], t["tail"]))
+    walked = folded.select("conv_id", "turns", _walk(F.col("turns"), template).alias("walk"))
     return walked.select(
         "conv_id",
-        F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
+        F.array_join(written, "").alias("formatted"),
         spans.alias("loss_spans"),
         (F.col("walk.bad").isNull() & F.col("walk.state").isin(*template.accepting)).alias("valid"),
         F.col("walk.bad").alias("first_bad_turn"),
@@ -191,6 +167,8 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"),
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+        F.col("first_bad_turn").cast("long").alias("first_bad_turn"),
     )
 
 
@@ -202,11 +180,18 @@ WITH c AS (
 ), e AS (
   SELECT *, length(text) + (length(text) - length(replace(text, '\', '')))
     + (length(text) - length(replace(text, '<|', ''))) // 2 AS el FROM c
+), f AS (
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length('<|im_start|>') + length(role) + 1 + el + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars,
+    string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END, ''
+      ORDER BY turn NULLS FIRST, role, text) AS roles
+  FROM e GROUP BY conv_id
 )
-SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
-  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(length('<|im_start|>') + length(role) + 1 + el + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
-FROM e GROUP BY conv_id
+SELECT * EXCLUDE (roles), regexp_full_match(roles, 's?(ua)+') AS valid,
+  CASE WHEN regexp_full_match(roles, 's?(ua)*u?') THEN NULL
+    ELSE CAST(length(regexp_extract(roles, '^s?(ua)*u?')) AS BIGINT) END AS first_bad_turn
+FROM f
 """
