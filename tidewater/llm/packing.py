@@ -3,8 +3,8 @@
 A configuration (a multiset of lengths that fits one sequence) is priced by
 knapsack dynamic programming; the configuration linear program over the
 length histogram is solved by multiplicative weights; its rounding gives
-pattern classes (lengths, how many sequences look like this), whose gaps and
-leftovers are filled best-fit on the histogram.  All of that works on at most
+pattern classes (lengths, how many sequences look like this) without padding,
+and what is left is packed best-fit on the histogram.  All of that works on at most
 ``capacity`` distinct lengths, whatever the number of pieces.  The pieces
 themselves are tokenised, ranked within their length and placed by Spark.
 
@@ -32,8 +32,10 @@ END_ID = 0
 #: Length classes and iterations of the linear program.
 CLASSES = 160
 ROUNDS = 300
-#: Share of the solution that is rounded to patterns; the rest, of all lengths, fills their gaps best-fit.
-BOUGHT = 0.6
+#: Shares of the solution that are tried as patterns; the rest, of all lengths, is packed best-fit.
+SHARES = (1.0, 0.6, 0.3, 0.1, 0.0)
+#: Pieces under 1 / SHORT_SHARE of a sequence are kept for the gaps.
+SHORT_SHARE = 16
 #: Texts tokenised at a time.
 STEP = 256
 #: Bits for a rank within its length, beside the length in one 64-bit key.
@@ -105,15 +107,17 @@ def solve_configurations(
         covered += copies * amount / demand
         slot = bought.setdefault(copies.tobytes(), [copies, 0.0])
         slot[1] += amount
-    least = max(covered.min(), 1e-9) if len(covered) else 1.0
-    scale = 1.0 / max(least, np.median(covered) if len(covered) else 1.0, 1e-9)
-    return [(c, x * scale) for c, x in bought.values()]
+    # scaled so that every demand is met: the solution is feasible
+    return [(c, x / max(covered.min(), 1e-9)) for c, x in bought.values()] if len(covered) else []
 
 
 def plan_sequences(lengths: list[int], counts: list[int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
     """Pattern classes (lengths in order, number of sequences) that place every piece.
 
-    The number of classes is bounded by the distinct lengths, not by the counts.
+    The LP solution is rounded for each share of ``SHARES``, and the plan with
+    the fewest sequences is taken, of equals that with the most pieces in
+    patterns.  The number of classes is bounded by the distinct lengths, not by
+    the counts.
     """
     order = np.argsort(lengths)
     sizes = np.asarray(lengths, dtype=np.int64)[order]
@@ -123,18 +127,33 @@ def plan_sequences(lengths: list[int], counts: list[int], capacity: int = CAPACI
     sizes, left = sizes[keep], left[keep]
     if not len(sizes):
         return done
-    group = _classes(sizes, left, CLASSES)
-    n_groups = int(group.max()) + 1
-    tops = np.array([sizes[group == g].max() for g in range(n_groups)])
-    demand = np.bincount(group, weights=left, minlength=n_groups)
-    chosen = solve_configurations(tops, demand, capacity)
+    # short pieces stay for the gaps: no pattern uses them up
+    able = sizes >= capacity // SHORT_SHARE
+    chosen: list[tuple[np.ndarray, float]] = []
+    group, tops = np.full(len(sizes), -1), np.zeros(0, dtype=np.int64)
+    if able.any():
+        group[able] = _classes(sizes[able], left[able], CLASSES)
+        n_groups = int(group.max()) + 1
+        tops = np.array([sizes[group == g].max() for g in range(n_groups)])
+        chosen = solve_configurations(tops, np.bincount(group[able], weights=left[able], minlength=n_groups), capacity)
     # fullest configurations first; each is realised by exact lengths of its classes, longest first
     chosen.sort(key=lambda cx: (int(capacity - (cx[0] * tops).sum()), -cx[1]))
-    members = [np.flatnonzero(group == g)[::-1].tolist() for g in range(n_groups)]
+    plans = []
+    for share in SHARES:
+        rest = left.copy()
+        open_bins = _realised([(c, int(x * share)) for c, x in chosen], sizes, rest, group, capacity)
+        plans.append(_best_fit(open_bins, sizes, rest, capacity))
+    return done + min(plans, key=lambda plan: sum(many for _, many in plan))
+
+
+def _realised(
+    wanted_of: list[tuple[np.ndarray, int]], sizes: np.ndarray, left: np.ndarray, group: np.ndarray, capacity: int
+) -> list[tuple[int, list[int], int]]:
+    """(0, lengths, how many) of the full sequences that the rounded configurations give; takes their pieces out of ``left``."""
+    members = [np.flatnonzero(group == g)[::-1].tolist() for g in range(int(group.max()) + 1)]
     place = {int(v): i for i, v in enumerate(sizes)}
-    open_bins: list[tuple[int, list[int], int]] = []  # (free, lengths, how many)
-    for copies, amount in chosen:
-        todo = int(amount * BOUGHT)
+    bins: list[tuple[int, list[int], int]] = []
+    for copies, todo in wanted_of:
         while todo > 0:
             slots: list[int] = []
             need: dict[int, int] = {}
@@ -149,7 +168,7 @@ def plan_sequences(lengths: list[int], counts: list[int], capacity: int = CAPACI
                 if k == len(head) - 1:  # with the piece after it, fill the sequence exactly if some pair does
                     for i in able:
                         j = place.get(free - int(sizes[i]), -1)
-                        if free == sizes[i] or (j >= 0 and left[j] > need.get(j, 0) + (i == j)):
+                        if free == sizes[i] or (j >= 0 and group[j] >= 0 and left[j] > need.get(j, 0) + (i == j)):
                             pick = i
                             break
                 need[pick] = need.get(pick, 0) + 1
@@ -159,7 +178,7 @@ def plan_sequences(lengths: list[int], counts: list[int], capacity: int = CAPACI
                 break  # a class ran out: the rest is left to best fit
             while True:  # the last slot takes the longest piece that fits, and so on while one does
                 i = int(np.searchsorted(sizes, free, side="right")) - 1
-                while i >= 0 and left[i] <= need.get(i, 0):
+                while i >= 0 and (left[i] <= need.get(i, 0) or group[i] < 0):
                     i -= 1
                 if i < 0:
                     break
@@ -167,15 +186,14 @@ def plan_sequences(lengths: list[int], counts: list[int], capacity: int = CAPACI
                 slots.append(i)
                 free -= int(sizes[i])
             many = min(todo, min(int(left[i]) // k for i, k in need.items()))
-            if many == 0:
-                break
+            if many == 0 or free > 0:
+                break  # only sequences without padding
             for i, k in need.items():
                 left[i] -= many * k
-            used = [int(sizes[i]) for i in slots]
-            open_bins.append((capacity - sum(used), used, many))
+            bins.append((0, [int(sizes[i]) for i in slots], many))
             todo -= many
             members = [[i for i in m if left[i] > 0] for m in members]
-    return done + _best_fit(open_bins, sizes, left, capacity)
+    return bins
 
 
 def _best_fit(bins, sizes, left, capacity) -> list[tuple[list[int], int]]:
