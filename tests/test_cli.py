@@ -22,3 +22,13 @@ def test_report_prints_rows():
     out = run("report", "channel_revenue", "--tables", "/root/testdata/sf0.001", "--limit", "3")
     assert out.returncode == 0, out.stderr[-2000:]
     assert "channel_group" in out.stdout and "unattributed" in out.stdout
+
+
+def test_layout_and_dated_report(tmp_path):
+    root = str(tmp_path / "raw")
+    out = run("layout", "--tables", "/root/testdata/sf0.001", "--out", root, "--buckets", "4")
+    assert out.returncode == 0, out.stderr[-2000:]
+    out = run("report", "revenue_daily", "--layout", root, "--from", "1997-02-10", "--to", "1997-02-20")
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "1997-02-1" in out.stdout and "1997-02-20" not in out.stdout and "1997-03" not in out.stdout
+    assert run("report", "revenue_daily", "--layout", root, "--from", "1997-02-10").returncode == 2

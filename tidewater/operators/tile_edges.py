@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DIGIT = 16
-SMALL = 10_000
+SMALL = 100_000
 LEAST = -(1 << 63)
 
 

@@ -30,7 +30,7 @@ class RunParams:
     # buckets of about asof_target_rows rows.
     asof_bucket_seconds: int | None = None
     asof_target_rows: int = 1_000_000
-    # Range partitions of the exact ntile; None -> spark.sql.shuffle.partitions.
+    # Range partitions for operators.ntile.exact_ntile (the models' tiles need none); None -> spark.sql.shuffle.partitions.
     rank_partitions: int | None = None
     # Retention windows of the cohort model, in days.
     retention_days: tuple[int, ...] = field(default=(30, 60, 90, 180, 365))
