@@ -121,12 +121,8 @@ PAID_CHANNELS = ["paid_social", "paid_search"]
 
 
 def channel_category(ch: F.Column) -> F.Column:
-    expr = None
-    for category in ["Paid", "Organic", "Owned", "Direct", "Earned"]:
-        members = [c for c, cat in CHANNEL_CATEGORIES.items() if cat == category]
-        cond = ch.isin(members)
-        expr = F.when(cond, F.lit(category)) if expr is None else expr.when(cond, F.lit(category))
-    return expr.otherwise(F.lit("Other"))
+    categories = F.create_map(*[F.lit(x) for pair in CHANNEL_CATEGORIES.items() for x in pair])
+    return F.coalesce(categories[ch], F.lit("Other"))
 
 
 def dim_channels(stg_events: DataFrame) -> DataFrame:
