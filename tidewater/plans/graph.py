@@ -147,18 +147,26 @@ class ModelGraph:
         return mt.customer_profile(self.stg_customers, self.int_orders_enriched)
 
     @cached_property
-    def fct_orders(self) -> DataFrame:
-        return mt.fct_orders(
+    def order_lines(self) -> DataFrame:
+        return mt.order_lines(
             self.stg_order_items, self.int_orders_enriched, self.int_orders_attributed,
             self.dim_date, self.customer_key_lookup(), self.dim_products, self.dim_channels,
         )
 
     @cached_property
-    def fct_customer_events(self) -> DataFrame:
-        return mt.fct_customer_events(
+    def fct_orders(self) -> DataFrame:
+        return mt.order_keys(self.order_lines)
+
+    @cached_property
+    def event_rows(self) -> DataFrame:
+        return mt.event_rows(
             self.stg_events, self.customer_key_lookup(), self.dim_date, self.dim_channels
         )
 
+    @cached_property
+    def fct_customer_events(self) -> DataFrame:
+        return mt.event_keys(self.event_rows)
+
     # -- reports -----------------------------------------------------------
     @cached_property
     def sales_rollup(self) -> ru.SalesRollup:
@@ -397,9 +405,17 @@ class ModelGraph:
         part = self.PARTITION_BY.get(name)
         if part and partition_facts:
             ts = "order_at" if name == "fct_orders" else "event_at"
-            df, split = df.withColumn(part, F.date_format(ts, "yyyy-MM")).repartitionByRange(F.col(ts)), [part]
+            df, split = self._by_time(name, ts).withColumn(part, F.date_format(ts, "yyyy-MM")), [part]
         # after the exchange, so that the counts are taken in the stage that writes
         df, counts = observe_checks(df, [c for c in ck.DECLARED if c.model == name])
-        df.write.mode("errorifexists").partitionBy(*split).parquet(path)
+        # keys are hex digests, which only an entropy coder makes smaller
+        df.write.mode("errorifexists").partitionBy(*split).option("compression", "zstd").parquet(path)
         self.observed |= counts()
         return path
+
+    def _by_time(self, name: str, ts: str) -> DataFrame:
+        """A fact range-partitioned on its timestamp; its keys are made after the exchange."""
+        if name in self.stored:
+            return self.model(name).repartitionByRange(F.col(ts))
+        rows, keys = ("order_lines", mt.order_keys) if name == "fct_orders" else ("event_rows", mt.event_keys)
+        return keys(self.model(rows).repartitionByRange(F.col(ts)))

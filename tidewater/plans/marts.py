@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.dates import dow_sunday0, ntz, padded_day_name, padded_month_name
 from tidewater.functions.keys import constant_key, surrogate_key
 from tidewater.functions.numeric import money_avg, money_sum, round_half_up
+from tidewater.operators.members import with_members
 
 OPEN_END = dt.datetime(9999, 12, 31)
 
@@ -136,14 +137,12 @@ def dim_channels(stg_events: DataFrame) -> DataFrame:
     )
 
 
-def _current_customer_keys(dim_customers_df: DataFrame) -> DataFrame:
+def _current_customers(dim_customers_df: DataFrame) -> DataFrame:
     # `and dc.is_current` in the ON clause: filter the dimension, keep the fact row.
-    return dim_customers_df.where(F.col("is_current")).select(
-        F.col("customer_id").alias("_dc_customer_id"), "customer_key"
-    )
+    return dim_customers_df.where(F.col("is_current")).select("customer_id")
 
 
-def fct_orders(
+def order_lines(
     stg_order_items: DataFrame,
     orders_enriched_df: DataFrame,
     orders_attributed_df: DataFrame,
@@ -152,61 +151,89 @@ def fct_orders(
     dim_products_df: DataFrame,
     dim_channels_df: DataFrame,
 ) -> DataFrame:
-    """Line-item grain fact.
-
-    Order-level lookups (attribution, customer, date, channel) are joined at
-    order grain before the order meets its lines, so the customer shuffle
-    moves orders, not lines.  The result is the same because every lookup is
-    keyed by order columns.  Small dimensions become broadcasts through AQE's
-    runtime size check; large ones stay sort-merge joins with skew splitting.
+    """The rows of ``fct_orders`` with the ids that its keys are made of.
+
+    A dimension's key is the hash of its id, so a lookup only says whether the
+    id is there; no key goes through an exchange, and ``order_keys`` makes them
+    where the lines end up.  Customers and products, which grow with the shop,
+    are looked up by ``with_members``, so that neither orders nor lines are
+    exchanged for it: lines stay where their numbering or the order join puts
+    them.  Order-level lookups are joined at order grain, before the order
+    meets its lines; days and channels become broadcasts through AQE's runtime
+    size check.
     """
     o = orders_enriched_df.select(
         "order_id", "customer_id", "order_at", "order_status", "discount_pct", "shipping_cost",
         "payment_method", "payment_status",
     )
     a = orders_attributed_df.select(F.col("order_id").alias("_a_order_id"), "attributed_channel", "channel_group")
-    dd = dim_date_df.select(F.col("date_day").alias("_date_day"), "date_key")
-    dch = dim_channels_df.select(F.col("channel").alias("_channel"), "channel_key")
-    dc = _current_customer_keys(dim_customers_df)
+    dd = dim_date_df.select(F.col("date_day").alias("_date_day"), F.lit(True).alias("_has_date"))
+    dch = dim_channels_df.select(F.col("channel").alias("_channel"), F.lit(True).alias("_has_channel"))
+    found = with_members(o.join(a, o["order_id"] == a["_a_order_id"], "left"), "customer_id",
+                         _current_customers(dim_customers_df), "_has_customer")
     order_level = (
-        o.join(a, o["order_id"] == a["_a_order_id"], "left")
-        .join(dc, o["customer_id"] == dc["_dc_customer_id"], "left")
-        .join(dd, F.to_date(o["order_at"]) == dd["_date_day"], "left")
+        found.join(dd, F.to_date(found["order_at"]) == dd["_date_day"], "left")
         .join(dch, F.col("attributed_channel") == dch["_channel"], "left")
         .select(
-            "order_id", "customer_key", "date_key", "channel_key", "order_at", "order_status",
+            "order_id", "customer_id", "_has_customer", "_has_date", "_has_channel", "order_at", "order_status",
             "attributed_channel", "channel_group", "discount_pct", "shipping_cost", "payment_method", "payment_status",
         )
     )
     items = stg_order_items.select("order_item_id", "order_id", "product_id", "quantity", "unit_price", "total_price")
-    dp = dim_products_df.select(F.col("product_id").alias("_product_id"), "product_key")
-    lines = items.join(order_level, "order_id", "inner").join(dp, F.col("product_id") == dp["_product_id"], "left")
+    lines = with_members(items, "product_id", dim_products_df.select("product_id"), "_has_product")
+    return lines.join(order_level, "order_id", "inner")
+
+
+def order_keys(lines: DataFrame) -> DataFrame:
+    """``fct_orders`` from ``order_lines``: a row-local projection, so it holds in any order of the rows."""
     return lines.select(
         surrogate_key("order_item_id").alias("order_line_key"),
-        "order_item_id", "order_id", "customer_key", "product_key", "date_key",
-        F.coalesce(F.col("channel_key"), constant_key("unattributed")).alias("channel_key"),
+        "order_item_id", "order_id",
+        F.when(F.col("_has_customer"), surrogate_key("customer_id")).alias("customer_key"),
+        F.when(F.col("_has_product"), surrogate_key("product_id")).alias("product_key"),
+        F.when(F.col("_has_date"), surrogate_key(F.to_date("order_at"))).alias("date_key"),
+        F.when(F.col("_has_channel"), surrogate_key("attributed_channel"))
+        .otherwise(constant_key("unattributed")).alias("channel_key"),
         "order_at", "order_status", "attributed_channel", "channel_group", "quantity", "unit_price",
         F.col("total_price").alias("revenue"),
         "discount_pct", "shipping_cost", "payment_method", "payment_status",
     )
 
 
-def fct_customer_events(
+def fct_orders(*models: DataFrame) -> DataFrame:
+    """Line-item grain fact, from the models that ``order_lines`` takes."""
+    return order_keys(order_lines(*models))
+
+
+def event_rows(
     stg_events: DataFrame, dim_customers_df: DataFrame, dim_date_df: DataFrame, dim_channels_df: DataFrame
 ) -> DataFrame:
-    """Event grain fact with customer, date and channel keys."""
-    dc = _current_customer_keys(dim_customers_df)
-    dd = dim_date_df.select(F.col("date_day").alias("_date_day"), "date_key")
-    dch = dim_channels_df.select(F.col("channel").alias("_channel"), "channel_key")
-    e = stg_events
-    j = (
-        e.join(dc, e["customer_id"] == dc["_dc_customer_id"], "left")
-        .join(dd, F.to_date(e["event_at"]) == dd["_date_day"], "left")
+    """The rows of ``fct_customer_events`` with the ids that its keys are made of."""
+    dd = dim_date_df.select(F.col("date_day").alias("_date_day"), F.lit(True).alias("_has_date"))
+    dch = dim_channels_df.select(F.col("channel").alias("_channel"), F.lit(True).alias("_has_channel"))
+    e = with_members(stg_events, "customer_id", _current_customers(dim_customers_df), "_has_customer")
+    return (
+        e.join(dd, F.to_date(e["event_at"]) == dd["_date_day"], "left")
         .join(dch, e["channel"] == dch["_channel"], "left")
+        .select(
+            "event_id", "customer_id", "_has_customer", "_has_date", "_has_channel",
+            "event_type", "channel", "event_at", "page_url", "session_id",
+        )
     )
-    return j.select(
+
+
+def event_keys(events: DataFrame) -> DataFrame:
+    """``fct_customer_events`` from ``event_rows``, row by row."""
+    return events.select(
         surrogate_key("event_id").alias("event_key"),
-        "event_id", "customer_key", "date_key",
-        F.coalesce(F.col("channel_key"), constant_key("unknown")).alias("channel_key"),
+        "event_id",
+        F.when(F.col("_has_customer"), surrogate_key("customer_id")).alias("customer_key"),
+        F.when(F.col("_has_date"), surrogate_key(F.to_date("event_at"))).alias("date_key"),
+        F.when(F.col("_has_channel"), surrogate_key("channel")).otherwise(constant_key("unknown")).alias("channel_key"),
         "event_type", "channel", "event_at", "page_url", "session_id",
     )
+
+
+def fct_customer_events(*models: DataFrame) -> DataFrame:
+    """Event grain fact with customer, date and channel keys, from the models that ``event_rows`` takes."""
+    return event_keys(event_rows(*models))

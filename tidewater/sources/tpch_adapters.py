@@ -97,15 +97,18 @@ def raw_order_items(lineitem: DataFrame) -> DataFrame:
     # One window per order; an order's lines do not grow with the table.
     # LINES_PER_ORDER is far above any order, and beyond it the build fails
     # rather than hand out the next order's ids.
+    # The lines are numbered before any column gets its new name, so the exchange
+    # moves each column once and its partitioning holds for order_id as well.
     w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
     qty = F.col("l_quantity").cast("long")
     unit = round2_double(F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount")) / F.col("l_quantity"))
     return (
         lineitem.select(*(["l_orderkey"] + LINE_ORDER))
+        .withColumn("_line", F.row_number().over(w))
         .select(
             (
                 F.col("l_orderkey") * LINES_PER_ORDER
-                + F.when(F.row_number().over(w) < LINES_PER_ORDER, F.row_number().over(w)).otherwise(
+                + F.when(F.col("_line") < LINES_PER_ORDER, F.col("_line")).otherwise(
                     F.raise_error(F.lit("an order has too many lines for its item ids")).cast("int")
                 )
             ).alias("order_item_id"),
