@@ -101,6 +101,26 @@ def _rows(counted: DataFrame, group: list[Check]) -> DataFrame:
     )
 
 
+def _compact(text: Column) -> Column:
+    """A text as bytes for grouping and joins, with md5 digests at half their length.
+
+    The last byte tells the two forms apart, so different texts stay different.
+    """
+    return F.when(text.rlike(r"^[0-9a-f]{32}\z"), F.concat(F.unhex(text), F.lit(bytearray(b"\x01")))).otherwise(
+        F.concat(text.cast("binary"), F.lit(bytearray(b"\x00")))
+    )
+
+
+def _orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """One row with the number of ``relationships_failures``: each task's rows are summed up by key before they move."""
+    key, parent_key = F.col(column), F.col(parent_column)
+    if all(isinstance(d.schema[c].dataType, T.StringType) for d, c in ((child, column), (parent, parent_column))):
+        key, parent_key = _compact(key), _compact(parent_key)
+    keys = child.where(F.col(column).isNotNull()).groupBy(key.alias(column)).agg(F.count(F.lit(1)).alias("_n"))
+    failing = relationships_failures(keys, column, parent.select(parent_key.alias(parent_column)), parent_column)
+    return failing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
+
+
 # Key types whose text form is exact, so several unique checks can share one
 # aggregate over (check, value as text).
 _TEXT_EXACT = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DateType)
@@ -109,7 +129,7 @@ _TEXT_EXACT = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType,
 def _unique_counts(df: DataFrame, group: list[Check]) -> DataFrame:
     """Unique checks of one model in one scan and one aggregate."""
     pairs = df.select(
-        F.inline(F.array(*[F.struct(F.lit(j).alias("j"), F.col(c.column).cast("string").alias("v"))
+        F.inline(F.array(*[F.struct(F.lit(j).alias("j"), _compact(F.col(c.column).cast("string")).alias("v"))
                            for j, c in enumerate(group)]))
     )
     dups = pairs.where(F.col("v").isNotNull()).groupBy("j", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -188,12 +208,9 @@ def run_checks(
                 parts.append(_result(c, unique_failures(df, c.column).agg(F.count(F.lit(1)).alias("failures"))))
     for c in checks:
         if c.kind == "relationships":
-            failing = relationships_failures(model(c.model), c.column, model(c.to_model), c.to_column)
+            parts.append(_result(c, _orphans(model(c.model), c.column, model(c.to_model), c.to_column)))
         elif c.kind == "singular":
-            failing = singular[c.test_name]()
-        else:
-            continue
-        parts.append(_result(c, failing.agg(F.count(F.lit(1)).alias("failures"))))
+            parts.append(_result(c, singular[c.test_name]().agg(F.count(F.lit(1)).alias("failures"))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
