@@ -16,7 +16,7 @@ ASKED = [0, 1, 63, 64, 65, -1, -64, -65, 127, 128, 1 << 40, -(1 << 63), (1 << 63
 @pytest.fixture
 def no_broadcast(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")  # as with large tables
     yield
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
