@@ -6,6 +6,7 @@ import zlib
 import corpus_pipeline
 import numpy as np
 import pyarrow as pa
+import pytest
 from test_text_operators import WORDS, brute_repeats, documents, rng_text
 
 from tidewater.llm import fingerprint, langid, substring_dedup, toxicity
@@ -87,6 +88,51 @@ def test_units_of_a_frequent_anchor_do_not_meet_in_one_group(spark, monkeypatch)
         assert repeated_rows(substring_dedup.repeated_spans(documents(spark, rows)).collect()) == brute_repeats(rows)
 
 
+def test_a_unit_costs_few_bytes_however_many_buckets_there_are(spark):
+    rng = random.Random(3)
+    docs = documents(spark, [(i, rng_text(rng, 300)) for i in range(400)]).select("doc_id", "text").coalesce(1)
+    again = spark.sparkContext.broadcast(substring_dedup.repeated_ids(docs))
+    assert len(again.value) == 0
+
+    def size(buckets):
+        cut = docs.mapInArrow(lambda b: substring_dedup._cut_units(b, buckets, again=again), substring_dedup.UNIT_ROWS)
+        return sum(len(zlib.compress(b"".join(r[2:]), 1)) for r in cut.collect())
+
+    assert size(500) < 1.35 * size(10)
+
+
+def test_an_anchor_is_one_symbol_of_a_suffix_array(monkeypatch):
+    lengths, build = [], substring_dedup.suffix_array
+    monkeypatch.setattr(substring_dedup, "suffix_array", lambda x: lengths.append(len(x)) or build(x))
+    rng = random.Random(4)
+    line = rng_text(rng, 30).encode()
+    strings, owners = [], []
+    for i in range(40):
+        raw = rng_text(rng, 5).encode() + line[i % 7 :] + rng_text(rng, 5).encode()
+        first, windows, *_ = substring_dedup.units_of(np.frombuffer(raw, dtype=np.uint8))
+        strings += [raw[f : f + w + 49] for f, w in zip(first.tolist(), windows.tolist())]
+        owners += [i] * len(first)
+    masks = substring_dedup.repeated_windows(strings, np.array(owners))
+    assert lengths == [sum(len(s) - 23 + 1 for s in strings) + 1]
+    least = {}
+    for s, i in zip(strings, owners):
+        for k in range(len(s) - 49):
+            least.setdefault(s[k : k + 50], i)
+    for s, i, mask in zip(strings, owners, masks):
+        assert mask.tolist() == [least[s[k : k + 50]] < i for k in range(len(s) - 49)]
+
+
+@pytest.mark.parametrize("most", [0, 2, 1000])
+def test_rows_of_one_id_are_told_apart(spark, monkeypatch, most):
+    monkeypatch.setattr(substring_dedup, "MOST_REPEATED", most)
+    rng = random.Random(5)
+    line = rng_text(rng, 20)
+    rows = [(i // 2 if i < 20 else i, f"{rng_text(rng, 10)} {line} {rng_text(rng, 10)}") for i in range(40)]
+    rows += [(None, line * 2), (None, rng_text(rng, 30)), (2**63 - 1, line), (-5, line), (30, None)]
+    got = substring_dedup.repeated_spans(documents(spark, rows)).collect()
+    assert repeated_rows(got) == brute_repeats(rows)
+
+
 # ---- 9 ----
 
 
