@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from test_text_operators import WORDS, brute_repeats, documents, rng_text
 
-from tidewater.llm import fingerprint, langid, substring_dedup, toxicity
+from tidewater.llm import fingerprint, jaccard, langid, shingles, substring_dedup, toxicity
 from tidewater.llm.tokens import PieceTokenizer, public_file
 
 
@@ -18,6 +18,34 @@ def repeated_rows(rows):
     return got
 
 
+# ---- 1 ----
+
+
+def test_tokens_are_counted_exactly(spark):
+    rng = random.Random(6)
+    texts = [rng_text(rng, rng.randint(1, 60)) + " one two three four" * (i % 3 == 0) for i in range(120)]
+    sets = [shingles.shingle_set(t) for t in texts]
+    docs = documents(spark, list(enumerate(texts)) + [(500, texts[0]), (501, None), (None, texts[1])]).repartition(3)
+    survey = docs.select("doc_id", "text").mapInArrow(lambda b: jaccard._survey(b, 3, 5, 9), jaccard.SURVEY).cache()
+    counted = {}
+    for row in jaccard.token_counts(survey).collect():
+        counted[row.part, row.bucket] = row.often
+    tokens, want = {}, {}
+    for row in survey.where("body is not null").collect():
+        tokens.setdefault(row.part, {})[row.set_hash] = sets[row.doc_id if row.doc_id < 500 else 0]
+    for part in tokens.values():
+        for x in part.values():
+            for t in jaccard._keys(x).tolist():
+                want[t] = want.get(t, 0) + 1
+    assert max(want.values()) > 20 and len(counted) > 5
+    for part, some in tokens.items():
+        keys = np.unique(jaccard._keys(np.concatenate([*some.values()]))).tolist()
+        often = b"".join(counted[k] for k in sorted(counted) if k[0] == part)
+        assert list(often) == [want[t] for t in keys]
+    levels = jaccard._levels(np.arange(1, 1 << 22))
+    assert (np.diff(levels.astype(int)) >= 0).all() and levels[199] == 200 and levels[-1] == 255
+
+
 # ---- 3 ----
 
 

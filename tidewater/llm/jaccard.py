@@ -17,8 +17,11 @@ against the others, links are closed to components, and only pairs of
 different components are compared further.  No pair is left out that could
 join two components, no cap is set, and no group meets in one task.
 
-Frequencies come from a count sketch of fixed size over all documents; being
-only an order, its collisions cost time, never a link.
+Frequencies are counted exactly, by Spark: documents are read in parts, a part
+sends its distinct tokens (KEY_BITS of each) once to the buckets that count
+them, and each bucket answers with the counts in the order of the part's
+tokens.  Nothing of that is held by the driver or by all tasks.  Being only an
+order, tokens that agree in their KEY_BITS cost time, never a link.
 
 Defined cases: a document without words or text has an empty set and links
 with nothing; rows of the same doc_id are one document, linked by each of
@@ -39,13 +42,16 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import stored, table
+from tidewater.llm.common import pieces, stored, table
 from tidewater.llm.components import components
 from tidewater.llm.shingles import mix64, shingle_set
+from tidewater.llm.substring_dedup import _numbers, _planes, _rows
 
-#: Counters of the frequency sketch, and the parts it is merged in.
-COUNTERS, PARTS = 1 << 22, 64
-#: Tokens seen this much more often than a counter's noise are of class 2, or 3.
+#: Text bytes of a part, and those whose tokens one bucket counts; bits of a token by which it is counted.
+PART_BYTES, BUCKET_BYTES, KEY_BITS = 4 << 20, 8 << 20, 40
+#: Counters of ``prefix_signatures``, where counts come by slot.
+COUNTERS = 1 << 22
+#: Tokens seen more often than this are of class 2, or 3.
 FREQUENT, VERY_FREQUENT = 8, 256
 #: Hub rounds go on while the pairs left exceed this many for each posting left.
 PAIRS_PER_POSTING = 8
@@ -77,60 +83,102 @@ class Threshold:
         )
 
 
-# ---- first pass: sizes, set hashes and the frequency sketch ----
+# ---- first pass: sizes, set hashes and each part's tokens ----
 
+SURVEY = "part long, doc_id long, n long, set_hash binary, body binary, bucket int, tokens binary, counts binary"
+SURVEY_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
 
-def _slot(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(64 - 22)).astype(np.int64)
+
+def _keys(tokens: np.ndarray) -> np.ndarray:
+    return tokens >> np.uint64(64 - KEY_BITS)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    names = [c.split(" ")[0] for c in SURVEY.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), SURVEY_TYPES)], names=names)
 
 
-def _survey(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def _survey(batches: Iterator[pa.RecordBatch], size: int, buckets: int, least: int) -> Iterator[pa.RecordBatch]:
+    """A row for each document, with its text if it is to be indexed, and rows of each part's tokens by bucket."""
     import xxhash
+    from pyspark import TaskContext
+
+    pack = zstandard.ZstdCompressor(level=1)
+    part, n_bytes = TaskContext.get().partitionId() << 32, 0
+    rows: list[tuple] = []
+    sets: dict[bytes, np.ndarray] = {}
+
+    def tokens() -> Iterator[tuple]:
+        if sets:
+            keys, counts = np.unique(_keys(np.concatenate([*sets.values()])), return_counts=True)
+            bucket = _bucket(keys, buckets)
+            cut = np.flatnonzero(np.diff(bucket)) + 1
+            for at, k, c in zip(bucket[np.r_[0, cut]].tolist(), np.split(keys, cut), np.split(counts, cut)):
+                yield (part, None, None, None, None, at, _planes(np.diff(k, prepend=np.uint64(0)), KEY_BITS // 8), _planes(c, 4))
 
-    counts = np.zeros(COUNTERS, dtype=np.int64)
-    names = ["doc_id", "n", "set_hash", "sketch_part", "counts"]
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary())
     for batch in batches:
-        rows = []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            tokens = shingle_set(text, size)
-            np.add.at(counts, _slot(tokens), 1)
-            rows.append((doc, len(tokens), xxhash.xxh3_128_digest(tokens.tobytes()), None, None))
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=names)
-    width, pack = COUNTERS // PARTS, zstandard.ZstdCompressor(level=1)
-    small = counts.astype(np.uint32)  # a task's share; packed, as most counters of one task are 0 to 3
-    rows = [(None, None, None, i, pack.compress(small[i * width : (i + 1) * width].tobytes())) for i in range(PARTS) if counts.any()]
+        for doc, text in _rows(batch):
+            found = shingle_set(text, size)
+            name, body = xxhash.xxh3_128_digest(found.tobytes()), None
+            if len(found) >= least and doc is not None:
+                raw = text.encode()
+                sets[name], body = found, pack.compress(raw)
+                n_bytes += len(raw)
+            rows.append((part, doc, len(found), name, body, None, None, None))
+            if n_bytes >= PART_BYTES or len(rows) >= PART_BYTES // 64:
+                yield _batch(rows + [*tokens()])
+                part, n_bytes, rows, sets = part + 1, 0, [], {}
     if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=names)
+        yield _batch(rows + [*tokens()])
 
 
-def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}  # at most PARTS parts of the one sketch
-    unpack = zstandard.ZstdDecompressor()
-    for batch in batches:
-        for part, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counts = np.frombuffer(unpack.decompress(raw), dtype=np.uint32)
-            total[part] = total[part] + counts if part in total else counts.astype(np.int64)
-    if total:
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(list(total), type=pa.int32()),
-                pa.array([np.minimum(x, (1 << 31) - 1).astype(np.int32).tobytes() for x in total.values()], type=pa.binary()),
-            ],
-            names=["sketch_part", "counts"],
-        )
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets are ranges of keys, so a part's sorted keys are those of its buckets one after the other."""
+    return ((keys >> np.uint64(KEY_BITS - 24)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
+
+
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """Counts in a byte: as they are up to 200, then in steps of a quarter of an octave."""
+    above = 200 + np.minimum(55, 4 * np.log2(np.maximum(counts, 200) / 200))
+    return np.where(counts <= 200, counts, above).astype(np.uint8)
+
+
+def _count(got: pa.Table) -> pa.Table:
+    """The counts of a bucket's tokens over all parts, to each part in the order of its tokens."""
+    keys = [np.cumsum(_numbers(raw, KEY_BITS // 8)) for raw in got.column("tokens").to_pylist()]
+    each = np.concatenate([_numbers(raw, 4) for raw in got.column("counts").to_pylist()])
+    _, at = np.unique(np.concatenate(keys), return_inverse=True)
+    level = _levels(np.bincount(at, weights=each))[at]
+    often = [x.tobytes() for x in np.split(level, np.cumsum([len(k) for k in keys])[:-1])]
+    return pa.Table.from_arrays([got.column("part"), got.column("bucket"), pa.array(often, type=pa.binary())], names=["part", "bucket", "often"])
+
+
+def token_counts(survey: DataFrame) -> DataFrame:
+    """(part, bucket, often): how often the tokens of a part occur in all parts."""
+    sent = survey.where("bucket is not null").select("part", "bucket", "tokens", "counts")
+    return sent.groupBy("bucket").applyInArrow(_count, "part long, bucket int, often binary")
 
 
 # ---- second pass: signatures of each distinct set ----
 
 
+def _slot(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - 22)).astype(np.int64)
+
+
 def prefix_signatures(
     tokens: np.ndarray, counts: np.ndarray, limits: tuple[float, float], threshold: Threshold
+) -> tuple[np.ndarray, np.ndarray]:
+    """As ``signatures``, of tokens whose counts are found by their slot."""
+    return signatures(tokens, counts[_slot(tokens)], limits, threshold)
+
+
+def signatures(
+    tokens: np.ndarray, often: np.ndarray, limits: tuple[float, float], threshold: Threshold
 ) -> tuple[np.ndarray, np.ndarray]:
     """(signatures, tokens that stand before each and are not shared where it is the first shared one)."""
     n = len(tokens)
     need = threshold.mismatches(n) + 1
-    often = counts[_slot(tokens)]
     order = np.lexsort((tokens, often))
     tokens, often = tokens[order], often[order]
     rare = int(np.searchsorted(often, limits[0], side="right"))
@@ -163,22 +211,30 @@ def prefix_signatures(
     return np.concatenate(out), np.concatenate(before)
 
 
-def _signatures(batches: Iterator[pa.RecordBatch], size: int, sketch, limits, threshold: Threshold) -> Iterator[pa.RecordBatch]:
-    import xxhash
+SIGNED = "node long, set_hash binary, size int, sig array<long>, rest array<int>"
 
-    least = smallest_varied(threshold)
-    for batch in batches:
-        rows = []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            tokens = shingle_set(text, size)
-            if len(tokens) >= least and doc is not None:
-                sig, before = prefix_signatures(tokens, sketch.value, limits, threshold)
-                rows.append((doc, xxhash.xxh3_128_digest(tokens.tobytes()), len(tokens), sig, (len(tokens) - before).astype(np.int32)))
-        if rows:
-            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=["node", "set_hash", "size", "sig", "rest"]
-            )
+
+def _signatures(docs: pa.Table, counts: pa.Table, size: int, limits, threshold: Threshold) -> pa.Table:
+    """Signatures of the documents of a part, given the counts of its tokens."""
+    unpack = zstandard.ZstdDecompressor()
+    sets: dict[bytes, np.ndarray] = {}
+    for name, body in zip(docs.column("set_hash").to_pylist(), docs.column("body").to_pylist()):
+        if name not in sets:
+            sets[name] = shingle_set(unpack.decompress(body).decode(), size)
+    by_bucket = sorted(zip(counts.column("bucket").to_pylist(), counts.column("often").to_pylist()))
+    often = np.frombuffer(b"".join(x for _, x in by_bucket), dtype=np.uint8)
+    keys, at = np.unique(_keys(np.concatenate([*sets.values()])), return_inverse=True)
+    if len(keys) != len(often):
+        raise ValueError("a part's tokens and their counts differ")
+    often = np.split(often[at], np.cumsum([len(x) for x in sets.values()])[:-1])
+    found = {name: signatures(tokens, o, limits, threshold) for (name, tokens), o in zip(sets.items(), often)}
+    rows = []
+    for doc, name in zip(docs.column("doc_id").to_pylist(), docs.column("set_hash").to_pylist()):
+        (sig, before), n = found[name], len(sets[name])
+        rows.append((doc, name, n, sig, (n - before).astype(np.int32)))
+    kinds = (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+    names = [c.split(" ")[0] for c in SIGNED.split(", ")]
+    return pa.Table.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
 def smallest_varied(threshold: Threshold) -> int:
@@ -192,13 +248,6 @@ def smallest_varied(threshold: Threshold) -> int:
 # ---- verification ----
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        body = [None if t is None else pack.compress(t.encode()) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(body, type=pa.binary())], names=["node", "body"])
-
-
 def _verify(batches: Iterator[pa.RecordBatch], size: int, threshold: Threshold) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor()
     last, hub = None, None
@@ -231,35 +280,26 @@ def similarity_classes(documents: DataFrame, size: int = 3, num: int = 90, den:
     """Per document row: doc_id, n_shingles, component_id (least doc_id reachable by links of Jaccard >= num/den)."""
     spark, threshold = documents.sparkSession, Threshold(num, den)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    survey = stored(
-        docs.mapInArrow(lambda b: _survey(b, size), "doc_id long, n long, set_hash binary, sketch_part int, counts binary"), "survey"
-    )
-    parts = survey.where("sketch_part is not null").select("sketch_part", "counts")
-    merged = parts.repartition(PARTS, "sketch_part").mapInArrow(_add_up, "sketch_part int, counts binary").collect()  # one sketch
-    counts = np.zeros(COUNTERS, dtype=np.int32)
-    for r in merged:
-        width = COUNTERS // PARTS
-        counts[r["sketch_part"] * width : (r["sketch_part"] + 1) * width] = np.frombuffer(r["counts"], dtype=np.int32)
-    noise = float(np.median(counts))
-    noise += 3 * math.sqrt(noise)
-    limits = (noise + FREQUENT, noise + VERY_FREQUENT)
-    sketch = spark.sparkContext.broadcast(counts)
-
-    sets = survey.where("n > 0 and doc_id is not null").groupBy("set_hash").agg(F.min("doc_id").alias("node"))
-    signed = docs.mapInArrow(
-        lambda b: _signatures(b, size, sketch, limits, threshold),
-        "node long, set_hash binary, size int, sig array<long>, rest array<int>",
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets, least = pieces(total, BUCKET_BYTES, at_least=4), smallest_varied(threshold)
+    survey = stored(docs.mapInArrow(lambda b: _survey(b, size, buckets, least), SURVEY), "survey")
+    limits = tuple(int(x) for x in _levels(np.array([FREQUENT, VERY_FREQUENT])))
+
+    sets = survey.where("bucket is null and n > 0 and doc_id is not null").groupBy("set_hash").agg(F.min("doc_id").alias("node"))
+    indexed = survey.where("body is not null").select("part", "doc_id", "set_hash", "body")
+    signed = indexed.groupBy("part").cogroup(token_counts(survey).groupBy("part")).applyInArrow(
+        lambda d, c: _signatures(d, c, size, limits, threshold), SIGNED
     )
     # one document of each distinct set is indexed
     rows = stored(signed.join(sets, ["node", "set_hash"], "left_semi").select("node", "size", "sig", "rest"), "signatures")
     postings = rows.select("node", "size", F.inline(F.arrays_zip("sig", "rest")))
     shared = postings.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1").select("sig")
     live = stored(postings.join(shared, "sig"), "postings")
-    bodies = docs.mapInArrow(_packed, "node long, body binary").join(live.select("node").distinct(), "node", "left_semi")
-    bodies = stored(bodies.where("body is not null"), "bodies")
+    bodies = indexed.select(F.col("doc_id").alias("node"), "body").join(live.select("node").distinct(), "node", "left_semi")
+    bodies = stored(bodies, "bodies")
 
     linked = _close(live, bodies, size, threshold)
-    own = survey.where("sketch_part is null").select("doc_id", F.col("n").alias("n_shingles"), "set_hash")
+    own = survey.where("bucket is null").select("doc_id", F.col("n").alias("n_shingles"), "set_hash")
     named = (
         own.where("n_shingles > 0 and doc_id is not null")
         .join(sets, "set_hash")
