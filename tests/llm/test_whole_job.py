@@ -46,6 +46,18 @@ def test_tokens_are_counted_exactly(spark):
     assert (np.diff(levels.astype(int)) >= 0).all() and levels[199] == 200 and levels[-1] == 255
 
 
+def test_signatures_of_unshared_tokens_are_not_kept(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(9))
+    texts = [[word() for _ in range(60)] for _ in range(40)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)] + [(100, " ".join(texts[7][:-1]))]
+    kept, was = {}, jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, name: kept.setdefault(name, was(df, name)))
+    got = {r.doc_id: r.component_id for r in jaccard.similarity_classes(documents(spark, rows)).collect()}
+    assert got == {**{i: i for i in range(40)}, 100: 7}
+    assert sorted(r.node for r in kept["signatures"].collect()) == [7, 100]
+
+
 # ---- 3 ----
 
 

@@ -227,14 +227,21 @@ def _signatures(docs: pa.Table, counts: pa.Table, size: int, limits, threshold:
     if len(keys) != len(often):
         raise ValueError("a part's tokens and their counts differ")
     often = np.split(often[at], np.cumsum([len(x) for x in sets.values()])[:-1])
-    found = {name: signatures(tokens, o, limits, threshold) for (name, tokens), o in zip(sets.items(), often)}
+    found = {}
+    for (name, tokens), o in zip(sets.items(), often):
+        # the first are those of tokens that no other set has: nothing shares these signatures
+        alone = np.count_nonzero(o == 1)
+        sig, before = signatures(tokens, o, limits, threshold)
+        found[name] = sig[alone:], before[alone:]
     rows = []
     for doc, name in zip(docs.column("doc_id").to_pylist(), docs.column("set_hash").to_pylist()):
         (sig, before), n = found[name], len(sets[name])
-        rows.append((doc, name, n, sig, (n - before).astype(np.int32)))
+        if len(sig):
+            rows.append((doc, name, n, sig, (n - before).astype(np.int32)))
     kinds = (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))
     names = [c.split(" ")[0] for c in SIGNED.split(", ")]
-    return pa.Table.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=names)
+    columns = zip(*rows) if rows else [()] * len(kinds)
+    return pa.Table.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds)], names=names)
 
 
 def smallest_varied(threshold: Threshold) -> int:
