@@ -58,6 +58,30 @@ def test_signatures_of_unshared_tokens_are_not_kept(spark, monkeypatch):
     assert sorted(r.node for r in kept["signatures"].collect()) == [7, 100]
 
 
+def test_near_copies_of_one_text_are_not_all_paired(spark, monkeypatch):
+    """Sixty edits of one text that do not link, four of them with a near copy that does."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(9))
+    base = [word() for _ in range(300)]
+
+    def edited(words, n):
+        words = list(words)
+        for i in rng.sample(range(len(words)), n):
+            words[i] = word()
+        return words
+
+    texts = [edited(base, 4) for _ in range(60)]
+    texts += [edited(texts[i], 1) for i in (3, 17, 30, 59)]
+    sets = [set(shingles.shingle_set(" ".join(t)).tolist()) for t in texts]
+    links = {(i, j) for j, b in enumerate(sets) for i, a in enumerate(sets[:j]) if 10 * len(a & b) >= 9 * len(a | b)}
+    assert links == {(3, 60), (17, 61), (30, 62), (59, 63)}
+    pairs, was = [], jaccard._links
+    monkeypatch.setattr(jaccard, "_links", lambda p, *rest: pairs.append(p.count()) or was(p, *rest))
+    got = jaccard.similarity_classes(documents(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])).collect()
+    assert {r.doc_id: r.component_id for r in got} == {**{i: i for i in range(60)}, 60: 3, 61: 17, 62: 30, 63: 59}
+    assert pairs[-1] <= 4 * len(texts)
+
+
 # ---- 3 ----
 
 

@@ -14,8 +14,10 @@ own level and the next, and two sets that link have a level in common.
 Shared signatures are then verified on the whole sets.  Within a signature's
 documents the one with the fewest rare tokens is the hub: it is verified
 against the others, links are closed to components, and only pairs of
-different components are compared further.  No pair is left out that could
-join two components, no cap is set, and no group meets in one task.
+different components are compared further.  In the end documents that many
+signatures bring together, as edits of one text are, get a hub once more, and
+are paired by tokens in which both differ from it.  No pair is left out that
+could join two components, no cap is set, and no group meets in one task.
 
 Frequencies are counted exactly, by Spark: documents are read in parts, a part
 sends its distinct tokens (KEY_BITS of each) once to the buckets that count
@@ -82,6 +84,14 @@ class Threshold:
             (self.num + self.den) * F.least(rest_a, rest_b) >= self.num * (size_a + size_b)
         )
 
+    def may_differ(self, apart: Column, sizes: Column) -> Column:
+        """Sets of these sizes (their sum) link if and only if they differ by as few tokens."""
+        return (self.num + self.den) * apart <= (self.den - self.num) * sizes
+
+    def may_be_first(self, linked: Column, i: Column, n: Column, size: Column) -> Column:
+        """Of a set's n tokens that differ from a hub, the i-th may be the first that a linked set has too."""
+        return F.when(linked, (self.num + self.den) * i < self.den * n).otherwise(self.num * i <= (self.den - self.num) * size)
+
 
 # ---- first pass: sizes, set hashes and each part's tokens ----
 
@@ -269,15 +279,46 @@ def _verify(batches: Iterator[pa.RecordBatch], size: int, threshold: Threshold)
             yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in zip(*rows)], names=["u", "v"])
 
 
+DIFFERENCES = "u long, hub_set long, v long, own_set long, size int, n int, linked boolean, apart array<long>"
+DIFFERENCE_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int64()))
+#: Tokens of a batch of differences.
+BATCH_TOKENS = 1 << 20
+
+
+def _differences(batches: Iterator[pa.RecordBatch], size: int, threshold: Threshold) -> Iterator[pa.RecordBatch]:
+    """For each hub u and document v the tokens that only one of their sets has, and whether they link."""
+    import xxhash
+
+    unpack = zstandard.ZstdDecompressor()
+    name = lambda tokens: xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
+    names = [c.split(" ")[0] for c in DIFFERENCES.split(", ")]
+    make = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), DIFFERENCE_TYPES)], names=names)
+    last, hub, hub_set = None, None, 0
+    for batch in batches:
+        rows, held = [], 0
+        for u, v, one, other in zip(*(batch.column(c).to_pylist() for c in ("u", "v", "body_u", "body_v"))):
+            if last is None or last != one:
+                last, hub = one, shingle_set(unpack.decompress(one).decode(), size)
+                hub_set = name(hub)
+            own = shingle_set(unpack.decompress(other).decode(), size)
+            apart = np.setxor1d(hub, own, assume_unique=True).astype(np.int64)
+            rows.append((u, hub_set, v, name(own), len(own), len(apart), threshold.links(hub, own), apart))
+            held += len(apart)
+            if held >= BATCH_TOKENS:
+                yield make(rows)
+                rows, held = [], 0
+        if rows:
+            yield make(rows)
+
+
+def _with_bodies(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+    side = lambda c: bodies.select(F.col("node").alias(c), F.col("body").alias(f"body_{c}"))
+    return pairs.join(side("v"), "v").join(side("u"), "u").select("u", "v", "body_u", "body_v")
+
+
 def _links(pairs: DataFrame, bodies: DataFrame, size: int, threshold: Threshold) -> DataFrame:
     """The pairs (u, v) whose whole sets link."""
-    side = lambda c: bodies.select(F.col("node").alias(c), F.col("body").alias(f"body_{c}"))
-    return (
-        pairs.join(side("v"), "v")
-        .join(side("u"), "u")
-        .select("u", "v", "body_u", "body_v")
-        .mapInArrow(lambda b: _verify(b, size, threshold), "u long, v long")
-    )
+    return _with_bodies(pairs, bodies).mapInArrow(lambda b: _verify(b, size, threshold), "u long, v long")
 
 
 # ---- the join ----
@@ -370,8 +411,8 @@ def _close(live: DataFrame, bodies: DataFrame, size: int, threshold: Threshold)
         if not count["n"] or not some or count["pairs"] <= PAIRS_PER_POSTING * count["n"]:
             break
     if count["n"]:
-        pairs = _across(left, threshold)
-        found = stored(_links(pairs, bodies, size, threshold), "links")
+        linked, pairs = _across(left, bodies, size, threshold)
+        found = stored(linked.unionAll(_links(pairs, bodies, size, threshold)), "links")
         if not found.isEmpty():
             edges = found if edges is None else edges.unionAll(found)
             labels = components(edges)
@@ -380,7 +421,21 @@ def _close(live: DataFrame, bodies: DataFrame, size: int, threshold: Threshold)
     return labels
 
 
-def _across(left: DataFrame, threshold: Threshold) -> DataFrame:
+def _across(left: DataFrame, bodies: DataFrame, size: int, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
+    """Links found on the way, and distinct pairs (u, v) of different components that may still link.
+
+    Documents of a signature that few share are paired with each other; those
+    of the others are paired by what sets them apart from a common hub.
+    """
+    many = left.groupBy("sig").agg(F.count("*").alias("c")).where(F.col("c") > FREQUENT).select("sig")
+    few = _small_groups(left.join(many, "sig", "left_anti"), threshold)
+    if many.isEmpty():
+        return few.limit(0), few
+    linked, pairs = _by_hub(left.join(many, "sig", "left_semi"), bodies, size, threshold)
+    return linked, few.unionAll(pairs).distinct()
+
+
+def _small_groups(left: DataFrame, threshold: Threshold) -> DataFrame:
     """Distinct pairs (u, v) of different components with a common signature and room enough.
 
     Documents with the same label, size and signatures meet the same others, so
@@ -404,6 +459,48 @@ def _across(left: DataFrame, threshold: Threshold) -> DataFrame:
     return met.join(one, "gu").join(other, "gv").select("u", "v").distinct()
 
 
+def _by_hub(left: DataFrame, bodies: DataFrame, size: int, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
+    """As ``_across``, by each document's difference from its signatures' hub.
+
+    Sets of sizes s and t link if and only if they differ by at most
+    most(s, t) = (den - num) / (den + num) * (s + t) tokens.  Two sets differ
+    by what their differences from a hub differ by, so of differences of a and
+    b tokens a link needs (a + b - most) / 2 in common.  Where both link with
+    the hub nothing is left to find; if b's set does not, a + b - most is more
+    than 2 * a * num / (num + den), as the sizes of a's set and the hub's are
+    within a tokens: a token in common is certain.  Tokens are ordered by how
+    many differences from the hub have them, and the first one in common must
+    leave enough behind it on either side.
+    """
+    often = left.groupBy("node").agg(F.count("*").alias("w"))
+    hubs = left.join(often, "node").groupBy("sig").agg(F.max(F.struct("w", (-F.col("node")).alias("m"))).alias("hub"))
+    hubs = hubs.select("sig", (-F.col("hub.m")).alias("u"))
+    met = left.join(hubs, "sig").where("node <> u").select("u", F.col("node").alias("v")).distinct()
+    far = _with_bodies(met, bodies).mapInArrow(lambda b: _differences(b, size, threshold), DIFFERENCES)
+    far = stored(far, "differences")
+
+    hub, own = ["u", "hub_set"], ["v", "own_set", "size", "n", "linked"]
+    each = far.select(*hub, *own, F.explode("apart").alias("token"))
+    shared = each.groupBy(*hub, "token").agg(F.count("*").alias("c")).where("c > 1")
+    order = each.join(shared, [*hub, "token"]).groupBy(*hub, *own).agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("t"))
+    order = order.join(left.select(F.col("node").alias("v"), "label").distinct(), "v")
+    # those of one document alone come first and are not listed
+    at = order.select(*hub, *own, "label", (F.col("n") - F.size("t")).alias("alone"), F.posexplode("t").alias("i", "t"))
+    at = at.select(*hub, *own, "label", (F.col("alone") + F.col("i")).alias("i"), F.col("t.token").alias("token"))
+    at = stored(at.where(threshold.may_be_first(F.col("linked"), F.col("i"), F.col("n"), F.col("size"))), "apart")
+    a, b = at.alias("a"), at.alias("b")
+    c = lambda name: (F.col(f"a.{name}"), F.col(f"b.{name}"))
+    behind = F.least(*(n - i for n, i in zip(c("n"), c("i"))))
+    pairs = (
+        a.join(b, [F.col(f"a.{x}") == F.col(f"b.{x}") for x in (*hub, "token")])
+        .where((F.col("a.v") < F.col("b.v")) & (F.col("a.label") != F.col("b.label")) & ~(F.col("a.linked") & F.col("b.linked")))
+        .where(threshold.may_differ(sum(c("n")) - 2 * behind, sum(c("size"))))
+        .select(F.col("a.v").alias("u"), F.col("b.v").alias("v"))
+        .distinct()
+    )
+    return far.where("linked").select("u", "v"), pairs
+
+
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_classes(table(spark, sf_dir, "documents"))
 
