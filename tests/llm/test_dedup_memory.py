@@ -44,3 +44,11 @@ def test_slices_of_anchors_do_not_show(spark, monkeypatch, some):
     monkeypatch.setattr(substring_dedup, "SLICE_ENTRIES", some)
     assert substring_dedup._decide(whole, buckets).equals(want) and want.num_rows
     assert repeated_rows(substring_dedup.repeated_spans(documents(spark, rows)).collect()) == brute_repeats(rows)
+
+
+def test_kept_texts_are_shuffled_once(spark):
+    docs = documents(spark, [(i, f"text {i} " * 20) for i in range(40)] + [(None, "none " * 30), (0, None)])
+    out = substring_dedup.remove_repeats(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    after = plan[: plan.index("FlatMapCoGroupsInArrow")]  # of the kept texts and of the other columns
+    assert after.count("Exchange hashpartitioning") == 2 and out.count() == 42
